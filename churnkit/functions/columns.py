@@ -152,7 +152,7 @@ def clamped_prob(action: Column | str, risk: Column | str, rules: Mapping = RETE
 
 
 NET_INTEREST_MARGIN = 0.025  # fixed value
-OFFER_COST_RATE = 0.006  # fixed value: share of the balance at risk
+OFFER_COST_RATE = "0.006"  # fixed value: share of the balance at risk
 CROSS_SELL_COST = 50.0  # fixed value
 OUTREACH_COST = 40.0  # fixed value
 REVENUE_YEARS = 3  # fixed value
@@ -169,7 +169,10 @@ def campaign_economics(df: DataFrame, draw: Column, nim: float = NET_INTEREST_MA
     kept = F.round(balance * F.lit(nim) * F.lit(REVENUE_YEARS) * F.col("p_retain"), 2)
     return df.withColumns({
         "retained_revenue_usd": F.when(F.col("retained"), kept).otherwise(F.lit(0.0)),
-        "cost_usd": F.when(action == "retention_offer", F.round(balance * F.lit(OFFER_COST_RATE), 2))
+        # decimal arithmetic: cents round half up whatever the binary value
+        "cost_usd": F.when(action == "retention_offer",
+                           (balance.cast("decimal(18,2)") * F.lit(OFFER_COST_RATE).cast("decimal(4,3)"))
+                           .cast("decimal(18,2)").cast("double"))
         .when(action == "cross_sell", F.lit(CROSS_SELL_COST))
         .otherwise(F.lit(OUTREACH_COST)),
         "margin_impact_usd": F.when((action == "cross_sell") & ~F.col("retained"), F.round(draw * 200, 2))

@@ -138,18 +138,6 @@ def pair_with(df: DataFrame, values: Sequence, out: str) -> DataFrame:
     return df.withColumn(out, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
-def select_features(df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str,
-                    forbidden: Sequence[str]) -> DataFrame:
-    """Keys, features and label; refuses features the label was derived from."""
-    leaking = sorted(set(features) & set(forbidden))
-    if leaking:
-        raise ValueError(f"label sources may not be features: {', '.join(leaking)}")
-    missing = sorted(set([*keys, *features, label]) - set(df.columns))
-    if missing:
-        raise ValueError(f"columns not in the table: {', '.join(missing)}")
-    return df.select(*keys, *[f for f in features if f != label], label)
-
-
 def best_by(df: DataFrame, metric: str, tie: Sequence[str] = ()) -> DataFrame:
     """The row with the highest metric."""
     return df.orderBy(F.desc_nulls_last(metric), *tie).limit(1)

@@ -249,3 +249,13 @@ def retrain_decision(gate: DataFrame, approval: DataFrame, model: str) -> DataFr
               .when(F.col("version").isNull(), "train").otherwise("reject"))
     return g.join(a, "model", "left").select("model", "version", "retrain_needed", "approved", action.alias("action"),
                                              "gate_reason", "approval_reason")
+
+
+def window_change(stats: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
+    """Each window's numbers with those of the window before it and the difference.
+
+    ``stats`` is an aggregated table: one row per window and key.
+    """
+    w = Window.partitionBy(*keys).orderBy(order)
+    before = {f"prev_{c}": F.lag(c).over(w) for c in columns}
+    return stats.withColumns(before).withColumns({f"{c}_change": F.col(c) - F.col(f"prev_{c}") for c in columns})

@@ -63,31 +63,30 @@ def latest_change(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
             .select("_last.*"))
 
 
-def sync_stream(changes: DataFrame, initial: DataFrame, keys: Sequence[str], order: Sequence[str], root: str,
-                checkpoint: str) -> StreamingQuery:
-    """Keep a keyed replica up to date from a stream of changes.
+def sync_stream(changes: DataFrame, keys: Sequence[str], order: Sequence[str], root: str,
+                checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Keep the changes of a keyed table for a replica, one folder per micro-batch.
 
-    Each micro-batch writes a new version ``root/v=<id>`` from the one before,
-    so a batch that is retried after a failure rebuilds the same version.
+    A batch costs what it changes, not what the replica holds, and a batch that
+    is retried after a failure overwrites its own folder.
     """
-    spark = initial.sparkSession
-    schema = initial.schema
-    initial.write.mode("overwrite").parquet(f"{root}/v=-1")
-
     def apply(batch: DataFrame, batch_id: int) -> None:
-        before = spark.read.schema(schema).parquet(f"{root}/v={batch_id - 1}")
-        after = upsert(before, latest_change(batch, keys, order).drop(*[o for o in order if o not in schema.names]), keys)
-        after.select(*schema.names).write.mode("overwrite").parquet(f"{root}/v={batch_id}")
+        latest_change(batch, keys, order).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    return (changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def replica(spark: SparkSession, root: str, query: StreamingQuery, schema: T.StructType) -> DataFrame:
-    """The replica's newest version after ``query`` has ended."""
-    done = [p["batchId"] for p in query.recentProgress if p["sink"]["description"].startswith("ForeachBatch")
-            and p["numInputRows"] > 0]
-    return spark.read.schema(schema).parquet(f"{root}/v={max(done, default=-1)}")
+def replica(base: DataFrame, root: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The replica now: the base version with all synced changes applied, newest last.
+
+    Write the result to a new path from time to time and start again from it,
+    so that the list of changes stays short.
+    """
+    stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    synced = base.sparkSession.read.schema(stored).parquet(root)
+    last = latest_change(synced, keys, ["batch", *order])
+    return upsert(base, last.drop("batch", *[o for o in order if o not in base.columns]), keys)
 
 
 def gate_stream(drift: DataFrame, history_path: str, decisions_path: str, threshold: float, checkpoint: str,
