@@ -20,19 +20,22 @@ def time_window(df: DataFrame, ts: str, width: str = "1 day", out: str = "window
     return df.withColumn(out, F.window(F.col(ts), width))
 
 
-def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[str], slices: Sequence[str]) -> DataFrame:
-    """One row per value: unpivots the columns and repeats each row per slice.
+def _slice_labels(slices: Sequence[str]) -> list[tuple[Column, Column]]:
+    """Key and value of the overall slice and of each row's own slices."""
+    own = [(F.lit(s), F.coalesce(F.col(s).cast("string"), F.lit("null"))) for s in slices]
+    return [(F.lit(ALL), F.lit(ALL)), *own]
 
-    Repeating rows map-side is what grouping sets do too; here it keeps the
-    slice as plain key columns for the steps that follow.
+
+def _explode_cells(df: DataFrame, keep: Sequence[Column], slices: Sequence[str], values: Mapping[str, Column],
+                   out: str) -> DataFrame:
+    """One row per slice and column: ``keep``, slice_key, slice_value, column_name, ``out``.
+
+    Rows are repeated map-side, as grouping sets would do, and are meant to go
+    straight into a partial aggregation.
     """
-    kinds = [F.struct(F.lit(ALL).alias("slice_key"), F.lit(ALL).alias("slice_value"))]
-    kinds += [F.struct(F.lit(s).alias("slice_key"), F.coalesce(F.col(s).cast("string"), F.lit("null")).alias(
-        "slice_value")) for s in slices]
-    values = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]
-    return (df.select(*keep, F.array(*kinds).alias("_s"), F.explode(F.array(*values)).alias("_v"))
-            .select(*keep, F.explode("_s").alias("_s"), "_v.*")
-            .select(*keep, "_s.*", "column_name", "v"))
+    cells = [F.struct(k.alias("slice_key"), v.alias("slice_value"), F.lit(c).alias("column_name"), e.alias(out))
+             for k, v in _slice_labels(slices) for c, e in values.items()]
+    return df.select(*keep, F.explode(F.array(*cells)).alias("_cell")).select("*", "_cell.*").drop("_cell")
 
 
 def profile_metrics(log: DataFrame, columns: Sequence[str], ts: str, version: str = "model_version",
@@ -45,8 +48,8 @@ def profile_metrics(log: DataFrame, columns: Sequence[str], ts: str, version: st
     over many tasks. Quantiles are sketches unless ``exact``.
     """
     keep = ["window_start", version]
-    src = log.select(F.window(F.col(ts), width)["start"].alias("window_start"), version, *columns, *slices)
-    long = _long(src, columns, keep, slices)
+    start = F.window(F.col(ts), width)["start"].alias("window_start")
+    long = _explode_cells(log, [start, F.col(version)], slices, {c: F.col(c).cast("double") for c in columns}, "v")
     group = [*keep, "slice_key", "slice_value", "column_name"]
     out = long.groupBy(*group).agg(
         F.count("*").alias("count"), F.count_if(F.col("v").isNull()).alias("nulls"), F.avg("v").alias("mean"),
@@ -89,15 +92,8 @@ def distributions(log: DataFrame, ts: str, edges: Mapping[str, Sequence[float]],
 
     columns = [*edges, *categorical]
     v = F.col(version).cast("string") if version else F.lit(ALL)
-    kinds = [F.struct(F.lit(ALL).alias("slice_key"), F.lit(ALL).alias("slice_value"))]
-    kinds += [F.struct(F.lit(s).alias("slice_key"), F.coalesce(F.col(s).cast("string"), F.lit("null")).alias(
-        "slice_value")) for s in slices]
-    long = (log.select(F.window(F.col(ts), width)["start"].alias("window_start"), v.alias("model_version"),
-                       F.array(*kinds).alias("_s"),
-                       F.array(*[F.struct(F.lit(c).alias("column_name"), label(c).alias("bin")) for c in columns])
-                       .alias("_b"))
-            .withColumn("_s", F.explode("_s")).withColumn("_b", F.explode("_b"))
-            .select("window_start", "model_version", "_s.*", "_b.*"))
+    start = F.window(F.col(ts), width)["start"].alias("window_start")
+    long = _explode_cells(log, [start, v.alias("model_version")], slices, {c: label(c) for c in columns}, "bin")
     group = ["window_start", "model_version", "slice_key", "slice_value", "column_name"]
     counts = long.groupBy(*group, "bin").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy(*group))
@@ -200,11 +196,9 @@ def quality_checks(log: DataFrame, columns: Sequence[str], ts: str, width: str =
 def custom_metric(log: DataFrame, name: str, expression: str, ts: str, slices: Sequence[str] = (),
                   width: str = "1 day") -> DataFrame:
     """A user's SQL aggregate per window, overall and per slice."""
-    src = log.withColumn("window_start", F.window(F.col(ts), width)["start"])
-    kinds = [F.struct(F.lit(ALL).alias("slice_key"), F.lit(ALL).alias("slice_value"))]
-    kinds += [F.struct(F.lit(s).alias("slice_key"), F.coalesce(F.col(s).cast("string"), F.lit("null")).alias(
-        "slice_value")) for s in slices]
-    sliced = src.withColumn("_s", F.explode(F.array(*kinds)))
+    labels = F.array(*[F.struct(k.alias("slice_key"), v.alias("slice_value")) for k, v in _slice_labels(slices)])
+    sliced = log.withColumns({"window_start": F.window(F.col(ts), width)["start"], "_s": labels}).withColumn(
+        "_s", F.explode("_s"))
     return sliced.groupBy("window_start", F.col("_s.slice_key").alias("slice_key"),
                           F.col("_s.slice_value").alias("slice_value")).agg(
         F.expr(expression).cast("double").alias("value")).withColumn("metric", F.lit(name))

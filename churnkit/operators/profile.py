@@ -109,6 +109,16 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 2))
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson correlation over rows with both values; null when one side is constant.
+
+    The built-in ``corr`` raises a division error on a constant column in ANSI mode.
+    """
+    x, y = F.col(a), F.col(b)
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, long form, both triangles.
 
@@ -116,10 +126,10 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = doubles.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = doubles.agg(*[_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
-        r = F.nanvl(F.col(f"r{i}"), F.lit(None).cast("double")).alias("corr")
+        r = F.col(f"r{i}").alias("corr")
         cells.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r))
         if a != b:
             cells.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), r))
@@ -133,9 +143,8 @@ def _direction(c: Column) -> Column:
 def target_corr(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation of each column with the target, strongest first."""
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys([*columns, target])])
-    wide = doubles.agg(*[F.corr(c, target).alias(c) for c in columns])
-    rows = _to_rows(wide, [F.struct(F.lit(c).alias("feature"),
-                                    F.nanvl(F.col(c), F.lit(None).cast("double")).alias("corr")) for c in columns])
+    wide = doubles.agg(*[_corr(c, target).alias(c) for c in columns])
+    rows = _to_rows(wide, [F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in columns])
     return (rows.withColumns({"strength": F.abs("corr"), "direction": _direction(F.col("corr"))})
             .orderBy(F.desc_nulls_last("strength"), "feature"))
 

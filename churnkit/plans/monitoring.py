@@ -167,9 +167,9 @@ def m9_drift_gate(spark, d):
 
 def _decision_sql():
     from churnkit.plans.evaluation import _BOARD
-    return f"""WITH {_CONSEC}, {_GATE}, {_BOARD}, g AS ({_GATE_ROW})
+    return f"""WITH {_CONSEC}, {_GATE}, {_BOARD}, gr AS ({_GATE_ROW})
   SELECT 'churn' AS model, b.model AS version, retrain_needed, round(test_f1, 4) >= 0.62 AS approved,
-    CASE WHEN NOT retrain_needed THEN 'keep' WHEN round(test_f1, 4) >= 0.62 THEN 'promote' ELSE 'reject' END AS action FROM g, board b"""
+    CASE WHEN NOT retrain_needed THEN 'keep' WHEN round(test_f1, 4) >= 0.62 THEN 'promote' ELSE 'reject' END AS action FROM gr, board b"""
 
 
 @query(_decision_sql())
