@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.functions.columns import hash_uniform
@@ -81,6 +81,9 @@ def publish_features(df: DataFrame, keys: Sequence[str], path: str) -> DataFrame
     return save(df, path)
 
 
+MAX_CLASSES = 100  # class sizes up to this many travel through the driver
+
+
 def split_draw(keys: Sequence[str], label: str, seed: int = 42) -> Column:
     """The draw that decides a row's side; the label is part of it, so classes are cut apart."""
     return hash_uniform(seed, F.lit("split"), label, *keys)
@@ -99,6 +102,12 @@ def stratified_split(df: DataFrame, keys: Sequence[str], label: str, test_share:
         return df.withColumn(out, draw < F.lit(test_share))
     ranked = draw_rank(df, draw, keys, by=[label], out="_rank")
     sizes = df.groupBy(label).agg(F.round(F.count("*") * test_share).cast("long").alias("_take"))
+    few = sizes.limit(MAX_CLASSES + 1).collect()
+    if len(few) <= MAX_CLASSES:
+        take = F.lit(0)
+        for r in few:
+            take = F.when(F.col(label).eqNullSafe(F.lit(r[label])), F.lit(r["_take"])).otherwise(take)
+        return ranked.withColumn(out, F.col("_rank") <= take).drop("_rank")
     cut = ranked.alias("r").join(sizes.alias("s"), F.col(f"r.{label}").eqNullSafe(F.col(f"s.{label}")))
     return cut.select(*[F.col(f"r.{c}").alias(c) for c in df.columns],
                       (F.col("r._rank") <= F.col("s._take")).alias(out))
@@ -107,13 +116,14 @@ def stratified_split(df: DataFrame, keys: Sequence[str], label: str, test_share:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Per class: rows, the balanced weight ``n / (classes * rows)`` and negatives per positive."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("t")).scalar()
-    classes = counts.agg(F.count("*").alias("k")).scalar()
-    neg = counts.agg(F.sum(F.when(F.col(label) == 0, F.col("n")).otherwise(0)).alias("x")).scalar()
-    pos = counts.agg(F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).alias("x")).scalar()
+    every = Window.partitionBy(F.lit(0))  # over one row per class
+
+    def of_class(k):
+        return F.sum(F.when(F.col(label) == k, F.col("n")).otherwise(0)).over(every)
+
     return counts.withColumns({
-        "balanced_weight": total / (classes * F.col("n")),
-        "neg_pos_ratio": F.round(neg / F.greatest(pos, F.lit(1)), 3),
+        "balanced_weight": F.sum("n").over(every) / (F.count("*").over(every) * F.col("n")),
+        "neg_pos_ratio": F.round(of_class(0) / F.greatest(of_class(1), F.lit(1)), 3),
     })
 
 

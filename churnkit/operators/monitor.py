@@ -96,8 +96,8 @@ def distributions(log: DataFrame, ts: str, edges: Mapping[str, Sequence[float]],
     long = _explode_cells(log, [start, v.alias("model_version")], slices, {c: label(c) for c in columns}, "bin")
     group = ["window_start", "model_version", "slice_key", "slice_value", "column_name"]
     counts = long.groupBy(*group, "bin").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy(*group))
-    return counts.withColumn("share", F.col("n") / total)
+    totals = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
+    return counts.join(totals, group).withColumn("share", F.col("n") / F.col("_total")).drop("_total")
 
 
 SERIES = ["model_version", "slice_key", "slice_value", "column_name"]
@@ -128,19 +128,19 @@ def drift_consecutive(dist: DataFrame, width: str = "1 day") -> DataFrame:
 
     Every share is emitted twice, as its own window's and as the next window's
     previous one; summing per bin lines the two up and fills absent bins with 0.
+    ``dist`` is read twice: pass the stored table rather than its plan.
     """
     windows = dist.select(*SERIES, "window_start").distinct()
     w = Window.partitionBy(*SERIES).orderBy("window_start")
     around = windows.withColumns({"_next": F.lead("window_start").over(w),
                                   "_has_prev": F.lag("window_start").over(w).isNotNull()})
-    both = dist.alias("d").join(around.alias("a"), same_keys("d", "a", [*SERIES, "window_start"]))
+    both = dist.join(around, [*SERIES, "window_start"])
     sides = F.array(
-        F.struct(F.when(F.col("a._has_prev"), F.col("d.window_start")).alias("window_start"),
-                 F.col("d.share").alias("p"), F.lit(0.0).alias("q")),
-        F.struct(F.col("a._next").alias("window_start"), F.lit(0.0).alias("p"), F.col("d.share").alias("q")))
-    pairs = (both.select(*[F.col(f"d.{s}").alias(s) for s in SERIES], F.col("d.bin").alias("bin"),
-                         F.explode(sides).alias("_x"))
-             .select(*SERIES, "bin", "_x.*").filter(F.col("window_start").isNotNull()))
+        F.struct(F.when(F.col("_has_prev"), F.col("window_start")).alias("window_start"),
+                 F.col("share").alias("p"), F.lit(0.0).alias("q")),
+        F.struct(F.col("_next").alias("window_start"), F.lit(0.0).alias("p"), F.col("share").alias("q")))
+    pairs = (both.select(*SERIES, "bin", F.explode(sides).alias("_x")).select(*SERIES, "bin", "_x.*")
+             .filter(F.col("window_start").isNotNull()))
     return _drift_rows(_js(pairs, [*SERIES, "window_start"]), "CONSECUTIVE", width)
 
 

@@ -9,11 +9,14 @@ balance only, never the result.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnkit.session import range_count
 
@@ -25,15 +28,8 @@ def value_ranges(df: DataFrame, columns: Sequence[str], ranges: int | None = Non
     ``ranges`` cut points per column. Nulls get range -1.
     """
     n = ranges or range_count(df.sparkSession)
-    return _assign_ranges(df, columns, df.agg(*_cut_points(columns, n)).first())
-
-
-def _cut_points(columns: Sequence[str], n: int) -> list[Column]:
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    return [F.percentile_approx(F.col(c).cast("double"), probs, 10 * n).alias(c) for c in columns]
-
-
-def _assign_ranges(df: DataFrame, columns: Sequence[str], cuts) -> DataFrame:
+    cuts = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * n).alias(c) for c in columns]).first()
     edges = {c: sorted({e for e in (cuts[c] or []) if e == e}) for c in columns}
     cut = [c for c in columns if edges[c]]
     out = df.withColumns({f"_range_{c}": F.when(F.col(c).isNull(), -1).otherwise(0)
@@ -58,27 +54,174 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
 
 # Up to this many rows, a per-group value histogram is small enough for one task.
 SMALL_ROWS = 200_000
+# Up to this many groups, cut points and counts of all groups go through the driver.
+MAX_GROUPS = 2_000
+# Up to this many rows, the values around the wanted ranks are ordered per rank in one task each.
+ONE_TASK_ROWS = 1_000_000
+SKETCH_ACCURACY = 2_000
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    method: str = "linear", ranges: int | None = None, small: int = SMALL_ROWS) -> DataFrame:
+                    method: str = "linear", ranges: int | None = None, small: int = SMALL_ROWS,
+                    max_groups: int = MAX_GROUPS) -> DataFrame:
     """Exact quantiles as rows ``by..., column, prob, value``.
 
     ``linear`` interpolates between neighbours; ``discrete`` returns an element
-    of the data. The pass that finds the cut points also counts the rows: up to
-    ``small`` rows the built-in exact percentile is used; beyond, only the
-    ranges that hold a wanted rank are shuffled by value, which is about
-    ``2 * len(probs) / ranges`` of the data.
+    of the data. NaN counts as missing.
+
+    A first pass counts rows and sketches each group. Small inputs then use the
+    built-in exact percentile. Otherwise the sketch gives a narrow bracket
+    around each wanted rank, a second pass counts rows below each bracket edge,
+    and a third shuffles only the values inside brackets. The sketch decides how
+    narrow a bracket is, never the result. With more groups than ``max_groups``
+    the cut points are shared by all groups instead.
     """
     if method not in ("linear", "discrete"):
         raise ValueError(f"method must be 'linear' or 'discrete', not {method!r}")
-    by = list(by)
-    narrow = df.select(*by, *columns)
-    n = ranges or range_count(df.sparkSession)
-    cuts = narrow.agg(F.count("*").alias("_rows"), *_cut_points(columns, n)).first()
-    if cuts["_rows"] <= small:
-        return _small_quantiles(narrow, columns, probs, by, method)
-    ranged = _assign_ranges(narrow, columns, cuts)
+    by, ps = list(by), [float(p) for p in probs]
+    narrow = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    step = 2.0 / SKETCH_ACCURACY
+    around = sorted({min(1.0, max(0.0, p + s)) for p in ps for s in (-step, step)})
+    heads = narrow.groupBy(*by).agg(
+        F.count("*").alias("_rows"),
+        *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"_e_{c}") for c in columns],
+    ).limit(max_groups + 1).collect()
+    if len(heads) > max_groups:
+        return _ranged_quantiles(narrow, columns, ps, by, method, ranges)
+    if sum(r["_rows"] for r in heads) <= small:
+        return _small_quantiles(narrow, columns, ps, by, method)
+    return _bracketed_quantiles(narrow, columns, ps, by, method, heads, ranges)
+
+
+def _wanted(p: float, n: int, method: str) -> tuple[float, list[int]]:
+    """Position of a quantile among ``n`` ordered values and the ranks it needs, from 0."""
+    if method == "linear":
+        pos = p * (n - 1)
+    else:
+        pos = float(max(math.ceil(round(p * n, 9)) - 1, 0))
+    return pos, sorted({math.floor(pos), math.ceil(pos)})
+
+
+def _bracketed_quantiles(narrow: DataFrame, columns, ps, by, method, heads, ranges) -> DataFrame:
+    spark = narrow.sparkSession
+    groups = [tuple(r[g] for g in by) for r in heads]
+    # an edge and the next larger number: a value that repeats has a bracket of its own
+    edges = [{c: sorted({x for e in (r[f"_e_{c}"] or []) for x in (e, math.nextafter(e, math.inf))}) for c in columns}
+             for r in heads]
+    width = max([len(e[c]) for e in edges for c in columns], default=0)
+    keys = narrow.select(*by).schema
+
+    def with_group(values: list[tuple], ddl_types: list[tuple[str, str]]) -> DataFrame:
+        """The rows with per-group values: literals without groups, else a bounded broadcast join."""
+        if not by:
+            return narrow.withColumns({name: F.lit(None).cast(kind) if values[0][i] is None else _literal(values[0][i]).cast(kind)
+                                       for i, (name, kind) in enumerate(ddl_types)})
+        schema = T.StructType(keys.fields + T._parse_datatype_string(
+            ", ".join(f"{n} {k}" for n, k in ddl_types)).fields)
+        side = F.broadcast(spark.createDataFrame([(*g, *v) for g, v in zip(groups, values)], schema))
+        names = [n for n, _ in ddl_types]
+        return narrow.alias("d").join(side.alias("s"), same_keys("d", "s", by)).select("d.*", *[F.col(f"s.{n}") for n in names])
+
+    padded = [tuple(e[c] + [math.inf] * (width - len(e[c])) for c in columns) for e in edges]
+    edged = with_group(padded, [(f"_a{i}", "array<double>") for i in range(len(columns))])
+    counts = edged.groupBy(*by).agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)], *[
+        F.expr(f"count_if(`{c}` < _a{i}[{j}]) AS _lt{i}_{j}") for i, c in enumerate(columns) for j in range(width)
+    ]).collect()
+    by_group = {tuple(r[g] for g in by): r for r in counts}
+
+    known: dict[tuple, float] = {}  # (group, column, rank) -> value
+    open_ranks: dict[tuple, tuple[int, int]] = {}  # (group, column, rank) -> (bracket id, rank inside)
+    brackets: dict[tuple, int] = {}  # (group number, column number, bracket) -> id
+    found: list[tuple] = []
+    inside_rows = 0
+    for gi, g in enumerate(groups):
+        r = by_group[g]
+        for i, c in enumerate(columns):
+            n, e = r[f"_n{i}"], edges[gi][c]
+            below = [r[f"_lt{i}_{j}"] for j in range(len(e))]
+            for p in ps if n else []:
+                pos, ranks = _wanted(p, n, method)
+                found.append((gi, i, p, pos, ranks))
+                for k in ranks:
+                    j = bisect_right(below, k)  # below[j-1] <= k < below[j]
+                    if 0 < j < len(e) and e[j] == math.nextafter(e[j - 1], math.inf):
+                        known[gi, i, k] = e[j - 1]
+                        continue
+                    if (gi, i, j) not in brackets:
+                        brackets[gi, i, j] = len(brackets)
+                        inside_rows += (below[j] if j < len(e) else n) - (below[j - 1] if j else 0)
+                    open_ranks[gi, i, k] = (brackets[gi, i, j], k - (below[j - 1] if j else 0))
+    if brackets:
+        per_group = [[[] for _ in columns] for _ in groups]
+        for (gi, i, j), bid in brackets.items():
+            e = edges[gi][columns[i]]
+            lo, hi = e[j - 1] if j else -math.inf, e[j] if j < len(e) else math.inf
+            per_group[gi][i].append((bid, lo, hi))
+        kind = "array<struct<id:int,lo:double,hi:double>>"
+        src = with_group([tuple(x) for x in per_group], [(f"_b{i}", kind) for i in range(len(columns))])
+        if not by:
+            near = F.lit(False)
+            for i, c in enumerate(columns):
+                for _, lo, hi in per_group[0][i]:
+                    near = near | _in_bracket(F.col(c), F.lit(lo), F.lit(hi))
+            src = src.filter(near)
+        cells = F.flatten(F.array(*[
+            F.transform(F.filter(F.col(f"_b{i}"), _bracket_test(c)), _bracket_cell(c)) for i, c in enumerate(columns)]))
+        hits = src.select(F.explode(cells).alias("_x")).select("_x.*")
+        picks = spark.createDataFrame(sorted(set(open_ranks.values())), "id int, rank long")
+        got = _values_at(hits, picks, 1 if inside_rows <= ONE_TASK_ROWS else ranges or range_count(spark))
+        values = {(r["id"], r["rank"]): r["v"] for r in got.collect()}
+        known.update({key: values[at] for key, at in open_ranks.items()})
+
+    out = []
+    for gi, i, p, pos, ranks in found:
+        lo, hi = known[gi, i, ranks[0]], known[gi, i, ranks[-1]]
+        between = pos - math.floor(pos)
+        out.append((*groups[gi], columns[i], p, lo if lo == hi or not between else lo + (hi - lo) * between))
+    schema = T.StructType([*keys.fields, T.StructField("column", T.StringType()), T.StructField("prob", T.DoubleType()),
+                           T.StructField("value", T.DoubleType())])
+    return spark.createDataFrame(out, schema)
+
+
+def _literal(value: list) -> Column:
+    if value and isinstance(value[0], tuple):
+        return F.array(*[F.struct(F.lit(b).alias("id"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for b, lo, hi in value])
+    return F.array(*[F.lit(v) for v in value])
+
+
+def _in_bracket(v: Column, lo: Column, hi: Column) -> Column:
+    # the last bracket includes positive infinity
+    return (v >= lo) & ((v < hi) | (hi == F.lit(math.inf)))
+
+
+def _bracket_test(c: str):
+    return lambda b: _in_bracket(F.col(c), b["lo"], b["hi"])
+
+
+def _bracket_cell(c: str):
+    return lambda b: F.struct(b["id"].alias("id"), F.col(c).alias("v"))
+
+
+def _values_at(hits: DataFrame, picks: DataFrame, ranges: int) -> DataFrame:
+    """Value at each ``rank`` (from 0) of each ``id`` in rows ``id, v``."""
+    counts = hits.groupBy("id", "v").agg(F.count("*").alias("m"))
+    ranged = (value_ranges(counts, ["v"], ranges).withColumnRenamed("_range_v", "rng") if ranges > 1
+              else counts.withColumn("rng", F.lit(0)))
+    inside = Window.partitionBy("id", "rng").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("upto", F.sum("m").over(inside))
+    if ranges > 1:
+        before = Window.partitionBy("id").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = ranged.groupBy("id", "rng").agg(F.sum("m").alias("n")).select(
+            "id", "rng", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+        local = local.join(sizes, ["id", "rng"]).withColumn("upto", F.col("upto") + F.col("before"))
+    found = local.join(F.broadcast(picks), "id").filter(
+        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("m")))
+    return found.select("id", "rank", "v")
+
+
+def _ranged_quantiles(narrow: DataFrame, columns, probs, by, method, ranges) -> DataFrame:
+    """Quantiles of very many groups: cut points shared by all groups, only needed ranges shuffled."""
+    ranged = value_ranges(narrow, columns, ranges)
     long = ranged.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"), F.col(f"_range_{c}").alias("rng"))
         for c in columns])).alias("_x")).select(*by, "_x.*").filter(F.col("v").isNotNull())
@@ -102,21 +245,17 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                .select(*group, "rng", "prob", "pos", "rank", (F.col("last") - F.col("n")).alias("before")))
 
     spots = targets.select(*group, "rng").distinct()
-    if not by:
-        # at most 2 * len(columns) * len(probs) rows
-        spots, targets_side = F.broadcast(spots), F.broadcast(targets)
-    else:
-        targets_side = targets
     where = [*group, "rng"]
     hits = (long.alias("l").join(spots.alias("s"), same_keys("l", "s", where), "left_semi")
             .groupBy(*where, "v").agg(F.count("*").alias("m")))
     inside = Window.partitionBy(*where).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     hits = hits.withColumn("upto", F.sum("m").over(inside))
-    found = hits.alias("h").join(targets_side.alias("t"), same_keys("h", "t", where) & (
+    found = hits.alias("h").join(targets.alias("t"), same_keys("h", "t", where) & (
         F.col("t.rank") < F.col("t.before") + F.col("h.upto")) & (
         F.col("t.rank") >= F.col("t.before") + F.col("h.upto") - F.col("h.m")))
     picked = found.select(*[F.col(f"t.{g}").alias(g) for g in group], "t.prob", "t.pos", "h.v")
-    value = F.min("v") + (F.max("v") - F.min("v")) * (F.first("pos") - F.floor(F.first("pos")))
+    between = F.first("pos") - F.floor(F.first("pos"))
+    value = F.when(F.min("v") == F.max("v"), F.min("v")).otherwise(F.min("v") + (F.max("v") - F.min("v")) * between)
     return picked.groupBy(*group, "prob").agg(value.alias("value"))
 
 
@@ -180,18 +319,22 @@ def value_rank(df: DataFrame, column: str, tie: Sequence[str] = (), by: Sequence
     return _number_rows(ranged, [column, *tie], by, out, bounded=n + 2).drop("_rng")
 
 
+def _group_key(by: Sequence[str]) -> Column:
+    """The group as one never-null struct: nulls inside compare as equal, so a plain
+    join on it matches null groups and reuses the window's partitioning."""
+    return F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
+
+
 def _number_rows(df: DataFrame, order: Sequence[str], by: Sequence[str], out: str, bounded: int) -> DataFrame:
-    by = list(by)
-    sizes = df.groupBy(*by, "_rng").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*by, "_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    keyed = df.withColumn("_by", _group_key(by))
+    sizes = keyed.groupBy("_by", "_rng").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_by").orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_by", "_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     if not by:
         offsets = F.broadcast(offsets)  # one row per range: at most `bounded`
-    inside = Window.partitionBy(*by, "_rng").orderBy(*order)
-    numbered = df.withColumn("_pos", F.row_number().over(inside))
-    joined = numbered.alias("d").join(offsets.alias("o"), same_keys("d", "o", [*by, "_rng"]), "left")
-    return joined.select(*[F.col(f"d.{c}").alias(c) for c in df.columns],
-                         (F.col("o._before") + F.col("d._pos")).alias(out))
+    inside = Window.partitionBy("_by", "_rng").orderBy(*order)
+    numbered = keyed.withColumn("_pos", F.row_number().over(inside))
+    return numbered.join(offsets, ["_by", "_rng"]).select(*df.columns, (F.col("_before") + F.col("_pos")).alias(out))
 
 
 def running_counts(df: DataFrame, score: str, sums: dict[str, Column], by: Sequence[str] = (),
@@ -201,20 +344,16 @@ def running_counts(df: DataFrame, score: str, sums: dict[str, Column], by: Seque
     Adds ``<name>`` and ``<name>_upto`` (scores above plus this one). Ties are
     collapsed before anything is ordered, so a hot score costs one row.
     """
-    by = list(by)
-    names = list(sums)
+    by, names = list(by), list(sums)
     counts = df.groupBy(*by, score).agg(*[e.alias(k) for k, e in sums.items()])
-    ranged = value_ranges(counts, [score], ranges).withColumnRenamed(f"_range_{score}", "_rng")
-    totals = ranged.groupBy(*by, "_rng").agg(*[F.sum(k).alias(k) for k in names])
-    above = (Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.desc("_rng"))
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*by, "_rng", *[F.coalesce(F.sum(k).over(above), F.lit(0)).alias(f"_{k}_above")
-                                          for k in names])
+    ranged = (value_ranges(counts, [score], ranges).withColumnRenamed(f"_range_{score}", "_rng")
+              .withColumn("_by", _group_key(by)))
+    totals = ranged.groupBy("_by", "_rng").agg(*[F.sum(k).alias(k) for k in names])
+    above = Window.partitionBy("_by").orderBy(F.desc("_rng")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_by", "_rng", *[F.coalesce(F.sum(k).over(above), F.lit(0)).alias(f"_{k}_above") for k in names])
     if not by:
         offsets = F.broadcast(offsets)  # one row per range
-    inside = (Window.partitionBy(*by, "_rng").orderBy(F.desc(score))
-              .rowsBetween(Window.unboundedPreceding, 0))
+    inside = Window.partitionBy("_by", "_rng").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumns({f"_{k}_in": F.sum(k).over(inside) for k in names})
-    joined = local.alias("d").join(offsets.alias("o"), same_keys("d", "o", [*by, "_rng"]), "left")
-    return joined.select(*[F.col(f"d.{c}").alias(c) for c in [*by, score, *names]],
-                         *[(F.col(f"o._{k}_above") + F.col(f"d._{k}_in")).alias(f"{k}_upto") for k in names])
+    return local.join(offsets, ["_by", "_rng"]).select(
+        *by, score, *names, *[(F.col(f"_{k}_above") + F.col(f"_{k}_in")).alias(f"{k}_upto") for k in names])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,7 +105,7 @@ def shape(df: DataFrame) -> DataFrame:
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows and percentage per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("t")).scalar()
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over one row per class
     return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 2))
 
 

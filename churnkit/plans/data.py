@@ -46,7 +46,8 @@ def holdings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("txn_date"))
+    # the day stays as stored, so that the recency filter can reach the scan
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("txn_date"))
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
     out = F.col("l_returnflag") == "R"
     return o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(

@@ -8,6 +8,8 @@ from churnkit.operators import evaluate as E
 from churnkit.operators import monitor as M
 from churnkit.plans import data as D
 from churnkit.plans.registry import query, table
+from churnkit.session import scratch_path
+from churnkit.sources.tables import save
 
 BINS = 10
 
@@ -27,7 +29,9 @@ def edges(spark, d):
 
 
 def dist(spark, d, slices=("event_type",)):
-    return M.distributions(D.inference_log(spark, d), "ts", edges(spark, d), ["prediction"], "model_version", slices)
+    """Bin shares per window, stored as a monitor stores its metric tables."""
+    shares = M.distributions(D.inference_log(spark, d), "ts", edges(spark, d), ["prediction"], "model_version", slices)
+    return save(shares, scratch_path(spark, "shares"))
 
 
 _EDGES = f"edges AS (SELECT quantile_cont(value, [{', '.join(str(i / BINS) for i in range(BINS + 1))}]) AS e FROM events)"
@@ -97,11 +101,11 @@ bq AS (SELECT model_version, slice_key, slice_value, column_name, w, bin, sum(p)
 basejs AS (SELECT column_name, 'BASELINE' AS drift_type, w, model_version, slice_key, slice_value, {_JS} AS js FROM bq GROUP BY ALL)"""
 
 
-def _baseline(spark, d, slices=("event_type",)):
+def _baseline(spark, d, shares=None):
     log = D.inference_log(spark, d)
     e = edges(spark, d)
     base = M.baseline_shares(log.filter("event_type = 'purchase'"), e, ["prediction"])
-    return M.drift_baseline(M.distributions(log, "ts", e, ["prediction"], "model_version", slices), base)
+    return M.drift_baseline(shares if shares is not None else dist(spark, d), base)
 
 
 @query(f"WITH {_DIST}, {_BASE} {_ROW} basejs")
@@ -153,7 +157,8 @@ _GATE_ROW = """SELECT js >= 0.05 AS retrain_needed, drift_type, w::VARCHAR AS wi
 
 def gate_rows(spark, d):
     """Consecutive and baseline drift rows, as the monitor stores them."""
-    return M.drift_consecutive(dist(spark, d, ())).unionByName(_baseline(spark, d, ()))
+    shares = dist(spark, d, ())
+    return M.drift_consecutive(shares).unionByName(_baseline(spark, d, shares))
 
 
 def _gate(spark, d):

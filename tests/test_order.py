@@ -19,32 +19,51 @@ def skewed(spark):
     return spark.createDataFrame(rows, "g string, v double, w int").cache()
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-@pytest.mark.parametrize("ranges", [2, 7, 64])
-def test_linear_quantiles_equal_pandas(skewed, small, ranges):
+# built-in percentile; brackets; brackets ordered over ranges; shared cut points
+WAYS = [dict(small=10**9), dict(small=0), dict(small=0, one_task=0), dict(small=0, max_groups=0)]
+
+
+def _quantiles(monkeypatch, *args, one_task=None, **kw):
+    if one_task is not None:
+        monkeypatch.setattr(O, "ONE_TASK_ROWS", one_task)
+    return O.exact_quantiles(*args, **kw)
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("accuracy,ranges", [(2000, 7), (10, 2), (3, 64)])
+def test_linear_quantiles_equal_pandas(skewed, monkeypatch, way, accuracy, ranges):
+    monkeypatch.setattr(O, "SKETCH_ACCURACY", accuracy)
     pdf = skewed.toPandas()
-    got = O.exact_quantiles(skewed, ["v", "w"], PROBS, ["g"], ranges=ranges, small=small).collect()
+    got = _quantiles(monkeypatch, skewed, ["v", "w"], PROBS, ["g"], ranges=ranges, **way).collect()
     assert len(got) == 2 * 2 * len(PROBS)
     for r in got:
         want = pdf[pdf.g == r.g][r.column].quantile(r.prob)
         assert r.value == pytest.approx(want, abs=1e-9)
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_discrete_quantiles_are_elements(spark, skewed, small):
-    got = {r.prob: r.value for r in O.exact_quantiles(skewed, ["v"], PROBS, method="discrete", small=small).collect()}
+@pytest.mark.parametrize("way", WAYS)
+def test_discrete_quantiles_are_elements(spark, skewed, monkeypatch, way):
+    got = {r.prob: r.value for r in _quantiles(monkeypatch, skewed, ["v"], PROBS, method="discrete", **way).collect()}
     want = skewed.approxQuantile("v", PROBS, 0.0)
     assert [got[p] for p in PROBS] == want
 
 
 def test_quantiles_with_null_group_and_empty(spark):
-    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
-    got = {(r.g, r.prob): r.value for r in O.exact_quantiles(df, ["v"], [0.5], ["g"], small=0).collect()}
-    assert got == {(None, 0.5): 2.0, ("a", 0.5): 5.0}
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", float("nan")), ("b", None)], "g string, v double")
+    for way in (dict(small=0), dict(small=9), dict(small=0, max_groups=0)):
+        got = {(r.g, r.prob): r.value for r in O.exact_quantiles(df, ["v"], [0.5], ["g"], **way).collect()}
+        assert got == {(None, 0.5): 2.0, ("a", 0.5): 5.0}
     assert O.exact_quantiles(df.limit(0), ["v"], [0.5], small=0).count() == 0
     assert O.quantiles(df.limit(0), "v", [0.5]) == [None]
 
 
+def test_quantiles_of_extremes(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(-inf,), (0.0,), (1.0,), (inf,)], "v double")
+    got = {r.prob: r.value for r in O.exact_quantiles(df, ["v"], [0.0, 0.3, 0.6, 1.0], method="discrete", small=0).collect()}
+    assert got == {0.0: -inf, 0.3: 0.0, 0.6: 1.0, 1.0: inf}
+
+
 def test_draw_rank_is_a_row_number(spark, shuffle_parts):
     df = spark.range(500).withColumn("g", F.when(F.col("id") < 400, "big").otherwise("small"))
     runs = shuffle_parts(lambda: O.draw_rank(df, hash_uniform(1, "id"), ["id"], ["g"]))
