@@ -166,13 +166,13 @@ def campaign_economics(df: DataFrame, draw: Column, nim: float = NET_INTEREST_MA
     """
     action = F.col("action_type")
     balance = F.col("balance_at_risk_usd")
-    kept = F.round(balance * F.lit(nim) * F.lit(REVENUE_YEARS) * F.col("p_retain"), 2)
+    # decimal arithmetic: cents round half up whatever the binary value
+    money, share = balance.cast("decimal(18,2)"), "decimal(9,6)"
+    kept = money * F.lit(nim * REVENUE_YEARS).cast(share) * F.col("p_retain").cast(share)
     return df.withColumns({
-        "retained_revenue_usd": F.when(F.col("retained"), kept).otherwise(F.lit(0.0)),
-        # decimal arithmetic: cents round half up whatever the binary value
+        "retained_revenue_usd": F.when(F.col("retained"), kept.cast("decimal(18,2)").cast("double")).otherwise(F.lit(0.0)),
         "cost_usd": F.when(action == "retention_offer",
-                           (balance.cast("decimal(18,2)") * F.lit(OFFER_COST_RATE).cast("decimal(4,3)"))
-                           .cast("decimal(18,2)").cast("double"))
+                           (money * F.lit(OFFER_COST_RATE).cast(share)).cast("decimal(18,2)").cast("double"))
         .when(action == "cross_sell", F.lit(CROSS_SELL_COST))
         .otherwise(F.lit(OUTREACH_COST)),
         "margin_impact_usd": F.when((action == "cross_sell") & ~F.col("retained"), F.round(draw * 200, 2))

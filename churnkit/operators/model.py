@@ -23,35 +23,49 @@ DEFAULT_THRESHOLD = 0.5
 IMPORTED_THRESHOLD = 0.325
 
 
-def add_class_weight(train: DataFrame, label: str, scheme: str = "balanced", out: str = "class_weight") -> DataFrame:
-    """Weight column: ``balanced`` per class, or ``positive`` at negatives per positive.
-
-    The weights are one number per class and travel through the driver.
-    """
+def _weights(train: DataFrame, label: str, scheme: str) -> tuple[dict, int]:
+    """Weight per class and the number of rows: one number per class through the driver."""
     rows = {r[label]: r for r in class_weights(train, label).collect()}
     if scheme == "balanced":
         weights = {k: r["balanced_weight"] for k, r in rows.items()}
     else:
         weights = {k: (r["neg_pos_ratio"] if k == 1 else 1.0) for k, r in rows.items()}
+    return weights, sum(r["n"] for r in rows.values())
+
+
+def _weighted(train: DataFrame, label: str, weights: dict, out: str) -> DataFrame:
     expr = F.lit(1.0)
     for k, w in weights.items():
         expr = F.when(F.col(label) == k, F.lit(float(w))).otherwise(expr)
     return train.withColumn(out, expr)
 
 
-def _fit(train: DataFrame, features: Sequence[str], label: str, learner) -> PipelineModel:
+def add_class_weight(train: DataFrame, label: str, scheme: str = "balanced", out: str = "class_weight") -> DataFrame:
+    """Weight column: ``balanced`` per class, or ``positive`` at negatives per positive."""
+    return _weighted(train, label, _weights(train, label, scheme)[0], out)
+
+
+# Training reads its rows many times. A table of up to SPREAD_ROWS rows, often a single
+# file, is first spread over the cores; a larger one is split finely enough as it is.
+SPREAD_ROWS, ROWS_PER_TASK = 10_000_000, 1_000
+
+
+def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, learner) -> PipelineModel:
+    spark = train.sparkSession
+    weights, rows = _weights(train, label, scheme)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec", handleInvalid="keep")
-    data = train.select(*[F.col(f).cast("double").alias(f) for f in features],
-                        F.col(label).cast("double").alias(label), "class_weight")
-    shared_dir(train.sparkSession)  # long boosting runs cut their lineage there
+    data = _weighted(train, label, weights, "class_weight").select(
+        *[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("double").alias(label), "class_weight")
+    if rows <= SPREAD_ROWS:
+        data = data.repartition(min(spark.sparkContext.defaultParallelism, rows // ROWS_PER_TASK + 1))
+    shared_dir(spark)  # long boosting runs cut their lineage there
     return Pipeline(stages=[assembler, learner]).fit(data)
 
 
 def fit_rf(train: DataFrame, features: Sequence[str], label: str, trees: int = RF_TREES, depth: int = RF_DEPTH,
            seed: int = 42) -> PipelineModel:
     """Random forest with balanced class weights."""
-    weighted = add_class_weight(train, label, "balanced")
-    return _fit(weighted, features, label, RandomForestClassifier(
+    return _fit(train, features, label, "balanced", RandomForestClassifier(
         featuresCol="features_vec", labelCol=label, weightCol="class_weight", numTrees=trees, maxDepth=depth,
         featureSubsetStrategy="sqrt", seed=seed))
 
@@ -60,8 +74,7 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str, rounds: int =
             rate: float = GBT_RATE, rows: float = GBT_ROWS, columns: float = GBT_COLUMNS,
             seed: int = 42) -> PipelineModel:
     """Boosted trees with positives weighted up to the negatives."""
-    weighted = add_class_weight(train, label, "positive")
-    return _fit(weighted, features, label, GBTClassifier(
+    return _fit(train, features, label, "positive", GBTClassifier(
         featuresCol="features_vec", labelCol=label, weightCol="class_weight", maxIter=rounds, maxDepth=depth,
         stepSize=rate, subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed))
 

@@ -81,7 +81,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     by, ps = list(by), [float(p) for p in probs]
     narrow = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
     step = 2.0 / SKETCH_ACCURACY
-    around = sorted({min(1.0, max(0.0, p + s)) for p in ps for s in (-step, step)})
+    around = [min(1.0, max(0.0, p + s)) for p in ps for s in (-step, step)]
     heads = narrow.groupBy(*by).agg(
         F.count("*").alias("_rows"),
         *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"_e_{c}") for c in columns],
@@ -105,9 +105,9 @@ def _wanted(p: float, n: int, method: str) -> tuple[float, list[int]]:
 def _bracketed_quantiles(narrow: DataFrame, columns, ps, by, method, heads, ranges) -> DataFrame:
     spark = narrow.sparkSession
     groups = [tuple(r[g] for g in by) for r in heads]
-    # an edge and the next larger number: a value that repeats has a bracket of its own
-    edges = [{c: sorted({x for e in (r[f"_e_{c}"] or []) for x in (e, math.nextafter(e, math.inf))}) for c in columns}
-             for r in heads]
+    # from the lower cut to just above the upper one: a value that fills both is a bracket of its own
+    edges = [{c: sorted({e if i % 2 == 0 else math.nextafter(e, math.inf) for i, e in enumerate(r[f"_e_{c}"] or [])})
+              for c in columns} for r in heads]
     width = max([len(e[c]) for e in edges for c in columns], default=0)
     keys = narrow.select(*by).schema
 
@@ -159,12 +159,11 @@ def _bracketed_quantiles(narrow: DataFrame, columns, ps, by, method, heads, rang
             per_group[gi][i].append((bid, lo, hi))
         kind = "array<struct<id:int,lo:double,hi:double>>"
         src = with_group([tuple(x) for x in per_group], [(f"_b{i}", kind) for i in range(len(columns))])
-        if not by:
-            near = F.lit(False)
-            for i, c in enumerate(columns):
-                for _, lo, hi in per_group[0][i]:
-                    near = near | _in_bracket(F.col(c), F.lit(lo), F.lit(hi))
-            src = src.filter(near)
+        # most rows are outside every bracket: drop them by plain comparisons first
+        most = [max(len(g[i]) for g in per_group) for i in range(len(columns))]
+        src = src.filter(" OR ".join(
+            f"(`{c}` >= get(_b{i}, {k}).lo AND `{c}` <= get(_b{i}, {k}).hi)" for i, c in enumerate(columns)
+            for k in range(most[i])))
         cells = F.flatten(F.array(*[
             F.transform(F.filter(F.col(f"_b{i}"), _bracket_test(c)), _bracket_cell(c)) for i, c in enumerate(columns)]))
         hits = src.select(F.explode(cells).alias("_x")).select("_x.*")
@@ -275,6 +274,15 @@ def _small_quantiles(df: DataFrame, columns, probs, by, method) -> DataFrame:
             .filter(F.col("value").isNotNull()))
 
 
+def bounded_side(df: DataFrame, limit: int = 10_000) -> DataFrame:
+    """A small result as a broadcast side: hinted only after its rows were counted by fetching
+    them; one with more than ``limit`` rows is returned as it is, for Spark to shuffle."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str = "discrete",
               approx: bool = False, accuracy: int = 10000) -> list[float | None]:
     """Cut points of one column on the driver; exact unless ``approx``."""

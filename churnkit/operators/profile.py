@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions.columns import hash_uniform
-from churnkit.operators.order import draw_rank, exact_quantiles, quantile_columns
+from churnkit.operators.order import bounded_side, draw_rank, quantile_columns
 
 
 def _to_rows(wide: DataFrame, cells: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
@@ -215,7 +215,7 @@ def rate_by_bin(df: DataFrame, column: str, target: str, bins: int = 5, approx:
 
 def box_stats(df: DataFrame, columns: Sequence[str], by: str, k: float = 1.5, approx: bool = False) -> DataFrame:
     """Box-plot numbers per class and column: quartiles, whiskers, outliers."""
-    q = quantile_columns(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], approx=approx)
+    q = bounded_side(quantile_columns(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], approx=approx))
     long = df.select(by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns
     ])).alias("_x")).select(by, "_x.*").filter(F.col("v").isNotNull())

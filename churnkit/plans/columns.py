@@ -133,7 +133,8 @@ def g11_clamped_outcome(spark, d):
 
 
 @query(f"""WITH {_CAMPAIGN}, e AS (SELECT action_type,
-    CASE WHEN retained THEN round(balance_at_risk_usd * 0.025::DOUBLE * 3 * p_retain, 2) ELSE 0 END::DECIMAL(18,2) AS revenue,
+    CASE WHEN retained THEN (balance_at_risk_usd::DECIMAL(22,2) * 0.075::DECIMAL(4,3) * p_retain::DECIMAL(7,6))::DECIMAL(18,2)
+         ELSE 0 END::DECIMAL(18,2) AS revenue,
     CASE action_type WHEN 'retention_offer' THEN (balance_at_risk_usd::DECIMAL(18,2) * 0.006)::DECIMAL(18,2)
          WHEN 'cross_sell' THEN 50 ELSE 40 END::DECIMAL(18,2) AS cost,
     CASE WHEN action_type = 'cross_sell' AND NOT retained THEN round({D.u(82, _KEY)} * 200, 2) ELSE 0 END::DECIMAL(18,2) AS margin
@@ -159,14 +160,13 @@ def g13_summary_text(spark, d):
 
 
 @query(f"""WITH {D.FEATS} SELECT replace(customer_id, 'CUST-', 'CUST-D-') AS customer_id,
-  round(total_outflow_60d_usd * 3.5::DOUBLE - 50000, 1) AS total_outflow_60d_usd,
-  round(total_balance_usd * 1.6::DOUBLE, 1) AS total_balance_usd, 1 AS has_maturing_cd,
+  total_outflow_60d_usd * 3.5::DOUBLE + -50000.0::DOUBLE AS total_outflow_60d_usd,
+  total_balance_usd * 1.6::DOUBLE + 0.0::DOUBLE AS total_balance_usd, 1 AS has_maturing_cd,
   greatest(tier_rank, 1) + 1 AS tier_rank, withdrawal_count_60d + 8 AS withdrawal_count_60d,
   txn_count_60d + 5 AS txn_count_60d FROM feats""")
 def g14_scenario_shift(spark, d):
     s = C.scenario_shift(D.features(spark, d))
-    return s.select("customer_id", F.round("total_outflow_60d_usd", 1).alias("total_outflow_60d_usd"),
-                    F.round("total_balance_usd", 1).alias("total_balance_usd"), "has_maturing_cd", "tier_rank",
+    return s.select("customer_id", "total_outflow_60d_usd", "total_balance_usd", "has_maturing_cd", "tier_rank",
                     "withdrawal_count_60d", "txn_count_60d")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnkit.functions import columns as C
 from churnkit.operators import assemble as A
 from churnkit.operators import features as FT
 from churnkit.operators.order import running_counts

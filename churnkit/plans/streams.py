@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnkit.operators.features import FEATURES
-from churnkit.plans import data as D
 from churnkit.plans import monitoring as MO
 from churnkit.plans import requests as R
 from churnkit.plans import storage as S

@@ -1,12 +1,11 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from churnkit.operators.payload import unpack_payload
 from churnkit.session import scratch_path
 from churnkit.streaming import jobs
 from tests.test_monitor import _drift
-from tests.test_payload import FE, LOG, _raw
+from tests.test_payload import FE, _raw
 
 
 def _path(spark, name):
