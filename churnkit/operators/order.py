@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnkit.functions.columns import hash_uniform
 from churnkit.session import range_count
 
 
@@ -25,15 +27,24 @@ def value_ranges(df: DataFrame, columns: Sequence[str], ranges: int | None = Non
     """Add ``_range_<column>``: which of about ``ranges`` equal-count ranges a value is in.
 
     One pass builds a mergeable sketch per column; the driver receives only
-    ``ranges`` cut points per column. Nulls get range -1.
+    ``ranges`` cut points per column. Nulls get range -1. Rough cut points do:
+    they decide how even the ranges are, nothing else.
     """
     n = ranges or range_count(df.sparkSession)
+    cuts = _cut_points(df, columns, n)
+    return _assign_ranges(df, {c: sorted(set(cuts[c])) for c in columns})
+
+
+def _cut_points(df: DataFrame, columns: Sequence[str], n: int) -> dict[str, list[float]]:
+    """``n - 1`` values per column that split its rows evenly; a value in many rows repeats."""
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    cuts = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * n).alias(c) for c in columns]).first()
-    edges = {c: sorted({e for e in (cuts[c] or []) if e == e}) for c in columns}
-    cut = [c for c in columns if edges[c]]
-    out = df.withColumns({f"_range_{c}": F.when(F.col(c).isNull(), -1).otherwise(0)
-                          for c in columns if not edges[c]})
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, max(1000, 2 * n)).alias(c) for c in columns]).first()
+    return {c: [e for e in (row[c] or []) if e == e] for c in columns}
+
+
+def _assign_ranges(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    cut = [c for c in edges if edges[c]]
+    out = df.withColumns({f"_range_{c}": F.when(F.col(c).isNull(), -1).otherwise(0) for c in edges if not edges[c]})
     if not cut:
         return out
     out = Bucketizer(
@@ -316,15 +327,29 @@ def draw_rank(df: DataFrame, draw: Column, tie: Sequence[str], by: Sequence[str]
     """
     n = ranges or range_count(df.sparkSession)
     drawn = df.withColumn("_draw", draw).withColumn("_rng", F.floor(F.col("_draw") * n).cast("int"))
-    return _number_rows(drawn, ["_draw", *tie], by, out, bounded=n).drop("_draw", "_rng")
+    return _number_rows(drawn, ["_draw", *tie], by, out).drop("_draw", "_rng")
+
 
+def value_rank(df: DataFrame, column: str, tie: Sequence[str], by: Sequence[str] = (), out: str = "rank",
+               seed: int = 42, ranges: int | None = None) -> DataFrame:
+    """Row number from 1 in order of a numeric column, per ``by``.
 
-def value_rank(df: DataFrame, column: str, tie: Sequence[str] = (), by: Sequence[str] = (), out: str = "rank",
-               ranges: int | None = None) -> DataFrame:
-    """Row number from 1 in order of a numeric column (``tie`` breaks equal values), per ``by``."""
+    Equal values follow in the order of a draw on the ``tie`` key, then the key
+    itself. A value that fills several ranges gets a range of its own, which
+    the draw splits into as many parts; nulls come first and are split alike.
+    """
     n = ranges or range_count(df.sparkSession)
-    ranged = value_ranges(df, [column], n).withColumnRenamed(f"_range_{column}", "_rng")
-    return _number_rows(ranged, [column, *tie], by, out, bounded=n + 2).drop("_rng")
+    cuts = _cut_points(df, [column], n)[column]
+    hot = {e: k for e, k in Counter(cuts).items() if k > 1 and math.isfinite(e)}
+    edges = sorted({*cuts, *(math.nextafter(e, math.inf) for e in hot)})
+    ranged = _assign_ranges(df, {column: edges}).withColumn("_draw", hash_uniform(seed, *tie))
+    rng = F.col(f"_range_{column}")
+    # parts per range, by range number: range i + 1 starts at edge i
+    parts = ",".join(["1", *[str(hot.get(e, 1)) for e in edges], "1"])
+    split = F.when(rng < 0, F.lit(n)).otherwise(F.coalesce(F.get(F.split(F.lit(parts), ","), rng).cast("int"), F.lit(1)))
+    part = F.floor(F.col("_draw") * split)
+    ranged = ranged.withColumn("_rng", rng.cast("long") * F.lit(1 << 20) + part).drop(f"_range_{column}")
+    return _number_rows(ranged, [column, "_draw", *tie], by, out).drop("_rng", "_draw")
 
 
 def _group_key(by: Sequence[str]) -> Column:
@@ -333,13 +358,13 @@ def _group_key(by: Sequence[str]) -> Column:
     return F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
 
 
-def _number_rows(df: DataFrame, order: Sequence[str], by: Sequence[str], out: str, bounded: int) -> DataFrame:
+def _number_rows(df: DataFrame, order: Sequence[str], by: Sequence[str], out: str) -> DataFrame:
     keyed = df.withColumn("_by", _group_key(by))
     sizes = keyed.groupBy("_by", "_rng").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_by").orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_by", "_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     if not by:
-        offsets = F.broadcast(offsets)  # one row per range: at most `bounded`
+        offsets = F.broadcast(offsets)  # one row per range or part of one: a few per `range_count`
     inside = Window.partitionBy("_by", "_rng").orderBy(*order)
     numbered = keyed.withColumn("_pos", F.row_number().over(inside))
     return numbered.join(offsets, ["_by", "_rng"]).select(*df.columns, (F.col("_before") + F.col("_pos")).alias(out))

@@ -105,8 +105,8 @@ def w1_latest_by(spark, d):
     return A.latest_by(ev, ["user_id"], [F.desc("ts"), F.desc("event_id")]).drop("ts")
 
 
-@query("""SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal, c_custkey) AS row_number,
-                 ((row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1) // 25)::BIGINT AS batch FROM customer""")
+@query(f"""SELECT c_custkey, row_number() OVER w AS row_number, ((row_number() OVER w - 1) // 25)::BIGINT AS batch
+           FROM customer WINDOW w AS (ORDER BY c_acctbal, {D.u(42, 'c_custkey')}, c_custkey)""")
 def w2_batch_rows(spark, d):
     """Batches of 25 in balance order."""
     c = table(spark, d, "customer").select("c_custkey", "c_acctbal")

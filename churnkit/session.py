@@ -50,6 +50,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/churnkit/{name}-{uuid.uuid4().hex}"
 
 
+MIN_RANGES, MAX_RANGES = 256, 16_384
+
+
 def range_count(spark: SparkSession) -> int:
-    """How many value ranges a distributed ordering is cut into."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    """How many value ranges a distributed ordering is cut into: several per shuffle
+    partition, so that tasks even out, and never so many that the cut points weigh."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(max(4 * partitions, MIN_RANGES), MAX_RANGES)

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pandas as pd
@@ -73,11 +74,36 @@ def test_draw_rank_is_a_row_number(spark, shuffle_parts):
         assert sorted(got[got.g == g]["rank"]) == list(range(1, n + 1))
 
 
-def test_value_rank_with_ties_and_nulls(spark):
-    rows = [(i, None if i == 3 else float(i % 4)) for i in range(40)]
-    df = spark.createDataFrame(rows, "id int, v double")
-    got = [r.id for r in O.value_rank(df, "v", ["id"], ranges=5).orderBy("rank").collect()]
-    assert got == [r[0] for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0.0, r[0]))]
+def _draw(key, seed=42):
+    return int(hashlib.md5(f"{seed}|{key}".encode()).hexdigest()[:8], 16)
+
+
+@pytest.mark.parametrize("ranges", [2, 5, 64])
+def test_value_rank_with_hot_value_and_nulls(spark, ranges):
+    """Half of the rows share one value and some have none."""
+    rows = [(i, None if i % 9 == 0 else 2.0 if i % 2 else float(i % 7)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, v double").repartition(3)
+    got = [r.id for r in O.value_rank(df, "v", ["id"], ranges=ranges).orderBy("rank").collect()]
+    assert got == [r[0] for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0.0, _draw(r[0]), r[0]))]
+
+
+def test_value_rank_splits_a_hot_value(spark):
+    """The rows of one value are ordered in many groups, not in one."""
+    df = spark.range(4000).withColumn("v", F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")))
+    seen = {}
+    real = O._number_rows
+
+    def spy(ranged, *args):
+        seen["largest"] = ranged.groupBy("_rng").count().agg(F.max("count")).first()[0]
+        return real(ranged, *args)
+
+    O._number_rows, ranked = spy, None
+    try:
+        ranked = O.value_rank(df, "v", ["id"], ranges=64)
+    finally:
+        O._number_rows = real
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 4001))
+    assert seen["largest"] < 4000 / 64 * 3
 
 
 def test_running_counts(spark, shuffle_parts):
