@@ -18,6 +18,12 @@ def _start(df, column="window_start"):
     return df.withColumn(column, F.col(column).cast("string"))
 
 
+def _shown(mean):
+    """Four digits. Means of few values with two digits often end in a 5 at the fifth, where the
+    order of addition would decide the rounding; a nudge far below the digits shown settles it."""
+    return F.round(mean + F.lit(1e-9), 4)
+
+
 def _flat(drift):
     """Drift rows with the window as text and the distance rounded."""
     return drift.select("column_name", "drift_type", F.col("window.start").cast("string").alias("window_start"),
@@ -60,24 +66,25 @@ _ROW = """SELECT column_name, drift_type, w::VARCHAR AS window_start, model_vers
   round(js, 6) AS js_distance FROM """
 
 
-@query("SELECT date_trunc('day', ts)::VARCHAR AS window_start, count(*) AS n, round(avg(value), 4) AS mean FROM events GROUP BY 1")
+@query("SELECT date_trunc('day', ts)::VARCHAR AS window_start, count(*) AS n, round(avg(value) + 1e-9, 4) AS mean FROM events GROUP BY 1")
 def m1_time_window(spark, d):
     w = M.time_window(D.inference_log(spark, d), "ts")
     return w.groupBy(F.col("window.start").cast("string").alias("window_start")).agg(
-        F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"))
+        F.count("*").alias("n"), _shown(F.avg("value")).alias("mean"))
 
 
 @query(f"""WITH {D.LOG}, long AS (SELECT date_trunc('day', ts) AS w, model_version, slice_key,
     CASE WHEN by_type THEN event_type ELSE 'all' END AS slice_value,
     unnest([{{'c': 'value', 'v': value}}, {{'c': 'prediction', 'v': prediction::DOUBLE}}]) AS x FROM ilog, {_SLICES})
   SELECT w::VARCHAR AS window_start, model_version, slice_key, slice_value, x.c AS column_name, count(*) AS count,
-    count(*) FILTER (x.v IS NULL) AS nulls, round(avg(x.v), 4) AS mean, round(stddev(x.v), 4) AS stddev, min(x.v) AS min,
+    count(*) FILTER (x.v IS NULL) AS nulls, round(avg(x.v) + 1e-9, 4) AS mean, round(stddev(x.v) + 1e-9, 4) AS stddev, min(x.v) AS min,
     max(x.v) AS max, count(DISTINCT x.v) AS distinct_count, round(quantile_cont(x.v, 0.25), 4) AS p25,
     round(quantile_cont(x.v, 0.5), 4) AS p50, round(quantile_cont(x.v, 0.75), 4) AS p75 FROM long GROUP BY 1, 2, 3, 4, 5""")
 def m2_profile_metrics(spark, d):
     out = M.profile_metrics(D.inference_log(spark, d), ["value", "prediction"], "ts", slices=["event_type"],
                             quantiles={"p25": 0.25, "p50": 0.5, "p75": 0.75}, exact=True)
-    return _start(out.withColumns({c: F.round(c, 4) for c in ("mean", "stddev", "p25", "p50", "p75")}))
+    out = out.withColumns({c: F.round(c, 4) for c in ("p25", "p50", "p75")})
+    return _start(out.withColumns({c: _shown(F.col(c)) for c in ("mean", "stddev")}))
 
 
 @query(f"""WITH {_DIST} SELECT w::VARCHAR AS window_start, model_version, slice_key, slice_value, column_name, bin, n,
@@ -141,11 +148,11 @@ def m7_quality_checks(spark, d):
 
 @query(f"""WITH {D.LOG} SELECT date_trunc('day', ts)::VARCHAR AS window_start, slice_key,
   CASE WHEN by_type THEN event_type ELSE 'all' END AS slice_value, 'flagged_value' AS metric,
-  round(avg(value) FILTER (prediction = 1), 4) AS value FROM ilog, {_SLICES} GROUP BY 1, 2, 3""")
+  round(avg(value) FILTER (prediction = 1) + 1e-9, 4) AS value FROM ilog, {_SLICES} GROUP BY 1, 2, 3""")
 def m8_custom_metric(spark, d):
     out = M.custom_metric(D.inference_log(spark, d), "flagged_value", "avg(CASE WHEN prediction = 1 THEN value END)", "ts",
                           ["event_type"])
-    return _start(out.withColumn("value", F.round("value", 4)))
+    return _start(out.withColumn("value", _shown(F.col("value"))))
 
 
 _GATE = """gate AS (SELECT drift_type, w, js FROM consec WHERE column_name = 'prediction' AND slice_key = 'all'

@@ -31,7 +31,7 @@ def st1_unpack_stream(spark, d):
 
 
 @query("""SELECT date_trunc('day', ts)::VARCHAR AS window_start, (user_id % 2)::VARCHAR AS model_version, count(*) AS rows,
-  count(*) FILTER (value IS NULL) AS value_nulls, round(avg(value), 4) AS value_mean, min(value) AS value_min,
+  count(*) FILTER (value IS NULL) AS value_nulls, round(avg(value) + 1e-9, 4) AS value_mean, min(value) AS value_min,
   max(value) AS value_max FROM events GROUP BY 1, 2
   HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
 def st2_profile_stream(spark, d):
@@ -42,7 +42,7 @@ def st2_profile_stream(spark, d):
     prof, out = jobs.profile_stream(stream, ["value"], "ts"), scratch_path(spark, "profile")
     _run(jobs.to_parquet(prof, out, scratch_path(spark, "ckpt")))
     got = spark.read.schema(prof.schema).parquet(out)
-    return got.withColumns({"window_start": F.col("window_start").cast("string"), "value_mean": F.round("value_mean", 4)})
+    return got.withColumns({"window_start": F.col("window_start").cast("string"), "value_mean": MO._shown(F.col("value_mean"))})
 
 
 @query(SQL["s11_upsert"])
