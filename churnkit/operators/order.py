@@ -125,10 +125,10 @@ def _bracketed_quantiles(narrow: DataFrame, columns, ps, by, method, heads, rang
     def with_group(values: list[tuple], ddl_types: list[tuple[str, str]]) -> DataFrame:
         """The rows with per-group values: literals without groups, else a bounded broadcast join."""
         if not by:
-            return narrow.withColumns({name: F.lit(None).cast(kind) if values[0][i] is None else _literal(values[0][i]).cast(kind)
+            return narrow.withColumns({name: _literal(values[0][i]).cast(kind)
                                        for i, (name, kind) in enumerate(ddl_types)})
-        schema = T.StructType(keys.fields + T._parse_datatype_string(
-            ", ".join(f"{n} {k}" for n, k in ddl_types)).fields)
+        added = T.StructType.fromDDL(", ".join(f"{n} {k}" for n, k in ddl_types))
+        schema = T.StructType([*keys.fields, *added.fields])
         side = F.broadcast(spark.createDataFrame([(*g, *v) for g, v in zip(groups, values)], schema))
         names = [n for n, _ in ddl_types]
         return narrow.alias("d").join(side.alias("s"), same_keys("d", "s", by)).select("d.*", *[F.col(f"s.{n}") for n in names])
