@@ -71,3 +71,14 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterabl
 def text_of(name: str = "text"):
     """A text column with null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
+
+
+def keep_rows(df: DataFrame, text: str, verdict: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows whose ``text`` passes, every column unchanged. ``verdict`` gets a batch of texts (nulls included)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield b.filter(pa.array(verdict(b.column(at).to_pylist()), pa.bool_()))
+
+    at = df.columns.index(text)
+    return df.mapInArrow(run, df.schema)

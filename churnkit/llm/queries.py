@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import simhash
+from churnkit.llm import repetition, simhash
 from churnkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,45 @@ def query(sql: str | None = None):
 @query()
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def _repetition_sql(rules: repetition.RepetitionRules) -> str:
+    """The figures of ``repetition_quality`` by window functions over words: a window of n words is the word and the n - 1
+    that lead it, and a word is covered if one of the n windows ending at or after it repeats."""
+    sizes = sorted({repetition.BASE_GRAM, *rules.max_covered})
+    grams = ", ".join("CASE WHEN lead(word, {1}) OVER o IS NOT NULL THEN concat_ws(' ', word, {0}) END AS g{2}".format(
+        ", ".join(f"lead(word, {k}) OVER o" for k in range(1, n)), n - 1, n) for n in sizes)
+    starts = ", ".join(f"g{n} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g{n}) > 1 AS s{n}" for n in sizes)
+    marks = ", ".join(f"bool_or(s{n}) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) "
+                      f"AS m{n}" for n in sizes)
+    spans = ", ".join(f"coalesce(sum(chars) FILTER (m{n}), 0)::BIGINT AS covered_{n}" for n in rules.max_covered)
+    over = " OR ".join([*(f"100 * coalesce(covered_{n}, 0) > {most} * coalesce(word_chars, 0)" for n, most in rules.max_covered.items()),
+                        f"100 * coalesce(line_chars, 0) > {rules.max_line_chars} * coalesce(word_chars, 0)"])
+    base = (f"coalesce(n_words, 0) < {rules.min_words} OR 100 * coalesce(n_repeat_words, 0) > "
+            f"{rules.max_repeat_words} * coalesce(n_words, 0)")
+    return rf"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    split AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
+    word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split),
+    gram AS (SELECT doc_id, pos, length(word) AS chars, {grams} FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+    start AS (SELECT doc_id, pos, chars, {starts} FROM gram),
+    mark AS (SELECT doc_id, chars, {marks} FROM start),
+    per_doc AS (SELECT doc_id, count(*) AS n_words, sum(chars)::BIGINT AS word_chars,
+        count(*) FILTER (m{repetition.BASE_GRAM}) AS n_repeat_words, {spans} FROM mark GROUP BY doc_id),
+    line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+    lines AS (SELECT doc_id, line, count(*) AS n FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        GROUP BY doc_id, line HAVING count(*) > 1),
+    per_line AS (SELECT doc_id, sum(n - 1)::BIGINT AS n_dup_lines,
+        sum(n * length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')))::BIGINT AS line_chars FROM lines GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+        coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, ({base}) AS base_failed, NOT ({base} OR {over}) AS kept,
+        {", ".join(f"coalesce(covered_{n}, 0)::BIGINT AS covered_{n}" for n in rules.max_covered)},
+        coalesce(line_chars, 0)::BIGINT AS line_chars
+    FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_line USING (doc_id)
+    """
+
+
+@query(_repetition_sql(repetition.DEFAULT))
+def op5_repetition_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.repetition_quality(table(spark, folder, "documents"))
