@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import repetition, simhash
+from churnkit.llm import repetition, secrets, simhash
 from churnkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def _repetition_sql(rules: repetition.RepetitionRules) -> str:
 @query(_repetition_sql(repetition.DEFAULT))
 def op5_repetition_quality(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition_quality(table(spark, folder, "documents"))
+
+
+@query()
+def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, folder, "documents"))
