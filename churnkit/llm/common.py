@@ -51,6 +51,16 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:/") else f"file://{uri}")
 
 
+def write_then_rename(fs: pafs.FileSystem, path: str, raw: bytes) -> None:
+    """Write a file under a temporary name of its own, then give it its name: readers see all of it or nothing, and
+    attempts of a task that run at once end in the same file."""
+    folder, _, name = path.rpartition("/")
+    temporary = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(temporary) as out:
+        out.write(raw)
+    fs.move(temporary, path)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterable[dict]], schema: str) -> DataFrame:
     """Run ``fn`` in every task over its batches, each a dict of column lists; it yields dicts of columns.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import repetition, secrets, simhash
+from churnkit.llm import idfiles, repetition, secrets, simhash
 from churnkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,17 @@ def query(sql: str | None = None):
     return add
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's vocabulary lies on this machine; executors have the same package."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query()
+def op1_token_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    return idfiles.corpus_ids(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 @query()
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
