@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import idfiles, packing, repetition, secrets, simhash
+from churnkit.llm import idfiles, packing, repetition, secrets, simhash, warc
 from churnkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,21 @@ def op5_repetition_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(table(spark, folder, "documents"))
+
+
+_ARCHIVE_SQL = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+hashed AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS h FROM page),
+coded AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(h, (i // 4)::BIGINT * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) & 31)::BIGINT + 1, 1)), '') AS payload_digest,
+    max(page_id) OVER (PARTITION BY h) AS head FROM hashed)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> head THEN head END AS refers_to
+FROM coded
+"""
+
+
+@query(_ARCHIVE_SQL)
+def op9_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(table(spark, folder, "pages")).drop("url")
