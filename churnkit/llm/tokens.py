@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 from functools import lru_cache
 
@@ -11,18 +12,23 @@ from functools import lru_cache
 CACHE_WORDS = 600_000
 
 
+# White space as tokenizers see it: unlike Python they do not count the four separators among it.
+_PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+
+
+def _steps(part: dict | None, inner: str) -> list[dict]:
+    return [] if part is None else part[inner] if part["type"] == "Sequence" else [part]
+
+
 def separable(spec: dict) -> bool:
-    """Whether ids of a text are the ids of its words (each with the space before it) one after another.
+    """Whether ids of a text are the ids of its words (each with the white space before it) one after another.
 
-    So it is where words are cut by the usual pattern before merging: a match that holds a space starts with it, unless it
-    is white space alone. The normalisers met here (composition, white space to spaces, lower case) do not look across a
-    space either. Any other tokenizer gets whole texts.
+    So it is where words are cut by the usual pattern before merging: no match goes from a sign that is not white space to
+    one that is. The normalisers met here (composition, white space to spaces, lower case) do not look across that place
+    either. Any other tokenizer gets whole texts.
     """
-    def steps(part, inner):
-        return [] if part is None else part[inner] if part["type"] == "Sequence" else [part]
-
-    before = steps(spec.get("pre_tokenizer"), "pretokenizers")
-    normal = steps(spec.get("normalizer"), "normalizers")
+    before = _steps(spec.get("pre_tokenizer"), "pretokenizers")
+    normal = _steps(spec.get("normalizer"), "normalizers")
     if not before or any(n["type"] not in ("NFC", "Lowercase", "Replace") for n in normal):
         return False
     if any(n["type"] == "Replace" and (n["pattern"] != {"Regex": "\\s+"} or n["content"] != " ") for n in normal):
@@ -34,6 +40,50 @@ def separable(spec: dict) -> bool:
             and not before[1]["use_regex"] and not before[1]["add_prefix_space"])
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is printable, else the next one free."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+# Letters below this sign have one upper and lower form and no parts to compose, whatever the version of Unicode.
+_LATIN = "\u0250"
+
+
+class _Words(dict):
+    """Ids of words with the white space before them, found once. A word of Latin letters, with or without a stop after it,
+    is one piece (or two) of the pattern and goes to the merges directly; any other goes through the whole tokenizer."""
+
+    def __init__(self, tokenizer, lower: bool, spaced: bool):
+        super().__init__()
+        self.tokenizer, self.lower = tokenizer, lower
+        self.merge = tokenizer.model.tokenize
+        # what stands in front of the letters: nothing, a space that joins them, a line end that is a piece of its own
+        self.fronts = {" ": (b"", _LETTERS[0x20] if spaced else ""), "\n": (self._piece(_LETTERS[0x0A]) if spaced else b"", "")}
+
+    def _piece(self, letters: str) -> bytes:
+        ids = [t.id for t in self.merge(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: str) -> bytes:
+        front = self.fronts.get(word[:1])
+        stop = word[-1:] if word[-1:] in (",", ".", ";", ":", "!", "?") else ""
+        bare = word[front is not None:len(word) - len(stop)]
+        if self.lower:
+            bare = bare.lower()
+        if bare.isalpha() and (bare.isascii() or max(bare) < _LATIN):
+            letters = bare if bare.isascii() else bare.encode().decode("latin-1").translate(_LETTERS)
+            before, lead = front or (b"", "")
+            ids = before + self._piece(lead + letters) + (self._piece(stop) if stop else b"")
+        else:
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(found)}I", *found)
+        self[word] = ids
+        return ids
+
+
 class TextEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers. Special tokens are neither added nor recognised: their
     strings in a text are ordinary text."""
@@ -44,40 +94,22 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            self.by_words = separable(json.load(file))
-        self.heads: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+            spec = json.load(file)
+        self.by_words = separable(spec)
+        lower = any(n["type"] == "Lowercase" for n in _steps(spec.get("normalizer"), "normalizers"))
+        self.words = _Words(self.tokenizer, lower, len(_steps(spec.get("pre_tokenizer"), "pretokenizers")) == 1)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Surrogates, which UTF-8 lacks, are read as question marks."""
-        texts = [t if t.isascii() else t.encode("utf-8", "replace").decode() for t in texts]
-        if not self.by_words:
-            return self._ids(texts)
-        parts = [t.split(" ") for t in texts]
-        wanted = set().union(*(p[1:] for p in parts)) if parts else set()
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        new = wanted.difference(self.words)
-        # a part next to further white space is no word: texts with one are encoded whole
-        odd = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
-        whole = {i for i, p in enumerate(parts) if len(p) > 1 and (p[0][-1:].isspace() or not odd.isdisjoint(p[1:]))}
-        self._learn(self.words, new - odd, " ")
-        if len(self.heads) > CACHE_WORDS:
-            self.heads.clear()
-        self._learn(self.heads, {p[0] for i, p in enumerate(parts) if i not in whole}.difference(self.heads), "")
-        look = self.words.__getitem__
-        out = [b"" if i in whole else b"".join([self.heads[p[0]], *map(look, p[1:])]) for i, p in enumerate(parts)]
-        for i, ids in zip(sorted(whole), self._ids([texts[i] for i in sorted(whole)]), strict=True):
-            out[i] = ids
-        return out
-
-    def _learn(self, store: dict[str, bytes], words: set[str], before: str) -> None:
-        listed = list(words)
-        store.update(zip(listed, self._ids([before + w for w in listed]), strict=True))
+        return [self._one(t if t.isascii() else t.encode("utf-8", "replace").decode()) for t in texts]
+
+    def _one(self, text: str) -> bytes:
+        if self.by_words:
+            return b"".join(map(self.words.__getitem__, _PIECE.findall(text)))
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=4)
