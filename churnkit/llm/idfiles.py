@@ -174,11 +174,11 @@ def read_id_files(spark: SparkSession, folder: str, digest_only: bool = False) -
 
     def run(batches):
         fs, path = open_folder(folder)
-        with fs.open_input_stream(f"{path}/codebook.bin") as source:
+        with fs.open_input_stream(f"{path}/codebook.bin", compression=None) as source:
             book = Codebook(np.frombuffer(zlib.decompress(source.read()), np.uint8).astype(np.int64))
         for b in batches:
             for name, crc in zip(b["file"], b["crc32"], strict=True):
-                with fs.open_input_stream(f"{path}/{name}") as source:
+                with fs.open_input_stream(f"{path}/{name}", compression=None) as source:
                     raw = source.read()
                 if zlib.crc32(raw) != crc:
                     raise ValueError(f"{name} is not as it was written")
@@ -189,7 +189,8 @@ def read_id_files(spark: SparkSession, folder: str, digest_only: bool = False) -
                 yield out if digest_only else out | {"ids": parts}
 
     schema = "key long, start long, n_tokens long, ids_crc32 long" + ("" if digest_only else ", ids binary")
-    return map_batches(manifest.select("file", "crc32").repartition(F.col("file")), run, schema)
+    # a task for every few files: told so, or adaptive execution would put the short manifest into one task
+    return map_batches(manifest.select("file", "crc32").repartition(max(1, manifest.count()), "file"), run, schema)
 
 
 def corpus_ids(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:

@@ -39,19 +39,16 @@ def plan_ranges(df: DataFrame, key: str, weight: str, target: int) -> Ranges:
         return Ranges([0], [total])
     cells = max(16, 4 * (total // target + 1))
     done: list[tuple[int, int]] = []  # (first key, weight)
-    todo = [(low, high)]
-    while todo:
-        widths = [max(1, -(-(b - a + 1) // cells)) for a, b in todo]
-        frame = df.sparkSession.createDataFrame(
-            [(i, a, b, w) for i, ((a, b), w) in enumerate(zip(todo, widths, strict=True))], "i long, a long, b long, width long")
-        inside = (F.col("k") >= F.col("a")) & (F.col("k") <= F.col("b"))
-        # one row per heavy cell: as many as ranges at most, each of a key range of its own
-        cell = (rows.where(F.col("k").isNotNull()).join(F.broadcast(frame), inside)
-                .groupBy("i", F.expr("k div width").alias("c"))
-                .agg(F.sum("w").alias("w"), F.min("k").alias("k0"), F.max("k").alias("k1")))
-        found = cell.select("k0", "k1", "w").collect()
-        todo = [(r.k0, r.k1) for r in found if r.w > target and r.k0 < r.k1]
-        done += [(r.k0, r.w) for r in found if not (r.w > target and r.k0 < r.k1)]
+    rows = rows.where("k is not null").withColumn("cell", F.lit(0).cast("long"))
+    heavy = [(0, low, high)]
+    while heavy:
+        cuts = [(cell, i * (cells + 1), a, -(-(b - a + 1) // cells)) for i, (cell, a, b) in enumerate(heavy)]
+        # one row per heavy cell, each found by its number
+        frame = df.sparkSession.createDataFrame(cuts, "cell long, base long, a long, width long")
+        rows = rows.join(frame, "cell").select("k", "w", F.expr("base + (k - a) div width").alias("cell"))
+        found = rows.groupBy("cell").agg(F.sum("w").alias("w"), F.min("k").alias("a"), F.max("k").alias("b")).collect()
+        heavy = [(r.cell, r.a, r.b) for r in found if r.w > target and r.a < r.b]
+        done += [(r.a, r.w) for r in found if not (r.w > target and r.a < r.b)]
     done.sort()
     starts, totals = [low], [nulls]
     for first, w in done:

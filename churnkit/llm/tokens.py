@@ -8,8 +8,8 @@ import re
 import struct
 from functools import lru_cache
 
-# Words held per process; when full, the store starts anew.
-CACHE_WORDS = 600_000
+# New words after which a process starts a new store; words met again are taken over from the last one, others are forgotten.
+CACHE_WORDS = 350_000
 
 
 # White space as tokenizers see it: unlike Python they do not count the four separators among it.
@@ -50,16 +50,20 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 # Letters below this sign have one upper and lower form and no parts to compose, whatever the version of Unicode.
 _LATIN = "\u0250"
+# ASCII signs that are neither letters, digits nor white space: a run of them after a letter is one piece.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class _Words(dict):
-    """Ids of words with the white space before them, found once. A word of Latin letters, with or without a stop after it,
-    is one piece (or two) of the pattern and goes to the merges directly; any other goes through the whole tokenizer."""
+    """Ids of words with the white space before them, found once. A word of Latin letters is one piece of the pattern and
+    goes to the merges directly, ASCII marks after it are another one; any other word goes through the whole tokenizer."""
 
     def __init__(self, tokenizer, lower: bool, spaced: bool):
         super().__init__()
         self.tokenizer, self.lower = tokenizer, lower
         self.merge = tokenizer.model.tokenize
+        self.marks: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
         # what stands in front of the letters: nothing, a space that joins them, a line end that is a piece of its own
         self.fronts = {" ": (b"", _LETTERS[0x20] if spaced else ""), "\n": (self._piece(_LETTERS[0x0A]) if spaced else b"", "")}
 
@@ -67,19 +71,32 @@ class _Words(dict):
         ids = [t.id for t in self.merge(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def age(self) -> None:
+        """Begin a new store if this one is full."""
+        if len(self) > CACHE_WORDS:
+            self.last = dict(self)
+            self.clear()
+
     def __missing__(self, word: str) -> bytes:
-        front = self.fronts.get(word[:1])
-        stop = word[-1:] if word[-1:] in (",", ".", ";", ":", "!", "?") else ""
-        bare = word[front is not None:len(word) - len(stop)]
-        if self.lower:
-            bare = bare.lower()
-        if bare.isalpha() and (bare.isascii() or max(bare) < _LATIN):
-            letters = bare if bare.isascii() else bare.encode().decode("latin-1").translate(_LETTERS)
-            before, lead = front or (b"", "")
-            ids = before + self._piece(lead + letters) + (self._piece(stop) if stop else b"")
+        if (ids := self.last.get(word)) is not None:
+            self[word] = ids
+            return ids
+        core = word.rstrip(_MARKS)
+        if core and core[-1].isalpha() and len(core) < len(word):
+            marks = word[len(core):]
+            ids = self[core] + (self.marks.get(marks) or self.marks.setdefault(marks, self._piece(marks)))
         else:
-            found = self.tokenizer.encode(word, add_special_tokens=False).ids
-            ids = struct.pack(f"<{len(found)}I", *found)
+            front = self.fronts.get(word[:1])
+            bare = word[1:] if front else word
+            if self.lower:
+                bare = bare.lower()
+            if bare.isalpha() and (bare.isascii() or max(bare) < _LATIN):
+                letters = bare if bare.isascii() else bare.encode().decode("latin-1").translate(_LETTERS)
+                before, lead = front or (b"", "")
+                ids = before + self._piece(lead + letters)
+            else:
+                found = self.tokenizer.encode(word, add_special_tokens=False).ids
+                ids = struct.pack(f"<{len(found)}I", *found)
         self[word] = ids
         return ids
 
@@ -101,8 +118,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Surrogates, which UTF-8 lacks, are read as question marks."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+        self.words.age()
         return [self._one(t if t.isascii() else t.encode("utf-8", "replace").decode()) for t in texts]
 
     def _one(self, text: str) -> bytes:

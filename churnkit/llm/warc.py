@@ -250,7 +250,9 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
                     raise ValueError(f"{name} is not as it was written")
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return map_batches(manifest.select("file", "records", "crc32").repartition(F.col("file")), run, schema + (", payload binary" if payloads else ""))
+    # a task for every few files: told so, or adaptive execution would put the short manifest into one task
+    files = manifest.select("file", "records", "crc32").repartition(max(1, manifest.count()), "file")
+    return map_batches(files, run, schema + (", payload binary" if payloads else ""))
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
