@@ -11,8 +11,9 @@ WINDOW, STRIDE = 32, 16
 WORD_ROWS, GRAM_ROWS = 1 << 14, 1 << 15
 WIDTH, HIDDEN = 12, 16
 GRAMS = (3, 5, 7)
-# How sharply a document follows its highest windows.
-SHARPNESS = 4.0
+TABLES = ("word", "gram", "word_lean", "gram_lean")
+# How sharply a document follows its highest windows (0: their mean, large: their maximum).
+SHARPNESS = 1.0
 # Distinct words whose inputs a process keeps; when full, it starts anew.
 _CACHE_WORDS = 150_000
 _STRIP = b".,;:!?\"'()[]|*"
@@ -77,20 +78,21 @@ class Model:
     def fresh(seed: int) -> Model:
         rng = np.random.default_rng(seed)
         draw = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
-        h, d = HIDDEN, 2 * WIDTH
-        return Model({"word": draw(WORD_ROWS, WIDTH, scale=0.1), "gram": draw(GRAM_ROWS, WIDTH, scale=0.3),
+        h, d = HIDDEN, 2 * WIDTH + 2
+        return Model({"word_lean": np.zeros(WORD_ROWS, np.float32), "gram_lean": np.zeros(GRAM_ROWS, np.float32), "word": draw(WORD_ROWS, WIDTH, scale=0.1), "gram": draw(GRAM_ROWS, WIDTH, scale=0.3),
                       "input": draw(d, 6 * h, scale=d ** -0.5), "bias": np.zeros(6 * h, np.float32),
                       "forth": draw(h, 3 * h, scale=h ** -0.5), "back": draw(h, 3 * h, scale=h ** -0.5),
                       "look": draw(2 * h, h, scale=(2 * h) ** -0.5), "weigh": draw(h, scale=h ** -0.5),
                       "out": draw(2 * h, scale=(2 * h) ** -0.5), "offset": np.zeros(1, np.float32)})
 
-    def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
-        """The input of each word: its own vector and the mean of those of its n-grams."""
+    def inputs(self, rows: np.ndarray, grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The input of each word of ``word_inputs``: its own vector, the mean of those of its n-grams, and how far it and
+        the most telling of its n-grams lean to one class."""
         w = self.weights
-        rows, grams, starts = word_inputs(words)
         counts = np.diff(np.append(starts, len(grams)))
         mean = np.add.reduceat(w["gram"][grams], starts, axis=0) / counts[:, None].astype(np.float32)
-        return np.concatenate([w["word"][rows], mean], axis=1), (rows, grams, counts)
+        lean = np.stack([w["word_lean"][rows], np.maximum.reduceat(w["gram_lean"][grams], starts)], axis=1)
+        return np.concatenate([w["word"][rows], mean, lean], axis=1)
 
     def _pass(self, gates: np.ndarray, mask: np.ndarray, recur: np.ndarray, backward: bool, keep: bool):
         """States at all steps of one direction; with ``keep``, what the way back needs too."""
@@ -136,9 +138,9 @@ class Model:
         dstates = share[:, :, None] * dpool
         dshare = (states * dpool).sum(2)
         dscore = share * (dshare - (share * dshare).sum(0))
-        g["weigh"] = np.einsum("twh,tw->h", looked, dscore)
+        g["weigh"] = looked.reshape(-1, h).T @ dscore.ravel()
         dlook = dscore[:, :, None] * w["weigh"] * (1 - looked ** 2)
-        g["look"] = np.einsum("tws,twh->sh", states, dlook, optimize=True)
+        g["look"] = states.reshape(-1, 2 * h).T @ dlook.reshape(-1, h)
         dstates = dstates + dlook @ w["look"].T
         dgates = np.zeros((mask.shape[1], len(mask), 6 * h), np.float32)
         for name, kept, part, gate, backward in (("forth", a, slice(0, h), slice(0, 3 * h), False),
@@ -197,7 +199,7 @@ class _Scorer:
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
         parts = [self.table]
         for at in range(0, len(new), 20_000):
-            parts.append(self.model.inputs(new[at:at + 20_000])[0] @ w["input"] + w["bias"])
+            parts.append(self.model.inputs(*word_inputs(new[at:at + 20_000])) @ w["input"] + w["bias"])
         self.table = np.concatenate(parts)
         look = self.number.__getitem__
         return [np.fromiter(map(look, d), np.int32, len(d)) for d in docs]
@@ -214,9 +216,9 @@ class _Scorer:
             for doc in ids:
                 starts = window_starts(len(doc))
                 sizes.append(len(starts))
-                for k in range(0, len(starts), 4096):
-                    held.append(windows_of(doc, starts[k:k + 4096]))
-                    if sum(len(m) for m, _ in held) >= 2048:
+                for k in range(0, len(starts), 512):
+                    held.append(windows_of(doc, starts[k:k + 512]))
+                    if sum(len(m) for m, _ in held) >= 512:
                         logits.append(self._logits(held))
                         held = []
             if held:
@@ -237,11 +239,24 @@ def windows_of(doc: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.where(mask, doc[np.minimum(place, len(doc) - 1)], 0), mask
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7, rate: float = 0.01, batch_windows: int = 768) -> Model:
+def _telling(doc: np.ndarray, lean: np.ndarray, most: int) -> np.ndarray:
+    """Starts of the windows to learn from: those whose words lean most, and as many spread over the document."""
+    starts = window_starts(len(doc))
+    if len(starts) <= 2 * most:
+        return starts
+    ids, mask = windows_of(doc, starts)
+    top = np.argsort(-np.where(mask, np.maximum(lean[ids], 0), 0).sum(1), kind="stable")[:most]
+    return np.unique(np.concatenate([starts[top], starts[np.linspace(0, len(starts) - 1, most).astype(int)]]))
+
+
+def train(texts: list[str], labels: list[int], base_rate: float | None = None, epochs: int = 4, seed: int = 7, rate: float = 0.01, batch_windows: int = 512,
+          telling: int = 3) -> Model:
     """Fit a model to document labels; only the document is labelled, so windows share the error as they share the score.
 
-    Classes weigh the same. Weights move by Adam, rows of the two tables by Adagrad. The result depends on the rows, their
-    order and the seed alone. With one class, or none, the model says that class's rate.
+    First, counts say how far words and n-grams lean to a class. Then the network learns from the windows of each document
+    that lean most and from some spread over it. Weights move by Adam, rows of the two tables by Adagrad. The result depends
+    on the rows, their order and the seed alone. ``base_rate`` is the share of label 1 where texts to be scored come from,
+    if not that of ``labels``: the final logit is moved by the difference. With one class, or none, the model says its rate.
     """
     positive = sum(labels)
     if not positive or positive == len(labels):
@@ -252,9 +267,14 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7, r
     docs = [np.fromiter((number.setdefault(x, len(number)) for x in words_of(t)), np.int64) for t in texts]
     rows, grams, starts = word_inputs(list(number))
     counts = np.diff(np.append(starts, len(grams)))
-    balance = {1: len(labels) / (2 * positive), 0: len(labels) / (2 * (len(labels) - positive))}
+    truths = np.array(labels, bool)
+    w["word_lean"] = _lean([rows[np.unique(d)] for d in docs], truths, WORD_ROWS, 3.0)
+    w["gram_lean"] = _lean([grams[np.concatenate([np.arange(starts[u], starts[u] + counts[u]) for u in np.unique(d)])] for d in docs],
+                           truths, GRAM_ROWS, 5.0)
+    lean = w["word_lean"][rows] + np.maximum.reduceat(w["gram_lean"][grams], starts)
+    chosen = [windows_of(d, _telling(d, lean, telling)) for d in docs]
     rng = np.random.default_rng(seed)
-    moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items() if k not in ("word", "gram")}
+    moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items() if k not in TABLES}
     squares = {k: np.full(len(w[k]), 1e-6, np.float32) for k in ("word", "gram")}
     turn = 0
     for epoch in range(epochs):
@@ -263,22 +283,21 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7, r
             picked, n = [], 0
             while queue and (not picked or n < batch_windows):
                 picked.append(queue.pop())
-                n += len(window_starts(len(docs[picked[-1]])))
+                n += len(chosen[picked[-1]][0])
             turn += 1
-            parts = [windows_of(docs[i], window_starts(len(docs[i]))) for i in picked]
+            parts = [chosen[i] for i in picked]
             ids, mask = (np.concatenate(x) for x in zip(*parts, strict=True))
             used, ids = np.unique(ids, return_inverse=True)
             ids = ids.reshape(mask.shape)
             spans = np.concatenate([np.arange(starts[u], starts[u] + counts[u]) for u in used])
             sizes = counts[used]
             own = np.cumsum(sizes) - sizes
-            mean = np.add.reduceat(w["gram"][grams[spans]], own, axis=0) / sizes[:, None].astype(np.float32)
-            x = np.concatenate([w["word"][rows[used]], mean], axis=1)
+            x = model.inputs(rows[used], grams[spans], own)
             logit, cache = model.windows(x @ w["input"] + w["bias"], ids, mask, keep=True)
             firsts = np.cumsum([0, *(len(m) for _, m in parts[:-1])])
             pooled, share = pooled_logit(logit, firsts)
             truth = np.array([labels[i] for i in picked])
-            error = (_sigmoid(pooled) - truth) * np.array([balance[int(y)] for y in truth]) / len(picked)
+            error = (_sigmoid(pooled) - truth) / len(picked)
             doc = np.repeat(np.arange(len(picked)), np.diff(np.append(firsts, len(logit))))
             dlogit = (error[doc] * share * (1 + SHARPNESS * (logit - pooled[doc]))).astype(np.float32)
             grad, dtable = model.gradients(ids, mask, cache, dlogit, len(used))
@@ -290,12 +309,28 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7, r
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 w[k] -= step * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-8)
-            _adagrad(w["word"], squares["word"], rows[used], dx[:, :WIDTH], 5 * step)
-            each = np.repeat(dx[:, WIDTH:] / sizes[:, None].astype(np.float32), sizes, axis=0)
-            _adagrad(w["gram"], squares["gram"], grams[spans], each, 5 * step)
+            _adagrad(w["word"], squares["word"], rows[used], dx[:, :WIDTH], 0.3 * step)
+            each = np.repeat(dx[:, WIDTH:2 * WIDTH] / sizes[:, None].astype(np.float32), sizes, axis=0)
+            _adagrad(w["gram"], squares["gram"], grams[spans], each, 0.3 * step)
+    if base_rate is not None:
+        share = positive / len(labels)
+        w["offset"] += np.float32(np.log(base_rate / (1 - base_rate)) - np.log(share / (1 - share)))
     return model
 
 
+def _lean(rows: list[np.ndarray], labels: np.ndarray, size: int, least: float) -> np.ndarray:
+    """How many more positive documents a row of a table occurs in than its frequency lets expect, in about standard
+    deviations: beyond ``least`` of them, halved and at most 3. What is rare is 0, so no document gives itself away."""
+    seen, positive = np.zeros(size), np.zeros(size)
+    for r, y in zip(rows, labels, strict=True):
+        r = np.unique(r)
+        seen[r] += 1
+        positive[r] += y
+    expected = seen * labels.mean()
+    far = (positive - expected) / np.sqrt(expected + 1)
+    return np.clip(np.sign(far) * np.maximum(np.abs(far) - least, 0) / 2, -3, 3).astype(np.float32)
+
+
 def _adagrad(table, squares, rows, grad, step) -> None:
     order = np.argsort(rows, kind="stable")
     seen, first = np.unique(rows[order], return_index=True)
