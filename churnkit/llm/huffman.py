@@ -9,6 +9,8 @@ import numpy as np
 
 MAX_BITS = 20
 BLOCK = 1024
+# Blocks decoded side by side.
+LANES = 2048
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -71,7 +73,7 @@ class Codebook:
         """For each value of the next ``max_bits`` bits, the symbol that starts there, times 32, plus its length."""
         sizes = self.lengths[self.ordered]
         rows = np.repeat(self.ordered * 32 + sizes, 1 << (self.max_bits - sizes))
-        return np.concatenate([rows, np.zeros((1 << self.max_bits) - len(rows), np.int64)]).astype(np.int64)
+        return np.concatenate([rows, np.zeros((1 << self.max_bits) - len(rows), np.int64)]).astype(np.int32)
 
     def encode(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[list[bytes], np.ndarray]:
         """The bits of each document as whole bytes, and the bit offsets in its document at which blocks of ``BLOCK``
@@ -106,18 +108,22 @@ class Codebook:
         """
         data = np.frombuffer(raw + b"\0" * 4, np.uint8).astype(np.uint32)
         window = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
-        order = np.argsort(-sizes, kind="stable")
-        place, left = offsets[order].astype(np.int64), sizes[order]
-        target = (np.cumsum(sizes) - sizes)[order]
         out = np.zeros(int(sizes.sum()), np.uint32)
-        drop = np.uint32(32 - self.max_bits)
-        table = self.table
-        active = len(left)
-        for step in range(int(left[0]) if active else 0):
-            while left[active - 1] <= step:
-                active -= 1
-            at = place[:active]
-            entry = table[window[at >> 3] << (at & 7).astype(np.uint32) >> drop]
-            out[target[:active] + step] = entry >> 5
-            at += entry & 31
+        target = np.cumsum(sizes) - sizes
+        drop, table = np.uint32(32 - self.max_bits), self.table
+        ranked = np.argsort(-sizes, kind="stable")
+        for k in range(0, len(ranked), LANES):
+            lanes = ranked[k:k + LANES]
+            place, left = offsets[lanes].astype(np.int64), sizes[lanes]
+            steps = np.zeros((int(left[0]), len(lanes)), np.uint32)
+            active = len(lanes)
+            for step in range(len(steps)):
+                while left[active - 1] <= step:
+                    active -= 1
+                at = place[:active]
+                entry = table[window[at >> 3] << (at & 7).astype(np.uint32) >> drop]
+                steps[step, :active] = entry >> 5
+                at += entry & 31
+            for lane, n, row in zip(lanes.tolist(), left.tolist(), np.ascontiguousarray(steps.T), strict=True):
+                out[target[lane]:target[lane] + n] = row[:n]
         return out

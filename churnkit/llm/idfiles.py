@@ -20,22 +20,36 @@ MAGIC = b"IDHUF001"
 END_ID = 0
 # Ids in a file, about; one task holds the codes of one file at a time.
 FILE_TOKENS = 4_000_000
-_INPUT_IDS = 2_000_000
+# Ids coded at once: arrays of so many stay in a core's own memory.
+_CODED_IDS = 100_000
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids): the ids of each whole text and ``end_id`` after them, as little-endian integers of 16 bits
-    where the ids of the tokenizer fit, of 32 otherwise. A null text is empty and has the end id alone."""
+    """(key, n_tokens, wide, ids): the ids of each whole text and ``end_id`` after them, as little-endian integers of 16
+    bits where the ids of the tokenizer fit, of 32 if ``wide``. A null text is empty and has the end id alone.
+
+    After its documents, each task adds a row with how often it met each id: n_tokens is null there, ids has pairs of id
+    and count, 64 bits each.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         enc = encoder(tokenizer)
-        narrow = max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
-        end = struct.pack("<I", end_id)
+        short = max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
+        if short:
+            enc = encoder(tokenizer, short)
+        end, size = struct.pack("<H" if short else "<I", end_id), 2 if short else 4
+        counts = np.zeros(0, np.int64)
         for b in batches:
             coded = [ids + end for ids in enc.encode(b["text"])]
-            yield {"key": b["key"], "n_tokens": [len(c) // 4 for c in coded], "wide": [not narrow] * len(coded),
-                   "ids": [np.frombuffer(c, "<u4").astype("<u2").tobytes() for c in coded] if narrow else coded}
+            for at in range(0, len(coded), 64):
+                seen = np.bincount(_numbers(b"".join(coded[at:at + 64]), not short))
+                if len(seen) > len(counts):
+                    counts = np.concatenate([counts, np.zeros(len(seen) - len(counts), np.int64)])
+                counts[:len(seen)] += seen
+            yield {"key": b["key"], "n_tokens": [len(c) // size for c in coded], "wide": [not short] * len(coded), "ids": coded}
+        used = np.flatnonzero(counts)
+        yield {"key": [None], "n_tokens": [None], "wide": [None], "ids": [np.stack([used, counts[used]]).astype("<i8").tobytes()]}
 
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     return map_batches(rows, run, f"key {kind}, n_tokens long, wide boolean, ids binary").withColumnRenamed("key", key)
@@ -46,19 +60,14 @@ def _numbers(raw: bytes, wide: bool) -> np.ndarray:
 
 
 def count_ids(encoded: DataFrame) -> DataFrame:
-    """(id, n) over all documents: each task counts in one array, then counts are summed."""
+    """(id, n) over all documents, summed from the counts that the tasks have made."""
     def run(batches):
-        total = np.zeros(0, np.int64)
         for b in batches:
-            for raw, wide in zip(b["ids"], b["wide"], strict=True):
-                ids = _numbers(raw, wide)
-                if len(ids) and ids.max() >= len(total):
-                    total = np.concatenate([total, np.zeros(int(ids.max()) + 1 - len(total), np.int64)])
-                total += np.bincount(ids, minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield {"id": seen, "n": total[seen]}
+            for raw in b["ids"]:
+                ids, counts = np.frombuffer(raw, "<i8").reshape(2, -1)
+                yield {"id": ids, "n": counts}
 
-    return map_batches(encoded.select("ids", "wide"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return map_batches(encoded.where("n_tokens is null").select("ids"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _code_rows(encoded: DataFrame, key: str, book: Codebook, ranges) -> DataFrame:
@@ -69,7 +78,7 @@ def _code_rows(encoded: DataFrame, key: str, book: Codebook, ranges) -> DataFram
             at = 0
             while at < len(shards):
                 stop, n = at, 0
-                while stop < len(shards) and (stop == at or n + b["n_tokens"][stop] <= _INPUT_IDS):
+                while stop < len(shards) and (stop == at or n + b["n_tokens"][stop] <= _CODED_IDS):
                     n += b["n_tokens"][stop]
                     stop += 1
                 part = slice(at, stop)
@@ -117,7 +126,8 @@ def write_id_files(encoded: DataFrame, folder: str, key: str = "doc_id", file_to
     for r in counted:
         counts[r.id] = r.n
     book = Codebook(code_lengths(counts))
-    ranges = plan_ranges(encoded, key, "n_tokens", file_tokens)
+    documents = encoded.where("n_tokens is not null")
+    ranges = plan_ranges(documents, key, "n_tokens", file_tokens)
     firsts = np.cumsum([0, *ranges.totals]).tolist()
     fs, path = open_folder(folder)
     fs.create_dir(path, recursive=True)
@@ -135,7 +145,7 @@ def write_id_files(encoded: DataFrame, folder: str, key: str = "doc_id", file_to
         if held:
             yield {k: [v] for k, v in _write_file(folder, shard, firsts[shard], held).items()}
 
-    rows = (_code_rows(encoded, key, book, ranges).repartition("shard")
+    rows = (_code_rows(documents, key, book, ranges).repartition("shard")
             .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "n_tokens", "payload"))
     manifest = map_batches(rows, run, "file string, docs long, first_token long, tokens long, bytes long, crc32 long")
     manifest.write.parquet(f"{folder}/manifest")

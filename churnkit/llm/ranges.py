@@ -39,13 +39,15 @@ def plan_ranges(df: DataFrame, key: str, weight: str, target: int) -> Ranges:
         return Ranges([0], [total])
     cells = max(16, 4 * (total // target + 1))
     done: list[tuple[int, int]] = []  # (first key, weight)
-    rows = rows.where("k is not null").withColumn("cell", F.lit(0).cast("long"))
-    heavy = [(0, low, high)]
-    while heavy:
-        cuts = [(cell, i * (cells + 1), a, -(-(b - a + 1) // cells)) for i, (cell, a, b) in enumerate(heavy)]
-        # one row per heavy cell, each found by its number
-        frame = df.sparkSession.createDataFrame(cuts, "cell long, base long, a long, width long")
-        rows = rows.join(frame, "cell").select("k", "w", F.expr("base + (k - a) div width").alias("cell"))
+    width = -(-(high - low + 1) // cells)
+    rows = rows.where("k is not null").withColumn("cell", F.expr(f"k div {width}L"))
+    heavy = None
+    while heavy is None or heavy:
+        if heavy:
+            # one row per heavy cell, each found by its number
+            cuts = [(cell, i * (cells + 1), a, -(-(b - a + 1) // cells)) for i, (cell, a, b) in enumerate(heavy)]
+            frame = df.sparkSession.createDataFrame(cuts, "cell long, base long, a long, width long")
+            rows = rows.join(frame, "cell").select("k", "w", F.expr("base + (k - a) div width").alias("cell"))
         found = rows.groupBy("cell").agg(F.sum("w").alias("w"), F.min("k").alias("a"), F.max("k").alias("b")).collect()
         heavy = [(r.cell, r.a, r.b) for r in found if r.w > target and r.a < r.b]
         done += [(r.a, r.w) for r in found if not (r.w > target and r.a < r.b)]

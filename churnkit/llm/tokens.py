@@ -58,9 +58,9 @@ class _Words(dict):
     """Ids of words with the white space before them, found once. A word of Latin letters is one piece of the pattern and
     goes to the merges directly, ASCII marks after it are another one; any other word goes through the whole tokenizer."""
 
-    def __init__(self, tokenizer, lower: bool, spaced: bool):
+    def __init__(self, tokenizer, lower: bool, spaced: bool, kind: str):
         super().__init__()
-        self.tokenizer, self.lower = tokenizer, lower
+        self.tokenizer, self.lower, self.kind = tokenizer, lower, kind
         self.merge = tokenizer.model.tokenize
         self.marks: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
@@ -69,7 +69,7 @@ class _Words(dict):
 
     def _piece(self, letters: str) -> bytes:
         ids = [t.id for t in self.merge(letters)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return struct.pack(f"<{len(ids)}{self.kind}", *ids)
 
     def age(self) -> None:
         """Begin a new store if this one is full."""
@@ -96,16 +96,16 @@ class _Words(dict):
                 ids = before + self._piece(lead + letters)
             else:
                 found = self.tokenizer.encode(word, add_special_tokens=False).ids
-                ids = struct.pack(f"<{len(found)}I", *found)
+                ids = struct.pack(f"<{len(found)}{self.kind}", *found)
         self[word] = ids
         return ids
 
 
 class TextEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers. Special tokens are neither added nor recognised: their
+    """Ids of whole texts as little-endian unsigned integers of 4 bytes, or of 2 if ``short``. Special tokens are neither added nor recognised: their
     strings in a text are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, short: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -113,8 +113,9 @@ class TextEncoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.by_words = separable(spec)
+        self.kind = "H" if short else "I"
         lower = any(n["type"] == "Lowercase" for n in _steps(spec.get("normalizer"), "normalizers"))
-        self.words = _Words(self.tokenizer, lower, len(_steps(spec.get("pre_tokenizer"), "pretokenizers")) == 1)
+        self.words = _Words(self.tokenizer, lower, len(_steps(spec.get("pre_tokenizer"), "pretokenizers")) == 1, self.kind)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Surrogates, which UTF-8 lacks, are read as question marks."""
@@ -125,10 +126,10 @@ class TextEncoder:
         if self.by_words:
             return b"".join(map(self.words.__getitem__, _PIECE.findall(text)))
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return struct.pack(f"<{len(ids)}{self.kind}", *ids)
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, short: bool = False) -> TextEncoder:
     """One encoder for each file and process, so that the words it has seen serve later tasks too."""
-    return TextEncoder(path)
+    return TextEncoder(path, short)
