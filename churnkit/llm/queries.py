@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import extraction, idfiles, packing, repetition, secrets, simhash, toxicity, warc
+from churnkit.llm import extraction, idfiles, learned_index, packing, repetition, secrets, simhash, toxicity, warc
 from churnkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,11 @@ def _repetition_sql(rules: repetition.RepetitionRules) -> str:
     """
 
 
+@query()
+def op2_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    return learned_index.nearest_neighbours(table(spark, folder, "embeddings"))
+
+
 @query()
 def op3_wrapper_induction(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract_pages(table(spark, folder, "pages"))
