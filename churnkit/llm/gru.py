@@ -249,14 +249,15 @@ def _telling(doc: np.ndarray, lean: np.ndarray, most: int) -> np.ndarray:
     return np.unique(np.concatenate([starts[top], starts[np.linspace(0, len(starts) - 1, most).astype(int)]]))
 
 
-def train(texts: list[str], labels: list[int], base_rate: float | None = None, epochs: int = 4, seed: int = 7, rate: float = 0.01, batch_windows: int = 512,
-          telling: int = 3) -> Model:
+def train(texts: list[str], labels: list[int], base_rate: float | None = None, steps: int = 160, seed: int = 7,
+          rate: float = 0.01, batch_windows: int = 448, telling: int = 3) -> Model:
     """Fit a model to document labels; only the document is labelled, so windows share the error as they share the score.
 
     First, counts say how far words and n-grams lean to a class. Then the network learns from the windows of each document
     that lean most and from some spread over it. Weights move by Adam, rows of the two tables by Adagrad. The result depends
-    on the rows, their order and the seed alone. ``base_rate`` is the share of label 1 where texts to be scored come from,
-    if not that of ``labels``: the final logit is moved by the difference. With one class, or none, the model says its rate.
+    on the rows, their order and the seed alone; the number of steps does not depend on them. ``base_rate`` is the share of
+    label 1 where texts to be scored come from, if not that of ``labels``: the final logit is moved by the difference. With
+    one class, or none, the model says its rate.
     """
     positive = sum(labels)
     if not positive or positive == len(labels):
@@ -276,42 +277,40 @@ def train(texts: list[str], labels: list[int], base_rate: float | None = None, e
     rng = np.random.default_rng(seed)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items() if k not in TABLES}
     squares = {k: np.full(len(w[k]), 1e-6, np.float32) for k in ("word", "gram")}
-    turn = 0
-    for epoch in range(epochs):
-        queue = list(rng.permutation(len(docs)))
-        while queue:
-            picked, n = [], 0
-            while queue and (not picked or n < batch_windows):
-                picked.append(queue.pop())
-                n += len(chosen[picked[-1]][0])
-            turn += 1
-            parts = [chosen[i] for i in picked]
-            ids, mask = (np.concatenate(x) for x in zip(*parts, strict=True))
-            used, ids = np.unique(ids, return_inverse=True)
-            ids = ids.reshape(mask.shape)
-            spans = np.concatenate([np.arange(starts[u], starts[u] + counts[u]) for u in used])
-            sizes = counts[used]
-            own = np.cumsum(sizes) - sizes
-            x = model.inputs(rows[used], grams[spans], own)
-            logit, cache = model.windows(x @ w["input"] + w["bias"], ids, mask, keep=True)
-            firsts = np.cumsum([0, *(len(m) for _, m in parts[:-1])])
-            pooled, share = pooled_logit(logit, firsts)
-            truth = np.array([labels[i] for i in picked])
-            error = (_sigmoid(pooled) - truth) / len(picked)
-            doc = np.repeat(np.arange(len(picked)), np.diff(np.append(firsts, len(logit))))
-            dlogit = (error[doc] * share * (1 + SHARPNESS * (logit - pooled[doc]))).astype(np.float32)
-            grad, dtable = model.gradients(ids, mask, cache, dlogit, len(used))
-            grad["input"], grad["bias"] = x.T @ dtable, dtable.sum(0)
-            dx = dtable @ w["input"].T
-            step = rate * (0.5 ** max(0, epoch - epochs // 2))
-            for k, g in grad.items():
-                m, v = moment[k]
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                w[k] -= step * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-8)
-            _adagrad(w["word"], squares["word"], rows[used], dx[:, :WIDTH], 0.3 * step)
-            each = np.repeat(dx[:, WIDTH:2 * WIDTH] / sizes[:, None].astype(np.float32), sizes, axis=0)
-            _adagrad(w["gram"], squares["gram"], grams[spans], each, 0.3 * step)
+    queue: list[int] = []
+    for turn in range(1, steps + 1):
+        picked, n = [], 0
+        while n < batch_windows and len(picked) < len(docs):
+            queue = queue or list(rng.permutation(len(docs)))
+            picked.append(queue.pop())
+            n += len(chosen[picked[-1]][0])
+        parts = [chosen[i] for i in picked]
+        ids, mask = (np.concatenate(x) for x in zip(*parts, strict=True))
+        used, ids = np.unique(ids, return_inverse=True)
+        ids = ids.reshape(mask.shape)
+        spans = np.concatenate([np.arange(starts[u], starts[u] + counts[u]) for u in used])
+        sizes = counts[used]
+        own = np.cumsum(sizes) - sizes
+        x = model.inputs(rows[used], grams[spans], own)
+        logit, cache = model.windows(x @ w["input"] + w["bias"], ids, mask, keep=True)
+        firsts = np.cumsum([0, *(len(m) for _, m in parts[:-1])])
+        pooled, share = pooled_logit(logit, firsts)
+        truth = np.array([labels[i] for i in picked])
+        error = (_sigmoid(pooled) - truth) / len(picked)
+        doc = np.repeat(np.arange(len(picked)), np.diff(np.append(firsts, len(logit))))
+        dlogit = (error[doc] * share * (1 + SHARPNESS * (logit - pooled[doc]))).astype(np.float32)
+        grad, dtable = model.gradients(ids, mask, cache, dlogit, len(used))
+        grad["input"], grad["bias"] = x.T @ dtable, dtable.sum(0)
+        dx = dtable @ w["input"].T
+        step = rate * (1.05 - turn / steps)
+        for k, g in grad.items():
+            m, v = moment[k]
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            w[k] -= step * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-8)
+        _adagrad(w["word"], squares["word"], rows[used], dx[:, :WIDTH], 0.3 * step)
+        each = np.repeat(dx[:, WIDTH:2 * WIDTH] / sizes[:, None].astype(np.float32), sizes, axis=0)
+        _adagrad(w["gram"], squares["gram"], grams[spans], each, 0.3 * step)
     if base_rate is not None:
         share = positive / len(labels)
         w["offset"] += np.float32(np.log(base_rate / (1 - base_rate)) - np.log(share / (1 - share)))

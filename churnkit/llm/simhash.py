@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.llm.common import map_batches, stored, text_of
@@ -169,3 +169,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     names = grouped.join(least, "label").select("fp", "component_id")
     return prints.join(names, "fp").select(
         key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: that of the smallest key.
+
+    Of rows with that key the one whose text is least in order stays. Rows without a key cannot stand for a group and are
+    kept as they are. Texts are moved once, to meet the keys that stay.
+    """
+    stay = near_duplicates(docs, key, text, shingle).where(F.col("component_id") == F.col(key)).select(key).distinct()
+    met = docs.join(stay, key, "left_semi")
+    order = Window.partitionBy(key).orderBy(text)
+    once = met.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    return once.union(docs.where(F.col(key).isNull()))
