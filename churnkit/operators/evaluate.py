@@ -34,7 +34,10 @@ def _precision_recall_f1(tp: Column, fp: Column, fn: Column) -> tuple[Column, Co
 
 def class_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, precision and recall of class 1, macro-F1 per group."""
-    c = confusion(df, y, yhat, by)
+    return _metrics_of(confusion(df, y, yhat, by), by)
+
+
+def _metrics_of(c: DataFrame, by: Sequence[str]) -> DataFrame:
     tn, fp, fn, tp = (F.col(k) for k in ("tn", "fp", "fn", "tp"))
     p, r, f1_pos = _precision_recall_f1(tp, fp, fn)
     _, _, f1_neg = _precision_recall_f1(tn, fn, fp)
@@ -53,8 +56,8 @@ def macro_f1(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFr
 
 
 def accuracy(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
-    """Share of rows predicted right, with the number of wrong ones."""
-    return df.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(F.col(y) != F.col(yhat)).alias("incorrect"),
+    """Share of rows predicted right, with the number of wrong ones; rows that lack one of the two do not count."""
+    return df.groupBy(*by).agg(F.count(F.col(y) == F.col(yhat)).alias("n"), F.count_if(F.col(y) != F.col(yhat)).alias("incorrect"),
                                F.avg((F.col(y) == F.col(yhat)).cast("double")).alias("accuracy"))
 
 
@@ -85,8 +88,12 @@ def _auc() -> Column:
 
 def ranking_metrics(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """PR-AUC and ROC-AUC from one ordering of the scores."""
+    return _ranking_of(_curve(df, y, score, by), by)
+
+
+def _ranking_of(curve: DataFrame, by: Sequence[str]) -> DataFrame:
     ap = _ratio(F.sum(F.col("pos") * F.col("pos_upto") / F.col("n_upto")), F.sum("pos"))
-    return _curve(df, y, score, by).groupBy(*by).agg(ap.alias("pr_auc"), _auc().alias("roc_auc"))
+    return curve.groupBy(*by).agg(ap.alias("pr_auc"), _auc().alias("roc_auc"))
 
 
 def class_report(df: DataFrame, y: str, yhat: str, names: Mapping[int, str] | None = None) -> DataFrame:
@@ -131,8 +138,17 @@ def share_shift(df: DataFrame, y: str, yhat: str, classes: Sequence[int] = (0, 1
 
 def leaderboard(scored: DataFrame, model: str, y: str, score: str, yhat: str) -> DataFrame:
     """All metrics per model over one long scored set, best PR-AUC first."""
-    c = class_metrics(scored, y, yhat, [model])
-    r = ranking_metrics(scored, y, score, [model])
+    # one aggregation of the rows; both the confusion and the curve come from its cells
+    cells = scored.groupBy(model, score, yhat).agg(F.count_if(F.col(y) == 1).alias("_pos"), F.count_if(F.col(y) == 0).alias("_neg"))
+
+    def cell(count, predicted):
+        return F.coalesce(F.sum(F.when(F.col(yhat) == predicted, F.col(count))), F.lit(0))
+
+    c = _metrics_of(cells.groupBy(model).agg(cell("_neg", 0).alias("tn"), cell("_neg", 1).alias("fp"),
+                                             cell("_pos", 0).alias("fn"), cell("_pos", 1).alias("tp")), [model])
+    known = cells.filter(F.col(score).isNotNull() & (F.col("_pos") + F.col("_neg") > 0))
+    curve = running_counts(known, score, {"pos": F.sum("_pos"), "n": F.sum(F.col("_pos") + F.col("_neg"))}, [model])
+    r = _ranking_of(curve, [model])
     joined = c.alias("c").join(r.alias("r"), same_keys("c", "r", [model]), "left")
     return joined.select(F.col(f"c.{model}").alias(model), "r.pr_auc", "r.roc_auc", "c.recall_pos",
                          "c.precision_pos", F.col("c.macro_f1").alias("test_f1"), "c.accuracy",
@@ -173,9 +189,8 @@ def approve(metrics: DataFrame, threshold: float = F1_THRESHOLD, metric: str = "
     return metrics.groupBy("version").agg(value.alias("value")).select(
         "version", F.lit(metric).alias("metric"), "value", F.lit(threshold).alias("threshold"),
         ok.alias("approved"),
-        F.concat(F.when(ok, "APPROVED").otherwise("REJECTED"), F.lit(f": {metric} "),
-                 F.format_string("%.4f", F.col("value")), F.when(ok, " >= ").otherwise(" < "),
-                 F.lit(f"{threshold:.2f}")).alias("reason"))
+        F.concat(F.lit(f"{metric} of "), F.format_string("%.4f", F.col("value")),
+                 F.when(ok, " meets ").otherwise(" misses "), F.lit(f"{threshold:.2f}")).alias("reason"))
 
 
 def resolve_version(versions: DataFrame, order: Sequence[str] = ("champion", "dev")) -> DataFrame:

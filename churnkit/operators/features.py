@@ -49,8 +49,7 @@ def quartile_band(df: DataFrame, column: str = "total_balance_usd", out: str = "
     c = F.col(column)
     if q1 is None:
         return df.withColumn(out, F.lit(2.0))
-    band = F.when(c <= q1, F.lit(0.0)).when((c > q1) & (c < q3), F.lit(1.0)).otherwise(F.lit(2.0))
-    return df.withColumn(out, band)
+    return df.withColumn(out, F.when(c <= q1, 0.0).when(c < q3, 1.0).otherwise(2.0))
 
 
 def select_features(df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str,
@@ -81,33 +80,26 @@ def publish_features(df: DataFrame, keys: Sequence[str], path: str) -> DataFrame
     return save(df, path)
 
 
-MAX_CLASSES = 100  # class sizes up to this many travel through the driver
-
-
-def split_draw(keys: Sequence[str], label: str, seed: int = 42) -> Column:
-    """The draw that decides a row's side; the label is part of it, so classes are cut apart."""
-    return hash_uniform(seed, F.lit("split"), label, *keys)
+def split_draw(keys: Sequence[str], seed: int = 42) -> Column:
+    """The draw that decides a row's side. It is of the key alone: a row whose label changes stays on its side, so no
+    held-out row is ever trained on later."""
+    return hash_uniform(seed, F.lit("split"), *keys)
 
 
 def stratified_split(df: DataFrame, keys: Sequence[str], label: str, test_share: float = 0.2, seed: int = 42,
                      exact: bool = False, out: str = "is_test") -> DataFrame:
     """Mark the held-out rows.
 
-    By default each row's own draw decides: no shuffle, and every caller with
-    the same key and seed agrees. ``exact`` holds out precisely
-    ``round(share * n)`` rows of each class, by rank of the draw.
+    By default each row's own draw decides: no shuffle, every caller with the
+    same key and seed agrees, and classes are held out in about equal shares.
+    ``exact`` holds out precisely ``round(share * n)`` rows of each class, by
+    rank of the draw.
     """
-    draw = split_draw(keys, label, seed)
+    draw = split_draw(keys, seed)
     if not exact:
         return df.withColumn(out, draw < F.lit(test_share))
     ranked = draw_rank(df, draw, keys, by=[label], out="_rank")
     sizes = df.groupBy(label).agg(F.round(F.count("*") * test_share).cast("long").alias("_take"))
-    few = sizes.limit(MAX_CLASSES + 1).collect()
-    if len(few) <= MAX_CLASSES:
-        take = F.lit(0)
-        for r in few:
-            take = F.when(F.col(label).eqNullSafe(F.lit(r[label])), F.lit(r["_take"])).otherwise(take)
-        return ranked.withColumn(out, F.col("_rank") <= take).drop("_rank")
     cut = ranked.alias("r").join(sizes.alias("s"), F.col(f"r.{label}").eqNullSafe(F.col(f"s.{label}")))
     return cut.select(*[F.col(f"r.{c}").alias(c) for c in df.columns],
                       (F.col("r._rank") <= F.col("s._take")).alias(out))

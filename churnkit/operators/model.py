@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -45,38 +44,38 @@ def add_class_weight(train: DataFrame, label: str, scheme: str = "balanced", out
     return _weighted(train, label, _weights(train, label, scheme)[0], out)
 
 
-# Training reads its rows many times. A table of up to SPREAD_ROWS rows, often a single
-# file, is first spread over the cores; a larger one is split finely enough as it is.
-SPREAD_ROWS, ROWS_PER_TASK = 10_000_000, 1_000
+# Partitions that training rows are dealt into. Bagging draws by partition, so their number is part of the fit.
+FIT_PARTITIONS = 64
 
 
-def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, learner) -> PipelineModel:
-    spark = train.sparkSession
-    weights, rows = _weights(train, label, scheme)
+def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, learner, partitions: int) -> PipelineModel:
+    """Rows are dealt by a hash of their values and ordered in each partition: the fit depends on the rows, the settings and
+    ``partitions``, not on how the input was laid out or on the number of cores."""
+    weights, _ = _weights(train, label, scheme)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec", handleInvalid="keep")
+    names = [*features, label]
     data = _weighted(train, label, weights, "class_weight").select(
-        *[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("double").alias(label), "class_weight")
-    if rows <= SPREAD_ROWS:
-        data = data.repartition(min(spark.sparkContext.defaultParallelism, rows // ROWS_PER_TASK + 1))
-    shared_dir(spark)  # long boosting runs cut their lineage there
+        *[F.col(f).cast("double").alias(f) for f in names], "class_weight")
+    data = data.repartition(partitions, F.xxhash64(*names)).sortWithinPartitions(*names)
+    shared_dir(train.sparkSession)  # long boosting runs cut their lineage there
     return Pipeline(stages=[assembler, learner]).fit(data)
 
 
 def fit_rf(train: DataFrame, features: Sequence[str], label: str, trees: int = RF_TREES, depth: int = RF_DEPTH,
-           seed: int = 42) -> PipelineModel:
+           seed: int = 42, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Random forest with balanced class weights."""
     return _fit(train, features, label, "balanced", RandomForestClassifier(
         featuresCol="features_vec", labelCol=label, weightCol="class_weight", numTrees=trees, maxDepth=depth,
-        featureSubsetStrategy="sqrt", seed=seed))
+        featureSubsetStrategy="sqrt", seed=seed), partitions)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str, rounds: int = GBT_ROUNDS, depth: int = GBT_DEPTH,
             rate: float = GBT_RATE, rows: float = GBT_ROWS, columns: float = GBT_COLUMNS,
-            seed: int = 42) -> PipelineModel:
+            seed: int = 42, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Boosted trees with positives weighted up to the negatives."""
     return _fit(train, features, label, "positive", GBTClassifier(
         featuresCol="features_vec", labelCol=label, weightCol="class_weight", maxIter=rounds, maxDepth=depth,
-        stepSize=rate, subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed))
+        stepSize=rate, subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed), partitions)
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -97,9 +96,9 @@ def score_batch(model: PipelineModel, keys_df: DataFrame, features_df: DataFrame
     return score(model, found.filter("is_matched").drop("is_matched"), features, [key])
 
 
-def proba(column: Column | str = "probability") -> Column:
-    """Probability of the positive class out of Spark ML's vector."""
-    return vector_to_array(column)[1]
+def proba(column: Column | str = "probability", klass: int = 1) -> Column:
+    """Probability of a class, the positive one unless named, out of Spark ML's vector."""
+    return vector_to_array(column)[klass]
 
 
 def apply_threshold(p: Column | str, threshold: float = DEFAULT_THRESHOLD) -> Column:
@@ -107,23 +106,6 @@ def apply_threshold(p: Column | str, threshold: float = DEFAULT_THRESHOLD) -> Co
     return ((F.col(p) if isinstance(p, str) else p) >= F.lit(threshold)).cast("int")
 
 
-def foreign_score(df: DataFrame, features: Sequence[str], load: Callable[[], Callable], keep: Sequence[str]) -> DataFrame:
-    """Score with any Python model, batch by batch in the executors.
-
-    ``load`` runs once per task and returns a function from a pandas frame of
-    features to the probabilities of class 1.
-    """
-    cols, names = list(keep), list(features)
-    schema = df.select(*cols).schema.add("probability", "double")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = load()
-        for b in batches:
-            yield b[cols].assign(probability=predict(b[names]))
-
-    return df.select(*dict.fromkeys([*cols, *names])).mapInPandas(run, schema)
-
-
 def importances(model: PipelineModel, spark, features: Sequence[str]) -> DataFrame:
     """Features ranked by the trees' importance."""
     values = model.stages[-1].featureImportances.toArray()
@@ -132,6 +114,27 @@ def importances(model: PipelineModel, spark, features: Sequence[str]) -> DataFra
                                  "feature string, importance double, rank int")
 
 
+def _draws(df: DataFrame, background: DataFrame, names: Sequence[str], key: str, draws: int, background_rows: int, seed: int) -> DataFrame:
+    """Each row's features ``_x`` with the features ``_z`` of a background row, once for each ``_draw``."""
+    # a bounded number of background rows, chosen by key, held in every task
+    base = (background.orderBy(hash_uniform(seed, F.lit("background"), key), key).limit(background_rows)
+            .select(*[F.col(f).cast("double").alias(f) for f in names]).collect())
+    if not base:
+        raise ValueError("the background has no rows")
+    table = F.array(*[F.array(*[F.lit(r[f]).cast("double") for f in names]) for r in base])
+    x = F.array(*[F.col(f).cast("double") for f in names])
+    return (df.select(F.col(key), x.alias("_x"))
+            .withColumn("_draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+            .withColumn("_z", F.get(table, F.floor(hash_uniform(seed, F.lit("row"), key, "_draw") * len(base)).cast("int"))))
+
+
+def drawn_background(df: DataFrame, background: DataFrame, features: Sequence[str], key: str, draws: int = 8,
+                     background_rows: int = 50, seed: int = 42) -> DataFrame:
+    """The background rows that ``shapley_values`` with the same settings draws for each row: key and features."""
+    rows = _draws(df, background, list(features), key, draws, background_rows, seed)
+    return rows.select(key, *[F.get("_z", F.lit(i)).alias(f) for i, f in enumerate(features)])
+
+
 def shapley_values(model: PipelineModel, df: DataFrame, background: DataFrame, features: Sequence[str], key: str,
                    draws: int = 8, background_rows: int = 50, seed: int = 42) -> DataFrame:
     """Contribution of each feature to each row's probability of class 1, by permutation sampling.
@@ -145,18 +148,7 @@ def shapley_values(model: PipelineModel, df: DataFrame, background: DataFrame, f
     """
     names = list(features)
     k = len(names)
-    # a bounded number of background rows, chosen by key, held in every task
-    base = (background.orderBy(hash_uniform(seed, F.lit("background"), key), key).limit(background_rows)
-            .select(*[F.col(f).cast("double").alias(f) for f in names]).collect())
-    if not base:
-        raise ValueError("the background has no rows")
-    table = F.array(*[F.array(*[F.lit(r[f]).cast("double") for f in names]) for r in base])
-    n_base = len(base)
-
-    x = F.array(*[F.col(f).cast("double") for f in names])
-    drawn = (df.select(F.col(key), x.alias("_x"))
-             .withColumn("_draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-             .withColumn("_z", F.get(table, F.floor(hash_uniform(seed, F.lit("row"), key, "_draw") * n_base).cast("int")))
+    drawn = (_draws(df, background, names, key, draws, background_rows, seed)
              .withColumn("_order", F.transform(F.array_sort(F.array(*[
                  F.struct(hash_uniform(seed, F.lit(n), key, "_draw").alias("u"), F.lit(i).alias("f"))
                  for i, n in enumerate(names)])), lambda s: s["f"]))

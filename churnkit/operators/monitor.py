@@ -20,7 +20,7 @@ def time_window(df: DataFrame, ts: str, width: str = "1 day", out: str = "window
     return df.withColumn(out, F.window(F.col(ts), width))
 
 
-def _slice_labels(slices: Sequence[str]) -> list[tuple[Column, Column]]:
+def slice_labels(slices: Sequence[str]) -> list[tuple[Column, Column]]:
     """Key and value of the overall slice and of each row's own slices."""
     own = [(F.lit(s), F.coalesce(F.col(s).cast("string"), F.lit("null"))) for s in slices]
     return [(F.lit(ALL), F.lit(ALL)), *own]
@@ -34,7 +34,7 @@ def _explode_cells(df: DataFrame, keep: Sequence[Column], slices: Sequence[str],
     straight into a partial aggregation.
     """
     cells = [F.struct(k.alias("slice_key"), v.alias("slice_value"), F.lit(c).alias("column_name"), e.alias(out))
-             for k, v in _slice_labels(slices) for c, e in values.items()]
+             for k, v in slice_labels(slices) for c, e in values.items()]
     return df.select(*keep, F.explode(F.array(*cells)).alias("_cell")).select("*", "_cell.*").drop("_cell")
 
 
@@ -43,9 +43,9 @@ def profile_metrics(log: DataFrame, columns: Sequence[str], ts: str, version: st
                     exact: bool = False) -> DataFrame:
     """Count, nulls, mean, deviation, ends, distinct values per window, version, slice and column.
 
-    All of it is one aggregation: the distinct count makes Spark merge partial
-    states per (group, value) first, which also spreads a hot window or slice
-    over many tasks. Quantiles are sketches unless ``exact``.
+    All of it is one aggregation, merged map-side: distinct counts and quantiles
+    are sketches of bounded size. ``exact`` shuffles the values themselves, once
+    per slice they are in.
     """
     keep = ["window_start", version]
     start = F.window(F.col(ts), width)["start"].alias("window_start")
@@ -54,7 +54,7 @@ def profile_metrics(log: DataFrame, columns: Sequence[str], ts: str, version: st
     out = long.groupBy(*group).agg(
         F.count("*").alias("count"), F.count_if(F.col("v").isNull()).alias("nulls"), F.avg("v").alias("mean"),
         F.stddev("v").alias("stddev"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.count_distinct("v").alias("distinct_count"))
+        (F.count_distinct("v") if exact else F.approx_count_distinct("v")).alias("distinct_count"))
     if not quantiles:
         return out
     if exact:
@@ -151,12 +151,26 @@ def baseline_shares(df: DataFrame, edges: Mapping[str, Sequence[float]], categor
 
 
 def drift_baseline(dist: DataFrame, baseline: DataFrame, width: str = "1 day") -> DataFrame:
-    """Distance of each window from the baseline's shares."""
-    own = dist.select(*SERIES, "window_start", "bin", F.col("share").alias("p"), F.lit(0.0).alias("q"))
-    windows = dist.select(*SERIES, "window_start").distinct()
-    base = windows.join(baseline.withColumnRenamed("share", "q"), "column_name").select(
-        *SERIES, "window_start", "bin", F.lit(0.0).alias("p"), "q")
-    return _drift_rows(_js(own.unionByName(base), [*SERIES, "window_start"]), "BASELINE", width)
+    """Distance of each window from the baseline's shares.
+
+    Each bin of a window meets its own bin of the baseline. Bins of the baseline that a window lacks need no row: each adds
+    its whole share to the divergence, so together they add what the bins that were met leave of the column's total.
+    """
+    group = [*SERIES, "window_start"]
+    p, q = F.col("share"), F.coalesce("_q", F.lit(0.0))
+
+    def part(x):
+        return F.when(x > 0, x * F.log2(2 * x / (p + q))).otherwise(F.lit(0.0))
+
+    base = baseline.groupBy("column_name", "bin").agg(F.sum("share").alias("_q"))
+    totals = base.groupBy("column_name").agg(F.sum("_q").alias("_total"))
+    met = dist.join(base, ["column_name", "bin"], "left").groupBy(*group).agg(
+        F.sum(part(p) + part(q)).alias("_both"), F.sum(q).alias("_met"))
+    jsd = (F.col("_both") + F.greatest(F.lit(0.0), F.coalesce("_total", F.lit(0.0)) - F.col("_met"))) / 2
+    # one row per column on the right
+    js = met.join(totals, "column_name", "left").select(
+        *group, F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), jsd))).alias("js_distance"))
+    return _drift_rows(js, "BASELINE", width)
 
 
 def drift_view(drift: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -174,7 +188,11 @@ def schema_changes(df: DataFrame, expected: T.StructType) -> list[tuple[str, str
 
 def quality_checks(log: DataFrame, columns: Sequence[str], ts: str, width: str = "1 day", z_limit: float = 3.0,
                    expected: T.StructType | None = None) -> DataFrame:
-    """Per window and column: null rate and its change, rows and their z-score against earlier windows."""
+    """Per window and column: null rate and its change, rows and their z-score against earlier windows.
+
+    ``expected`` is the schema the log should have. A profiled column of another type says so in every row; columns that are
+    missing, new or changed but not profiled have a row of their own without a window.
+    """
     wide = log.groupBy(F.window(F.col(ts), width)["start"].alias("window_start")).agg(
         F.count("*").alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in columns])
     long = wide.select("window_start", "rows", F.explode(F.array(*[
@@ -190,13 +208,18 @@ def quality_checks(log: DataFrame, columns: Sequence[str], ts: str, width: str =
     changed = schema_changes(log, expected) if expected is not None else []
     notes = F.create_map(*[x for c, note in changed for x in (F.lit(c), F.lit(note))]) if changed else None
     note = F.try_element_at(notes, F.col("column_name")) if changed else F.lit(None).cast("string")
-    return out.withColumn("schema_change", note)
+    out = out.withColumn("schema_change", note)
+    rest = [(c, n) for c, n in changed if c not in columns]
+    if not rest:
+        return out
+    extra = log.sparkSession.createDataFrame(rest, "column_name string, schema_change string")
+    return out.unionByName(extra.withColumn("volume_anomaly", F.lit(False)), allowMissingColumns=True)
 
 
 def custom_metric(log: DataFrame, name: str, expression: str, ts: str, slices: Sequence[str] = (),
                   width: str = "1 day") -> DataFrame:
     """A user's SQL aggregate per window, overall and per slice."""
-    labels = F.array(*[F.struct(k.alias("slice_key"), v.alias("slice_value")) for k, v in _slice_labels(slices)])
+    labels = F.array(*[F.struct(k.alias("slice_key"), v.alias("slice_value")) for k, v in slice_labels(slices)])
     sliced = log.withColumns({"window_start": F.window(F.col(ts), width)["start"], "_s": labels}).withColumn(
         "_s", F.explode("_s"))
     return sliced.groupBy("window_start", F.col("_s.slice_key").alias("slice_key"),
@@ -204,6 +227,21 @@ def custom_metric(log: DataFrame, name: str, expression: str, ts: str, slices: S
         F.expr(expression).cast("double").alias("value")).withColumn("metric", F.lit(name))
 
 
+def _gate_rows(drift: DataFrame, column: str, kinds: Sequence[str]) -> DataFrame:
+    """The rows a gate looks at: one column, unsliced, of the named kinds."""
+    rows = drift.filter((F.col("column_name") == column) & F.col("drift_type").isin(*kinds))
+    if "slice_key" in drift.columns:
+        rows = rows.filter(F.coalesce(F.col("slice_key"), F.lit(ALL)) == ALL)
+    return rows
+
+
+def gate_candidates(drift: DataFrame, column: str = "prediction", kinds: Sequence[str] = DRIFT_KINDS) -> DataFrame:
+    """For each kind of drift the row that a gate may need: the largest distance of its newest window. A gate says the same
+    of these rows as of all, and of the candidates of two tables as of both tables together."""
+    best = F.max_by(F.struct(*drift.columns), F.struct(F.col("window.start"), F.col("js_distance")))
+    return _gate_rows(drift, column, kinds).groupBy("drift_type").agg(best.alias("_row")).select("_row.*")
+
+
 def drift_gate(drift: DataFrame, threshold: float, force: bool = False, column: str = "prediction",
                kinds: Sequence[str] = DRIFT_KINDS) -> DataFrame:
     """One row: retrain or not, and why.
@@ -214,16 +252,14 @@ def drift_gate(drift: DataFrame, threshold: float, force: bool = False, column:
     distance.
     """
     at = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("drift_type"))
-    rows = drift.filter((F.col("column_name") == column) & F.col("drift_type").isin(*kinds))
-    if "slice_key" in drift.columns:
-        rows = rows.filter(F.coalesce(F.col("slice_key"), F.lit(ALL)) == ALL)
+    rows = _gate_rows(drift, column, kinds)
     best = F.max(F.struct((-at).alias("rank"), F.col("window.start").alias("start"),
                           F.col("js_distance").alias("js"), F.col("drift_type").alias("kind")))
     js, kind = F.col("_b.js"), F.col("_b.kind")
     trip = F.coalesce(js >= F.lit(threshold), F.lit(False))
-    measured = F.concat(F.lit(f"{column} JS distance = "), F.coalesce(F.format_string("%.4f", js), F.lit("null")),
-                        F.lit(" (type="), kind, F.lit(f", threshold={threshold}) -> "),
-                        F.when(trip, "TRIP").otherwise("within threshold"))
+    measured = F.concat(F.lit(f"{column}: "), kind, F.lit(" distance "),
+                        F.coalesce(F.format_string("%.4f", js), F.lit("unknown")),
+                        F.when(trip, " reaches ").otherwise(" stays below "), F.lit(f"{threshold}"))
     found = F.when(F.col("_b").isNull(), F.lit(f"no drift rows for {column} yet")).otherwise(measured)
     return rows.agg(best.alias("_b")).select(
         (F.lit(True) if force else trip).alias("retrain_needed"), kind.alias("drift_type"),

@@ -30,16 +30,16 @@ def value_ranges(df: DataFrame, columns: Sequence[str], ranges: int | None = Non
     ``ranges`` cut points per column. Nulls get range -1. Rough cut points do:
     they decide how even the ranges are, nothing else.
     """
-    n = ranges or range_count(df.sparkSession)
+    n = ranges or range_count(df)
     cuts = _cut_points(df, columns, n)
     return _assign_ranges(df, {c: sorted(set(cuts[c])) for c in columns})
 
 
 def _cut_points(df: DataFrame, columns: Sequence[str], n: int) -> dict[str, list[float]]:
-    """``n - 1`` values per column that split its rows evenly; a value in many rows repeats."""
+    """Up to ``n - 1`` finite values per column that split its rows evenly; a value in many rows repeats."""
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, max(1000, 2 * n)).alias(c) for c in columns]).first()
-    return {c: [e for e in (row[c] or []) if e == e] for c in columns}
+    return {c: [e for e in (row[c] or []) if math.isfinite(e)] for c in columns}
 
 
 def _assign_ranges(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
@@ -63,29 +63,30 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     return cond
 
 
-# Up to this many rows, a per-group value histogram is small enough for one task.
-SMALL_ROWS = 200_000
-# Up to this many groups, cut points and counts of all groups go through the driver.
+# Up to this many groups, cut points and counts of all groups go through the driver; more groups share cut points. Both
+# ways find the same ranks and interpolate alike.
 MAX_GROUPS = 2_000
-# Up to this many rows, the values around the wanted ranks are ordered per rank in one task each.
-ONE_TASK_ROWS = 1_000_000
 SKETCH_ACCURACY = 2_000
 
 
+def _same_group(values: Sequence) -> tuple:
+    """A group as a key of a dict: NaN, which is unlike itself, by its name."""
+    return tuple("NaN" if isinstance(v, float) and v != v else v for v in values)
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    method: str = "linear", ranges: int | None = None, small: int = SMALL_ROWS,
-                    max_groups: int = MAX_GROUPS) -> DataFrame:
+                    method: str = "linear", ranges: int | None = None, max_groups: int = MAX_GROUPS) -> DataFrame:
     """Exact quantiles as rows ``by..., column, prob, value``.
 
-    ``linear`` interpolates between neighbours; ``discrete`` returns an element
-    of the data. NaN counts as missing.
+    ``linear`` interpolates between neighbours; ``discrete`` gives an element of
+    the data. NaN counts as missing. Values are taken as doubles: integers
+    beyond 2**53 and decimals are as exact as those.
 
-    A first pass counts rows and sketches each group. Small inputs then use the
-    built-in exact percentile. Otherwise the sketch gives a narrow bracket
-    around each wanted rank, a second pass counts rows below each bracket edge,
-    and a third shuffles only the values inside brackets. The sketch decides how
-    narrow a bracket is, never the result. With more groups than ``max_groups``
-    the cut points are shared by all groups instead.
+    A first pass counts rows and sketches each group; the sketch gives a narrow
+    bracket around each wanted rank. A second pass counts rows below each
+    bracket edge, and a third shuffles only the values inside brackets. The
+    sketch decides how narrow a bracket is, never the result. With more groups
+    than ``max_groups`` the cut points are shared by all groups instead.
     """
     if method not in ("linear", "discrete"):
         raise ValueError(f"method must be 'linear' or 'discrete', not {method!r}")
@@ -94,13 +95,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     step = 2.0 / SKETCH_ACCURACY
     around = [min(1.0, max(0.0, p + s)) for p in ps for s in (-step, step)]
     heads = narrow.groupBy(*by).agg(
-        F.count("*").alias("_rows"),
         *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"_e_{c}") for c in columns],
     ).limit(max_groups + 1).collect()
     if len(heads) > max_groups:
         return _ranged_quantiles(narrow, columns, ps, by, method, ranges)
-    if sum(r["_rows"] for r in heads) <= small:
-        return _small_quantiles(narrow, columns, ps, by, method)
     return _bracketed_quantiles(narrow, columns, ps, by, method, heads, ranges)
 
 
@@ -138,15 +136,14 @@ def _bracketed_quantiles(narrow: DataFrame, columns, ps, by, method, heads, rang
     counts = edged.groupBy(*by).agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)], *[
         F.expr(f"count_if(`{c}` < _a{i}[{j}]) AS _lt{i}_{j}") for i, c in enumerate(columns) for j in range(width)
     ]).collect()
-    by_group = {tuple(r[g] for g in by): r for r in counts}
+    by_group = {_same_group(r[g] for g in by): r for r in counts}
 
     known: dict[tuple, float] = {}  # (group, column, rank) -> value
     open_ranks: dict[tuple, tuple[int, int]] = {}  # (group, column, rank) -> (bracket id, rank inside)
     brackets: dict[tuple, int] = {}  # (group number, column number, bracket) -> id
     found: list[tuple] = []
-    inside_rows = 0
     for gi, g in enumerate(groups):
-        r = by_group[g]
+        r = by_group[_same_group(g)]
         for i, c in enumerate(columns):
             n, e = r[f"_n{i}"], edges[gi][c]
             below = [r[f"_lt{i}_{j}"] for j in range(len(e))]
@@ -160,7 +157,6 @@ def _bracketed_quantiles(narrow: DataFrame, columns, ps, by, method, heads, rang
                         continue
                     if (gi, i, j) not in brackets:
                         brackets[gi, i, j] = len(brackets)
-                        inside_rows += (below[j] if j < len(e) else n) - (below[j - 1] if j else 0)
                     open_ranks[gi, i, k] = (brackets[gi, i, j], k - (below[j - 1] if j else 0))
     if brackets:
         per_group = [[[] for _ in columns] for _ in groups]
@@ -179,7 +175,7 @@ def _bracketed_quantiles(narrow: DataFrame, columns, ps, by, method, heads, rang
             F.transform(F.filter(F.col(f"_b{i}"), _bracket_test(c)), _bracket_cell(c)) for i, c in enumerate(columns)]))
         hits = src.select(F.explode(cells).alias("_x")).select("_x.*")
         picks = spark.createDataFrame(sorted(set(open_ranks.values())), "id int, rank long")
-        got = _values_at(hits, picks, 1 if inside_rows <= ONE_TASK_ROWS else ranges or range_count(spark))
+        got = _values_at(hits, picks, ranges)
         values = {(r["id"], r["rank"]): r["v"] for r in got.collect()}
         known.update({key: values[at] for key, at in open_ranks.items()})
 
@@ -212,18 +208,16 @@ def _bracket_cell(c: str):
     return lambda b: F.struct(b["id"].alias("id"), F.col(c).alias("v"))
 
 
-def _values_at(hits: DataFrame, picks: DataFrame, ranges: int) -> DataFrame:
+def _values_at(hits: DataFrame, picks: DataFrame, ranges: int | None) -> DataFrame:
     """Value at each ``rank`` (from 0) of each ``id`` in rows ``id, v``."""
     counts = hits.groupBy("id", "v").agg(F.count("*").alias("m"))
-    ranged = (value_ranges(counts, ["v"], ranges).withColumnRenamed("_range_v", "rng") if ranges > 1
-              else counts.withColumn("rng", F.lit(0)))
+    ranged = value_ranges(counts, ["v"], ranges).withColumnRenamed("_range_v", "rng")
     inside = Window.partitionBy("id", "rng").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("upto", F.sum("m").over(inside))
-    if ranges > 1:
-        before = Window.partitionBy("id").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
-        sizes = ranged.groupBy("id", "rng").agg(F.sum("m").alias("n")).select(
-            "id", "rng", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-        local = local.join(sizes, ["id", "rng"]).withColumn("upto", F.col("upto") + F.col("before"))
+    before = Window.partitionBy("id").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("id", "rng").agg(F.sum("m").alias("n")).select(
+        "id", "rng", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    local = ranged.join(sizes, ["id", "rng"]).withColumn("upto", F.sum("m").over(inside) + F.col("before"))
+    # as many picks as wanted ranks: groups x columns x probabilities, with at most MAX_GROUPS groups
     found = local.join(F.broadcast(picks), "id").filter(
         (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("m")))
     return found.select("id", "rank", "v")
@@ -269,31 +263,6 @@ def _ranged_quantiles(narrow: DataFrame, columns, probs, by, method, ranges) ->
     return picked.groupBy(*group, "prob").agg(value.alias("value"))
 
 
-def _small_quantiles(df: DataFrame, columns, probs, by, method) -> DataFrame:
-    ps = [float(p) for p in probs]
-
-    def values(c):
-        if method == "linear":
-            return F.percentile(F.col(c).cast("double"), ps)
-        wanted = ", ".join(f"{p}D" for p in ps)
-        return F.expr(f"percentile_disc(array({wanted})) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
-
-    wide = df.groupBy(*by).agg(*[values(c).alias(f"_{i}") for i, c in enumerate(columns)])
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), F.col(f"_{i}")[j].alias("value"))
-                      for i, c in enumerate(columns) for j, p in enumerate(ps)])
-    return (wide.select(*by, F.explode(cells).alias("_x")).select(*by, "_x.*")
-            .filter(F.col("value").isNotNull()))
-
-
-def bounded_side(df: DataFrame, limit: int = 10_000) -> DataFrame:
-    """A small result as a broadcast side: hinted only after its rows were counted by fetching
-    them; one with more than ``limit`` rows is returned as it is, for Spark to shuffle."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str = "discrete",
               approx: bool = False, accuracy: int = 10000) -> list[float | None]:
     """Cut points of one column on the driver; exact unless ``approx``."""
@@ -325,8 +294,8 @@ def draw_rank(df: DataFrame, draw: Column, tie: Sequence[str], by: Sequence[str]
     A uniform draw splits evenly into equal-width ranges, so no range is large
     and no sketch is needed.
     """
-    n = ranges or range_count(df.sparkSession)
-    drawn = df.withColumn("_draw", draw).withColumn("_rng", F.floor(F.col("_draw") * n).cast("int"))
+    n = ranges or range_count(df)
+    drawn = df.withColumn("_draw", draw).withColumn("_rng", F.floor(F.col("_draw") * n))
     return _number_rows(drawn, ["_draw", *tie], by, out).drop("_draw", "_rng")
 
 
@@ -335,20 +304,29 @@ def value_rank(df: DataFrame, column: str, tie: Sequence[str], by: Sequence[str]
     """Row number from 1 in order of a numeric column, per ``by``.
 
     Equal values follow in the order of a draw on the ``tie`` key, then the key
-    itself. A value that fills several ranges gets a range of its own, which
-    the draw splits into as many parts; nulls come first and are split alike.
+    itself. Nulls come first and NaN last, infinities next to them. A value that
+    fills several ranges gets a range of its own, which the draw splits into as
+    many parts; nulls, NaN and infinities are split alike. Integers that a
+    double cannot tell apart share a range, which is then ordered as one.
     """
-    n = ranges or range_count(df.sparkSession)
+    n = ranges or range_count(df)
     cuts = _cut_points(df, [column], n)[column]
-    hot = {e: k for e, k in Counter(cuts).items() if k > 1 and math.isfinite(e)}
+    exact = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType))
+    hot = {e: k for e, k in Counter(cuts).items() if k > 1 and (exact or isinstance(df.schema[column].dataType, T.LongType)
+                                                                and abs(e) < 2**53)}
     edges = sorted({*cuts, *(math.nextafter(e, math.inf) for e in hot)})
     ranged = _assign_ranges(df, {column: edges}).withColumn("_draw", hash_uniform(seed, *tie))
-    rng = F.col(f"_range_{column}")
+    rng, value = F.col(f"_range_{column}"), F.col(column).cast("double")
+    # even places are ranges; odd ones between them are free for infinities
+    last = len(edges)
+    place = (F.when(value == math.inf, 2 * last + 1).when(value == -math.inf, -1).when(F.isnan(value), 2 * last + 2)
+             .otherwise(2 * rng))
     # parts per range, by range number: range i + 1 starts at edge i
-    parts = ",".join(["1", *[str(hot.get(e, 1)) for e in edges], "1"])
-    split = F.when(rng < 0, F.lit(n)).otherwise(F.coalesce(F.get(F.split(F.lit(parts), ","), rng).cast("int"), F.lit(1)))
+    parts = ",".join(["1", *[str(hot.get(e, 1)) for e in edges]])
+    special = rng.isNull() | (rng < 0) | F.isnan(value) | (F.abs(value) == math.inf)
+    split = F.when(special, F.lit(n)).otherwise(F.coalesce(F.get(F.split(F.lit(parts), ","), rng).cast("int"), F.lit(1)))
     part = F.floor(F.col("_draw") * split)
-    ranged = ranged.withColumn("_rng", rng.cast("long") * F.lit(1 << 20) + part).drop(f"_range_{column}")
+    ranged = ranged.withColumn("_rng", place.cast("long") * F.lit(1 << 32) + part).drop(f"_range_{column}")
     return _number_rows(ranged, [column, "_draw", *tie], by, out).drop("_rng", "_draw")
 
 
@@ -363,8 +341,6 @@ def _number_rows(df: DataFrame, order: Sequence[str], by: Sequence[str], out: st
     sizes = keyed.groupBy("_by", "_rng").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_by").orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_by", "_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    if not by:
-        offsets = F.broadcast(offsets)  # one row per range or part of one: a few per `range_count`
     inside = Window.partitionBy("_by", "_rng").orderBy(*order)
     numbered = keyed.withColumn("_pos", F.row_number().over(inside))
     return numbered.join(offsets, ["_by", "_rng"]).select(*df.columns, (F.col("_before") + F.col("_pos")).alias(out))
@@ -384,8 +360,6 @@ def running_counts(df: DataFrame, score: str, sums: dict[str, Column], by: Seque
     totals = ranged.groupBy("_by", "_rng").agg(*[F.sum(k).alias(k) for k in names])
     above = Window.partitionBy("_by").orderBy(F.desc("_rng")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_by", "_rng", *[F.coalesce(F.sum(k).over(above), F.lit(0)).alias(f"_{k}_above") for k in names])
-    if not by:
-        offsets = F.broadcast(offsets)  # one row per range
     inside = Window.partitionBy("_by", "_rng").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumns({f"_{k}_in": F.sum(k).over(inside) for k in names})
     return local.join(offsets, ["_by", "_rng"]).select(

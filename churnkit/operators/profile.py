@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions.columns import hash_uniform
-from churnkit.operators.order import bounded_side, draw_rank, quantile_columns
+from churnkit.operators.order import quantile_columns
 
 
 def _to_rows(wide: DataFrame, cells: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
@@ -45,15 +45,19 @@ def describe(df: DataFrame, approx: bool = True) -> DataFrame:
     """One row per column: count, mean, deviation, ends and quartiles.
 
     Quartiles are approximate by default, as is usual for a summary table.
-    Text columns get their first and last value in sort order.
+    Text, boolean, date and time columns get their first and last value in sort
+    order, as text. A column of any other type is an error, not left out.
     """
     numeric = numeric_columns(df)
-    shown = [f.name for f in df.schema.fields
-             if f.name in numeric or isinstance(f.dataType, (T.StringType, T.BooleanType, T.DateType))]
+    shown = df.columns
+    ordered = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.VarcharType, T.CharType)
+    others = [f.name for f in df.schema.fields if f.name not in numeric and not isinstance(f.dataType, ordered)]
+    if others:
+        raise ValueError(f"columns without an order to describe: {', '.join(others)}")
     aggs, cells = [], []
     for i, c in enumerate(shown):
         is_num = c in numeric
-        v = F.col(c).cast("double") if is_num else F.col(c).cast("string")
+        v = F.col(c).cast("double") if is_num else F.col(c)
         none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
         aggs += [F.count(c).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
         if is_num:
@@ -68,8 +72,8 @@ def describe(df: DataFrame, approx: bool = True) -> DataFrame:
             (F.col(f"lo{i}") if is_num else none_d).alias("min"),
             quart[0].alias("p25"), quart[1].alias("p50"), quart[2].alias("p75"),
             (F.col(f"hi{i}") if is_num else none_d).alias("max"),
-            (none_s if is_num else F.col(f"lo{i}")).alias("first_text"),
-            (none_s if is_num else F.col(f"hi{i}")).alias("last_text"),
+            (none_s if is_num else F.col(f"lo{i}").cast("string")).alias("first_text"),
+            (none_s if is_num else F.col(f"hi{i}").cast("string")).alias("last_text"),
         ))
     out = _to_rows(df.agg(*aggs), cells)
     if not approx and numeric:
@@ -119,21 +123,26 @@ def _corr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), spread)
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+# Column pairs of one aggregation; more are found in several passes.
+PAIRS_PER_PASS = 256
+
+
+def corr_matrix(df: DataFrame, columns: Sequence[str], pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
     """Pearson correlation of every pair of columns, long form, both triangles.
 
-    A constant column has no correlation: null.
+    A constant column has no correlation: null. The number of pairs grows with
+    the square of the columns, so a wide table is read once for each
+    ``pairs_per_pass`` of them, and no plan holds more.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = doubles.agg(*[_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        r = F.col(f"r{i}").alias("corr")
-        cells.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r))
-        if a != b:
-            cells.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), r))
-    return _to_rows(wide, cells)
+    found = []
+    for at in range(0, len(pairs), pairs_per_pass):
+        some = pairs[at:at + pairs_per_pass]
+        row = doubles.agg(*[_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(some)]).first()
+        for (a, b), r in zip(some, row, strict=True):
+            found += [(a, b, r)] if a == b else [(a, b, r), (b, a, r)]
+    return df.sparkSession.createDataFrame(found, "col_a string, col_b string, corr double")
 
 
 def _direction(c: Column) -> Column:
@@ -215,17 +224,22 @@ def rate_by_bin(df: DataFrame, column: str, target: str, bins: int = 5, approx:
 
 def box_stats(df: DataFrame, columns: Sequence[str], by: str, k: float = 1.5, approx: bool = False) -> DataFrame:
     """Box-plot numbers per class and column: quartiles, whiskers, outliers."""
-    q = bounded_side(quantile_columns(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], approx=approx))
-    long = df.select(by, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns
-    ])).alias("_x")).select(by, "_x.*").filter(F.col("v").isNotNull())
-    spread = F.col("q3") - F.col("q1")
-    inside = (F.col("v") >= F.col("q1") - k * spread) & (F.col("v") <= F.col("q3") + k * spread)
-    return (long.join(q, [by, "column"]).groupBy(by, "column", "q1", "median", "q3").agg(
-        F.count("*").alias("n"),
-        F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers")))
+    names = list(columns)
+    q = quantile_columns(df, names, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], approx=approx)
+    fences = q.groupBy(by).agg(*[
+        F.max(F.when(F.col("column") == c, F.struct("q1", "median", "q3"))).alias(f"_q{i}") for i, c in enumerate(names)])
+    rows = df.select(by, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(names)]).join(fences, by)
+    aggs = []
+    for i in range(len(names)):
+        v, at = F.col(f"_v{i}"), F.col(f"_q{i}")
+        spread = at["q3"] - at["q1"]
+        inside = (v >= at["q1"] - k * spread) & (v <= at["q3"] + k * spread)
+        aggs += [F.first(f"_q{i}").alias(f"_q{i}"), F.count(v).alias(f"_n{i}"), F.min(F.when(inside, v)).alias(f"_lo{i}"),
+                 F.max(F.when(inside, v)).alias(f"_hi{i}"), F.count_if(~inside).alias(f"_out{i}")]
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"_q{i}.q1"), F.col(f"_q{i}.median"), F.col(f"_q{i}.q3"), F.col(f"_n{i}").alias("n"),
+                      F.col(f"_lo{i}").alias("whisker_low"), F.col(f"_hi{i}").alias("whisker_high"), F.col(f"_out{i}").alias("outliers"))
+             for i, c in enumerate(names)]
+    return _to_rows(rows.groupBy(by).agg(*aggs), cells, [by]).filter(F.col("n") > 0)
 
 
 def compare_means(a: DataFrame, b: DataFrame, columns: Sequence[str],
@@ -260,16 +274,9 @@ def round_summary(df: DataFrame, round_col: str = "round", batch_keys: Sequence[
         F.count("*").alias("batches"), F.sum("_bad").alias("errors"))
 
 
-# Beyond this many rows a top-n through the driver's merge is no longer cheap.
-TOP_N_LIMIT = 100_000
-
-
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
-    """Exactly ``n`` rows (all, if fewer), the same ones on every run."""
-    draw = hash_uniform(seed, *keys)
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(draw, *keys).limit(n)
-    return draw_rank(df, draw, keys, out="_rank").filter(F.col("_rank") <= n).drop("_rank")
+    """Exactly ``n`` rows (all, if fewer), the same ones on every run, in the order of their draw."""
+    return df.orderBy(hash_uniform(seed, *keys), *keys).limit(n)
 
 
 def sliced_agg(df: DataFrame, slices: Sequence[str], aggs: Mapping[str, Column],

@@ -89,76 +89,6 @@ def g8_flag_members(spark, d):
     return A.flag_members(c, "c_custkey", hot, "is_affected")
 
 
-@query("""SELECT s_suppkey, o.day_offset, (DATE '2001-08-01' - o.day_offset)::DATE::VARCHAR AS day
-          FROM supplier, (SELECT range::INT AS day_offset FROM range(14)) o""")
-def g9_expand_days(spark, d):
-    s = table(spark, d, "supplier").select("s_suppkey")
-    return A.expand_days(s, F.lit("2001-08-01").cast("date"), 14).withColumn("day", F.col("day").cast("string"))
-
-
-@query("""SELECT s_suppkey, o.day_offset,
-                 round(least(0.9::DOUBLE, 0.25::DOUBLE + (13 - o.day_offset) / 13.0::DOUBLE * 0.71::DOUBLE), 6) AS risk
-          FROM supplier, (SELECT range::INT AS day_offset FROM range(14)) o""")
-def g10_ramp(spark, d):
-    s = A.expand_days(table(spark, d, "supplier").select("s_suppkey"), F.lit("2001-08-01").cast("date"), 14)
-    return s.select("s_suppkey", "day_offset",
-                    F.round(C.ramp(F.col("day_offset"), 14, 0.25, 0.71, 0.9), 6).alias("risk"))
-
-
-_ACTIONS = ["retention_offer", "retention_offer", "cross_sell", "rm_outreach"]
-_CAMPAIGN = f"""
-camp AS (
-  SELECT *, {D.u(81, _KEY)} < p_retain AS retained FROM (
-    SELECT *, CASE action_type WHEN 'retention_offer' THEN least(0.9::DOUBLE, 0.45::DOUBLE + risk * 0.4::DOUBLE)
-         WHEN 'cross_sell' THEN greatest(0.1::DOUBLE, 0.6::DOUBLE - risk * 0.5::DOUBLE)
-         ELSE greatest(0.05::DOUBLE, 0.4::DOUBLE - risk * 0.35::DOUBLE) END AS p_retain
-    FROM (SELECT o_orderkey, o_totalprice AS balance_at_risk_usd, {D.picked(_ACTIONS, D.u(72, _KEY))} AS action_type,
-                 round(0.3::DOUBLE + {D.u(76, _KEY)} * 0.65::DOUBLE, 3) AS risk FROM orders)))"""
-
-
-def _campaigns(spark, d):
-    base = table(spark, d, "orders").select(
-        _KEY, F.col("o_totalprice").alias("balance_at_risk_usd"),
-        C.pick(_ACTIONS, C.hash_uniform(72, _KEY)).alias("action_type"),
-        C.uniform_amount(0.3, 0.65, C.hash_uniform(76, _KEY), 3).alias("risk"))
-    return (base.withColumn("p_retain", C.clamped_prob("action_type", "risk"))
-            .withColumn("retained", C.hash_uniform(81, _KEY) < F.col("p_retain")))
-
-
-@query(f"""WITH {_CAMPAIGN} SELECT action_type, retained, count(*) AS n, round(avg(p_retain), 6) AS avg_p
-           FROM camp GROUP BY 1, 2""")
-def g11_clamped_outcome(spark, d):
-    return _campaigns(spark, d).groupBy("action_type", "retained").agg(
-        F.count("*").alias("n"), F.round(F.avg("p_retain"), 6).alias("avg_p"))
-
-
-@query(f"""WITH {_CAMPAIGN}, e AS (SELECT action_type,
-    CASE WHEN retained THEN (balance_at_risk_usd::DECIMAL(22,2) * 0.075::DECIMAL(4,3) * p_retain::DECIMAL(7,6))::DECIMAL(18,2)
-         ELSE 0 END::DECIMAL(18,2) AS revenue,
-    CASE action_type WHEN 'retention_offer' THEN (balance_at_risk_usd::DECIMAL(18,2) * 0.006)::DECIMAL(18,2)
-         WHEN 'cross_sell' THEN 50 ELSE 40 END::DECIMAL(18,2) AS cost,
-    CASE WHEN action_type = 'cross_sell' AND NOT retained THEN round({D.u(82, _KEY)} * 200, 2) ELSE 0 END::DECIMAL(18,2) AS margin
-  FROM camp)
-  SELECT action_type, count(*) AS n, sum(revenue)::DOUBLE AS revenue, sum(cost)::DOUBLE AS cost, sum(margin)::DOUBLE AS margin_lost
-  FROM e GROUP BY 1""")
-def g12_campaign_economics(spark, d):
-    e = C.campaign_economics(_campaigns(spark, d), C.hash_uniform(82, _KEY))
-    return e.groupBy("action_type").agg(
-        F.count("*").alias("n"), A.money_sum(F.col("retained_revenue_usd")).alias("revenue"),
-        A.money_sum(F.col("cost_usd")).alias("cost"), A.money_sum(F.col("margin_impact_usd")).alias("margin_lost"))
-
-
-@query(f"""WITH {D.CUSTOMERS} SELECT customer_id, tier || ' tier relationship, ' || tenure_years ||
-  ' year tenure, home metro ' || home_metro || ' . ' || CASE WHEN customer_id IN (SELECT user_id FROM events WHERE value >= 42)
-  THEN 'Rate-sensitive, balance may move at maturity.' ELSE 'Stable relationship, no active concerns.' END AS profile
-  FROM cust""")
-def g13_summary_text(spark, d):
-    hot = table(spark, d, "events").filter("value >= 42").select(F.col("user_id").alias("customer_id"))
-    c = A.flag_members(D.customers(spark, d), "customer_id", hot, "hot")
-    return c.select("customer_id", C.summary_text(F.col("tier"), F.col("tenure_years"), F.col("home_metro"),
-                                                  F.col("hot")).alias("profile"))
-
-
 @query(f"""WITH {D.FEATS} SELECT replace(customer_id, 'CUST-', 'CUST-D-') AS customer_id,
   total_outflow_60d_usd * 3.5::DOUBLE + -50000.0::DOUBLE AS total_outflow_60d_usd,
   total_balance_usd * 1.6::DOUBLE + 0.0::DOUBLE AS total_balance_usd, 1 AS has_maturing_cd,
@@ -177,9 +107,9 @@ def g15_shift_time(spark, d):
 
 
 @query("""SELECT l_orderkey AS order_id, l_linenumber AS line, l_quantity AS quantity, l_extendedprice AS price
-          FROM lineitem WHERE l_quantity >= 45""")
+          FROM lineitem""")
 def p1_project(spark, d):
-    return table(spark, d, "lineitem").filter("l_quantity >= 45").select(
+    return table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"),
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"))
 
@@ -270,18 +200,18 @@ def f2_quartile_band(spark, d):
         "c_acctbal")
 
 
-def _draw_sql(key: str, label: str) -> str:
-    return D.u("42|split", f"{label} || '|' || {key}")
+def _draw_sql(key: str) -> str:
+    return D.u("42|split", key)
 
 
-@query(f"""SELECT o_orderkey, o_orderstatus, {_draw_sql('o_orderkey', 'o_orderstatus')} < 0.2::DOUBLE AS is_test FROM orders""")
+@query(f"""SELECT o_orderkey, o_orderstatus, {_draw_sql('o_orderkey')} < 0.2::DOUBLE AS is_test FROM orders""")
 def f4_stratified_split(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     return FT.stratified_split(o, ["o_orderkey"], "o_orderstatus")
 
 
 @query(f"""SELECT o_orderkey, o_orderstatus,
-  row_number() OVER (PARTITION BY o_orderstatus ORDER BY {_draw_sql('o_orderkey', 'o_orderstatus')}, o_orderkey)
+  row_number() OVER (PARTITION BY o_orderstatus ORDER BY {_draw_sql('o_orderkey')}, o_orderkey)
     <= round(count(*) OVER (PARTITION BY o_orderstatus) * 0.2::DOUBLE) AS is_test FROM orders""")
 def f4_stratified_split_exact(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")

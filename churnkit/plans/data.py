@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.functions.columns import hash_uniform, make_key, maturity_status, pick, uniform_int
+from churnkit.functions.columns import hash_uniform, make_key, maturity_status
 from churnkit.operators.assemble import customer_360, global_max
 from churnkit.operators.features import BASE_FEATURES, FEATURES, LABEL_SOURCES, churn_label, quartile_band, select_features
 from churnkit.plans.registry import table
 
-INCOME_BANDS = ["<50k", "50-100k", "100-200k", "200-500k", "500k+"]
 TIERS = {"AUTOMOBILE": 3, "BUILDING": 2, "FURNITURE": 1}
 DEPOSITS = ("1", "2", "3")
 TERM_PRODUCTS = ("1-URGENT", "2-HIGH")
@@ -26,9 +25,9 @@ def customers(spark: SparkSession, d: str) -> DataFrame:
     return (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("c_custkey").alias(KEY), F.col("c_mktsegment").alias("tier"),
-                    uniform_int(1, 15, hash_uniform(5, "c_custkey")).alias("tenure_years"),
+                    (F.col("c_custkey") % 23).cast("int").alias("tenure_years"),
                     F.col("n_name").alias("home_metro"), F.col("r_name").alias("state"),
-                    pick(INCOME_BANDS, hash_uniform(8, "c_custkey")).alias("annual_income_band")))
+                    F.concat(F.lit("band "), F.floor(F.col("c_acctbal") / 2500).cast("string")).alias("annual_income_band")))
 
 
 def last_order_day(orders: DataFrame) -> Column:
@@ -92,9 +91,9 @@ def balance_quartiles(spark: SparkSession, d: str) -> list[float]:
 
 
 def scored_orders(spark: SparkSession, d: str, seed: int = 7) -> DataFrame:
-    """A labelled, scored set: y from the priority, a noisy score with two digits, class at 0.5."""
+    """A labelled, scored set: y from the priority, a noisy score, class at 0.5."""
     y = F.col("o_orderpriority").isin(*TERM_PRODUCTS).cast("int")
-    score = F.round(F.lit(0.7) * hash_uniform(seed, "o_orderkey") + F.lit(0.3) * y, 2)
+    score = F.lit(0.7) * hash_uniform(seed, "o_orderkey") + F.lit(0.3) * y
     return (table(spark, d, "orders").select("o_orderkey", "o_orderstatus", y.alias("y"), score.alias("score"))
             .withColumn("yhat", (F.col("score") >= 0.5).cast("int")))
 
@@ -120,8 +119,8 @@ def picked(values, draw: str) -> str:
 
 CUSTOMERS = f"""
 cust AS (
-  SELECT c_custkey AS customer_id, c_mktsegment AS tier, (1 + floor({u(5, 'c_custkey')} * 15))::INT AS tenure_years,
-         n_name AS home_metro, r_name AS state, {picked(INCOME_BANDS, u(8, 'c_custkey'))} AS annual_income_band
+  SELECT c_custkey AS customer_id, c_mktsegment AS tier, (c_custkey % 23)::INT AS tenure_years,
+         n_name AS home_metro, r_name AS state, 'band ' || floor(c_acctbal / 2500)::BIGINT::VARCHAR AS annual_income_band
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 HOLDINGS = """
@@ -192,7 +191,7 @@ SCORED = f"""
 scored AS (
   SELECT *, (score >= 0.5::DOUBLE)::INT AS yhat FROM (
     SELECT o_orderkey, o_orderstatus, (o_orderpriority IN ('1-URGENT', '2-HIGH'))::INT AS y,
-           round(0.7::DOUBLE * {u(7, 'o_orderkey')} + 0.3::DOUBLE * (o_orderpriority IN ('1-URGENT', '2-HIGH'))::INT, 2) AS score
+           0.7::DOUBLE * {u(7, 'o_orderkey')} + 0.3::DOUBLE * (o_orderpriority IN ('1-URGENT', '2-HIGH'))::INT AS score
     FROM orders))"""
 
 LOG = """

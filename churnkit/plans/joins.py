@@ -10,6 +10,7 @@ from churnkit.operators.order import running_counts
 from churnkit.operators.payload import batch_rows
 from churnkit.plans import data as D
 from churnkit.plans.registry import query, table
+from churnkit.session import scratch_path
 
 _C360_COLS = ("customer_id, tier, tier_rank, tenure_years, home_metro, state, annual_income_band, num_products, "
               "total_balance_usd, num_deposit_products, has_maturing_cd, txn_count_60d, total_outflow_60d_usd, "
@@ -36,8 +37,8 @@ def j2_inner_join(spark, d):
 @query(f"""WITH {D.FEATS} SELECT tenure_years, total_balance_usd, txn_count_60d, tier_rank, "balanceCategory", churned
            FROM feats""")
 def j3_training_set(spark, d):
-    """Labels keyed by customer, features looked up by key, key dropped."""
-    feats = D.features(spark, d)
+    """Labels keyed by customer, features looked up by key in the published table, key dropped."""
+    feats = FT.publish_features(D.features(spark, d), ["customer_id"], scratch_path(spark, "features"))
     labels = feats.select("customer_id", "churned")
     names = ["tenure_years", "total_balance_usd", "txn_count_60d", "tier_rank", "balanceCategory"]
     return FT.training_set(labels, feats.drop("churned"), names, "customer_id", "churned").select(*names, "churned")
@@ -51,20 +52,19 @@ def j4_lookup(spark, d):
     return FT.lookup(keys, table(spark, d, "customer"), ["c_acctbal", "c_mktsegment"], "c_custkey")
 
 
-@query("""SELECT n_name, tier FROM nation, (SELECT unnest(['mass', 'mass_affluent', 'affluent', 'private']) AS tier)""")
+@query("""SELECT n_name, tier FROM nation, (SELECT unnest(['entry', 'middle', 'upper']) AS tier)""")
 def j5_pair_with(spark, d):
     """Every nation with every tier, by exploding a literal list."""
-    return A.pair_with(table(spark, d, "nation").select("n_name"), ["mass", "mass_affluent", "affluent", "private"], "tier")
+    return A.pair_with(table(spark, d, "nation").select("n_name"), ["entry", "middle", "upper"], "tier")
 
 
 @query("""SELECT l_returnflag, count(*) AS n, count(p_partkey) AS matched,
                  sum(coalesce(p_retailprice, 0)::DECIMAL(18,2))::DOUBLE AS retail
-          FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size <= 25 GROUP BY 1""")
+          FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def j6_dim_lookup(spark, d):
     """Retail price of each line's part, 0 for parts the dimension does not list."""
-    small = table(spark, d, "part").filter("p_size <= 25").withColumn("known", F.lit(1))
     lines = table(spark, d, "lineitem").select("l_returnflag", "l_partkey")
-    priced = A.dim_lookup(lines, small, "l_partkey", "p_retailprice", 0.0, dim_key="p_partkey")
+    priced = A.dim_lookup(lines, table(spark, d, "part"), "l_partkey", "p_retailprice", 0.0, dim_key="p_partkey")
     return priced.groupBy("l_returnflag").agg(
         F.count("*").alias("n"), F.count_if(F.col("p_retailprice") > 0).alias("matched"),
         A.money_sum(F.col("p_retailprice")).alias("retail"))

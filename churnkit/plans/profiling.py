@@ -10,6 +10,8 @@ from churnkit.plans import data as D
 from churnkit.plans.registry import query, table
 
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+_TEXT = ["l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def _rounded(df, *names, digits=4):
@@ -35,14 +37,13 @@ def _describe_sql():
       min({c})::DOUBLE AS min, round(quantile_cont({c}, 0.25), 4) AS p25, round(quantile_cont({c}, 0.5), 4) AS p50,
       round(quantile_cont({c}, 0.75), 4) AS p75, max({c})::DOUBLE AS max, NULL::VARCHAR AS first_text,
       NULL::VARCHAR AS last_text FROM lineitem"""
-    text = """SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, NULL, NULL, NULL, min({c}), max({c}) FROM lineitem"""
-    return " UNION ALL ".join([one.format(c=c) for c in _NUM] + [text.format(c="l_returnflag")])
+    text = """SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, NULL, NULL, NULL, min({c})::VARCHAR, max({c})::VARCHAR FROM lineitem"""
+    return " UNION ALL ".join([*(one.format(c=c) for c in _KEYS + _NUM), *(text.format(c=c) for c in _TEXT)])
 
 
 @query(_describe_sql())
 def a6_describe(spark, d):
-    li = table(spark, d, "lineitem").select(*_NUM, "l_returnflag")
-    return _rounded(P.describe(li, approx=False), "mean", "stddev", "p25", "p50", "p75")
+    return _rounded(P.describe(table(spark, d, "lineitem"), approx=False), "mean", "stddev", "p25", "p50", "p75")
 
 
 _RISK_NULLS = f"""WITH {D.RISK}, j AS (SELECT c_custkey, c_acctbal, attrition_risk_score, balance_outflow_30d_usd
@@ -60,9 +61,10 @@ def a7_null_counts(spark, d):
 
 
 @query("""SELECT sum(n)::BIGINT AS total_rows, count(*) AS distinct_rows, sum(n - 1)::BIGINT AS duplicate_rows FROM (
-  SELECT count(*) AS n FROM lineitem GROUP BY l_quantity, l_discount, l_tax, l_returnflag)""")
+  SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""")
 def a8_duplicate_count(spark, d):
-    return P.duplicate_count(table(spark, d, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_returnflag"))
+    return P.duplicate_count(table(spark, d, "lineitem"))
 
 
 @query("""SELECT t AS data_type, c::BIGINT AS n_columns, (SELECT count(*) FROM orders) AS n_rows FROM (VALUES ('bigint', 2),

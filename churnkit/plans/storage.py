@@ -120,12 +120,16 @@ def s11_upsert(spark, d):
     return sync.upsert(old, sync.change_feed(old, new, ["c_custkey"]), ["c_custkey"])
 
 
-@query(f"""SELECT range AS id, 'CUST-' || lpad(range::VARCHAR, 7, '0') AS customer_id, (range % 12)::BIGINT AS metro
-           FROM range((SELECT count(*) FROM customer))""")
+@query("""SELECT c_custkey AS id, 'CUST-' || lpad(c_custkey::VARCHAR, 7, '0') AS customer_id, (c_custkey % 12)::BIGINT AS metro,
+  coalesce(n, 0) AS n_orders FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
 def s12_int_range(spark, d):
-    """As many generated ids as there are customers."""
-    n = table(spark, d, "customer").count()
-    return tables.int_range(spark, n, customer_id=C.make_key("CUST-", "id", 7), metro=F.col("id") % 12)
+    """The range up to the largest key, met with the keys there are and with their orders; gaps in the keys fall out."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
+    top = c.agg(F.max("id")).first()[0] or 0
+    ids = tables.int_range(spark, top + 1, customer_id=C.make_key("CUST-", "id", 7), metro=F.col("id") % 12)
+    orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"))
+    return (ids.join(c, "id", "left_semi").join(orders, "id", "left")
+            .select("id", "customer_id", "metro", F.coalesce("n", F.lit(0)).alias("n_orders")))
 
 
 @query(f"""WITH {D.FEATS} SELECT * FROM feats""")

@@ -30,19 +30,22 @@ def st1_unpack_stream(spark, d):
     return got.withColumn("inference_time", F.col("inference_timestamp").cast("string")).drop("inference_timestamp")
 
 
-@query("""SELECT date_trunc('day', ts)::VARCHAR AS window_start, (user_id % 2)::VARCHAR AS model_version, count(*) AS rows,
-  count(*) FILTER (value IS NULL) AS value_nulls, round(avg(value) + 1e-9, 4) AS value_mean, min(value) AS value_min,
-  max(value) AS value_max FROM events GROUP BY 1, 2
+@query("""SELECT date_trunc('day', ts)::VARCHAR AS window_start, (user_id % 2)::VARCHAR AS model_version, slice_key,
+  CASE WHEN by_type THEN event_type ELSE 'all' END AS slice_value, count(*) AS rows, count(*) FILTER (value IS NULL) AS value_nulls,
+  sum(round(value * 100))::BIGINT AS value_cents, round(stddev(value), 6) AS value_stddev, min(value) AS value_min, max(value) AS value_max
+  FROM events, (SELECT 'all' AS slice_key, NULL AS by_type UNION ALL SELECT 'event_type', true) s GROUP BY 1, 2, 3, 4
   HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
 def st2_profile_stream(spark, d):
-    """Daily profile of the log; the last, still open day is held back."""
+    """Daily profile of the log, whole and by event type; the last, still open day is held back."""
     events = table(spark, d, "events")
     stream = jobs.stream_parquet(spark, d, events.schema, only="events.parquet").select(
-        F.col("ts").cast("timestamp").alias("ts"), "value", (F.col("user_id") % 2).cast("string").alias("model_version"))
-    prof, out = jobs.profile_stream(stream, ["value"], "ts"), scratch_path(spark, "profile")
+        F.col("ts").cast("timestamp").alias("ts"), "value", "event_type", (F.col("user_id") % 2).cast("string").alias("model_version"))
+    prof, out = jobs.profile_stream(stream, ["value"], "ts", slices=["event_type"]), scratch_path(spark, "profile")
     _run(jobs.to_parquet(prof, out, scratch_path(spark, "ckpt")))
     got = spark.read.schema(prof.schema).parquet(out)
-    return got.withColumns({"window_start": F.col("window_start").cast("string"), "value_mean": MO._shown(F.col("value_mean"))})
+    known = F.col("rows") - F.col("value_nulls")
+    return got.withColumns({"window_start": F.col("window_start").cast("string"), "value_stddev": F.round("value_stddev", 6),
+                            "value_cents": MO._total(F.col("value_mean"), known)}).drop("value_mean", "value_distinct", "value_median")
 
 
 @query(SQL["s11_upsert"])
@@ -53,7 +56,7 @@ def st3_sync_stream(spark, d):
     feed = change_feed(old, new, ["c_custkey"]).withColumn("seq", F.lit(1))
     feed.repartition(3, "c_custkey").write.parquet(src)
     stream = jobs.stream_parquet(spark, src, feed.schema, files_per_batch=1)
-    _run(jobs.sync_stream(stream, ["c_custkey"], ["seq"], root, scratch_path(spark, "ckpt")))
+    _run(jobs.sync_stream(stream, old, ["c_custkey"], ["seq"], root, scratch_path(spark, "ckpt"), every=2))
     return jobs.replica(old, root, feed.schema, ["c_custkey"], ["seq"])
 
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job should carry on a cluster. Partition counts are left to the
 # cluster's own configuration; adaptive execution coalesces and splits them.
@@ -30,19 +29,11 @@ def build_session(app: str = "churnkit", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder of its own.
-    """
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="churnkit-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -50,11 +41,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/churnkit/{name}-{uuid.uuid4().hex}"
 
 
-MIN_RANGES, MAX_RANGES = 256, 16_384
+MIN_RANGES, ROWS_PER_RANGE = 256, 250_000
 
 
-def range_count(spark: SparkSession) -> int:
-    """How many value ranges a distributed ordering is cut into: several per shuffle
-    partition, so that tasks even out, and never so many that the cut points weigh."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(max(4 * partitions, MIN_RANGES), MAX_RANGES)
+def range_count(df: DataFrame) -> int:
+    """How many value ranges a distributed ordering of ``df`` is cut into: so many that a range's rows fit one task, however
+    many rows there are. Counting them is a pass over the input that reads no column."""
+    return max(MIN_RANGES, df.count() // ROWS_PER_RANGE)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,7 +13,8 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], preimages:
 
     ``insert`` and ``update`` rows carry the new values, ``delete`` rows the
     old ones; ``preimages`` adds the old row of each update. One shuffle per
-    side on the key; nulls compare as equal.
+    side on the key; nulls compare as equal, in keys too. A key has one row at
+    most in each version.
     """
     columns = new.columns
     values = [c for c in columns if c not in keys]
@@ -21,7 +22,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], preimages:
                    F.struct(*[F.col(c) for c in columns]).alias("_old"))
     n = new.select(*[F.col(k).alias(f"_n_{k}") for k in keys],
                    F.struct(*[F.col(c) for c in columns]).alias("_new"))
-    on = [F.col(f"_o_{k}") == F.col(f"_n_{k}") for k in keys]
+    on = [F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}")) for k in keys]
     same = F.lit(True)
     for c in values:
         same = same & F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
@@ -47,12 +48,26 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], preimages:
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New version of a keyed replica with the changes applied.
 
-    ``changes`` holds at most one row per key. Without a ``_change_type``
+    ``changes`` holds at most one row per key; null keys are keys. One full
+    outer join, from which each row is chosen. Without a ``_change_type``
     column every change is an upsert. The result is a plan over both inputs:
     write it to a new path, never over ``target``'s own.
     """
-    keep = target.join(changes.select(*keys).distinct(), list(keys), "left_anti")
-    incoming = changes
-    if "_change_type" in changes.columns:
-        incoming = changes.filter(F.col("_change_type").isin("insert", "update")).drop("_change_type")
-    return keep.select(*target.columns).unionByName(incoming, allowMissingColumns=True)
+    columns = target.columns
+    flagged = "_change_type" in changes.columns
+    incoming = changes if flagged else changes.withColumn("_change_type", F.lit("update"))
+    incoming = incoming.filter(F.col("_change_type").isin("insert", "update", "delete"))
+    fresh = [c for c in incoming.columns if c not in columns and c != "_change_type"]
+    old = target.select(F.struct(*columns).alias("_old"), *[F.col(k).alias(f"_o_{k}") for k in keys])
+    new = incoming.select(F.struct(*[c for c in incoming.columns if c != "_change_type"]).alias("_new"), "_change_type",
+                          *[F.col(k).alias(f"_n_{k}") for k in keys])
+    both = old.join(new, [F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}")) for k in keys], "full_outer")
+    changed = F.col("_new").isNotNull()
+
+    def chosen(c: str) -> Column:
+        before = F.col(f"_old.{c}") if c in columns else F.lit(None)
+        after = F.col(f"_new.{c}") if c in incoming.columns else F.lit(None)
+        return F.when(changed, after).otherwise(before).alias(c)
+
+    return (both.filter(F.coalesce(F.col("_change_type") != "delete", F.lit(True)))
+            .select(*[chosen(c) for c in [*columns, *fresh]]))

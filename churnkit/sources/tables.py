@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,12 +58,19 @@ def rows(spark: SparkSession, values: Iterable[tuple], ddl: str) -> DataFrame:
     return spark.createDataFrame(list(values), ddl)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a writer has finished the dataset at ``path``: its marker of success is there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    marker = hadoop.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def ensure(spark: SparkSession, path: str, builder: Callable[[], DataFrame]) -> DataFrame:
-    """Reuse the dataset at ``path`` or build and store it."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return save(builder(), path)
+    """Reuse the finished dataset at ``path`` or build and store it; one that was left half-written is built again.
+
+    What is wrong with a finished dataset is raised, not built over.
+    """
+    return spark.read.parquet(path) if is_complete(spark, path) else save(builder(), path)
 
 
 def ensure_table(spark: SparkSession, name: str, builder: Callable[[], DataFrame],

@@ -66,26 +66,6 @@ def test_maturity_status(spark):
     assert [r.s for r in df.select(C.maturity_status("m", F.lit(day)).alias("s")).collect()] == ["matured", "active", "active"]
 
 
-def test_ramp_rises_and_is_capped(spark):
-    got = [r.r for r in spark.range(14).select(C.ramp(F.col("id"), 14, 0.25, 0.9, 0.9).alias("r")).collect()]
-    assert got[0] == 0.9 and got[13] == 0.25 and got == sorted(got, reverse=True)
-
-
-def test_campaign_economics(spark):
-    df = spark.createDataFrame(
-        [("retention_offer", 1000.25, True, 0.5), ("cross_sell", 1000.0, False, 0.5), ("cross_sell", 1000.0, True, 0.4),
-         ("rm_outreach", 1000.0, False, 0.4)], "action_type string, balance_at_risk_usd double, retained boolean, p_retain double")
-    got = C.campaign_economics(df, F.lit(0.25)).select("retained_revenue_usd", "cost_usd", "margin_impact_usd").collect()
-    assert [tuple(r) for r in got] == [(37.51, 6.0, 0.0), (0.0, 50.0, 50.0), (30.0, 50.0, 0.0), (0.0, 40.0, 0.0)]
-
-
-def test_clamped_prob(spark):
-    df = spark.createDataFrame([("retention_offer", 2.0), ("cross_sell", 1.5), ("rm_outreach", 0.2), ("other", 0.2)],
-                               "a string, r double")
-    got = [round(x.p, 6) for x in df.select(C.clamped_prob("a", "r").alias("p")).collect()]
-    assert got == [0.9, 0.1, 0.33, 0.33]
-
-
 def test_scenario_shift(spark):
     df = spark.createDataFrame([("CUST-1", 0.0, 100.0, 0, 0, 1, 2), ("CUST-2", -10.0, 0.0, 1, 3, 0, 0)],
                                "customer_id string, total_outflow_60d_usd double, total_balance_usd double, has_maturing_cd int, "

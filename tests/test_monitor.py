@@ -112,8 +112,8 @@ def _drift(spark, rows):
     ([], 0.0, False, False, "no drift rows"),
     ([], 0.0, True, True, "forced"),
     ([("prediction", "CONSECUTIVE", 2, "all", 0.3)], 0.2, False, True, "0.3000"),
-    ([("prediction", "CONSECUTIVE", 2, "all", 0.2)], 0.2, False, True, "TRIP"),
-    ([("prediction", "CONSECUTIVE", 2, "all", 0.1)], 0.2, False, False, "within threshold"),
+    ([("prediction", "CONSECUTIVE", 2, "all", 0.2)], 0.2, False, True, "reaches"),
+    ([("prediction", "CONSECUTIVE", 2, "all", 0.1)], 0.2, False, False, "stays below"),
     ([("prediction", "CONSECUTIVE", 2, "all", None)], 0.0, False, False, "null"),
     ([("prediction", "CONSECUTIVE", 2, "all", 0.1), ("prediction", "CONSECUTIVE", 1, "all", 0.9)], 0.2, False, False, "0.1000"),
     ([("prediction", "BASELINE", 9, "all", 0.9), ("prediction", "CONSECUTIVE", 1, "all", 0.1)], 0.2, False, False, "CONSECUTIVE"),

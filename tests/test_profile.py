@@ -104,3 +104,11 @@ def test_class_balance_and_shape(frame):
     assert {r.y: (r.n, r.pct) for r in P.class_balance(frame, "y").collect()} == {0: (30, 50.0), 1: (30, 50.0)}
     assert {(r.data_type, r.n_columns, r.n_rows) for r in P.shape(frame).collect()} == {
         ("int", 2, 60), ("string", 1, 60), ("double", 2, 60)}
+
+
+def test_describe_covers_times_and_refuses_what_has_no_order(spark):
+    df = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ '2024-01-02 03:04:05', DATE '2024-01-01', true), (NULL, DATE '2023-01-01', false) t(t, d, b)")
+    got = {r.column: (r["count"], r.first_text, r.last_text) for r in P.describe(df).collect()}
+    assert got == {"t": (1, "2024-01-02 03:04:05", "2024-01-02 03:04:05"), "d": (2, "2023-01-01", "2024-01-01"), "b": (2, "false", "true")}
+    with pytest.raises(ValueError):
+        P.describe(df.select(F.array("b").alias("a")))

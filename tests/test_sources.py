@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,3 +78,23 @@ def test_ensure_table_and_csv_sample(spark):
 
 def test_shared_dir_is_the_named_one(spark):
     assert S.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_null_keys_in_feed_and_upsert(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "k long, v string")
+    new = spark.createDataFrame([(None, "a"), (1, "x"), (3, "d")], "k long, v string")
+    feed = sync.change_feed(old, new, ["k"])
+    assert sorted((r.k, r.v, r._change_type) for r in feed.collect()) == [(1, "x", "update"), (2, "c", "delete"), (3, "d", "insert")]
+    after = sync.upsert(old, spark.createDataFrame([(None, "z", "update"), (2, None, "delete"), (9, None, "delete")], "k long, v string, _change_type string"), ["k"])
+    assert sorted(map(str, after.collect())) == sorted(map(str, old.filter("k = 1").union(spark.createDataFrame([(None, "z")], "k long, v string")).collect()))
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_half_written_folder_is_built_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).repartition(4).write.parquet(path)
+    os.remove(f"{path}/_SUCCESS")
+    os.remove(next(f"{path}/{f}" for f in os.listdir(path) if f.startswith("part-")))
+    assert tables.ensure(spark, path, lambda: spark.range(7)).count() == 7
+    assert tables.ensure(spark, path, lambda: spark.range(9)).count() == 7

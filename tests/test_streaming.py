@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 
 from churnkit.operators.payload import unpack_payload
 from churnkit.session import scratch_path
@@ -38,7 +39,8 @@ def test_profile_stream_emits_closed_windows_and_drops_late_rows(spark):
     assert got == {1: (2, 1, 1.0), 2: (1, 0, 9.0)}
 
 
-def test_sync_stream_over_several_batches(spark):
+@pytest.mark.parametrize("every", [1, 2, 5])
+def test_sync_stream_over_several_batches(spark, every):
     ddl = "k int, v string"
     base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], ddl)
     src, root, ck = _path(spark, "chg"), _path(spark, "root"), _path(spark, "ck")
@@ -48,7 +50,7 @@ def test_sync_stream_over_several_batches(spark):
     for rows in batches:
         chg = spark.createDataFrame(rows, cddl)
         chg.coalesce(1).write.mode("append").parquet(src)
-        jobs.sync_stream(jobs.stream_parquet(spark, src, chg.schema), ["k"], ["seq"], root, ck).awaitTermination()
+        jobs.sync_stream(jobs.stream_parquet(spark, src, chg.schema), base, ["k"], ["seq"], root, ck, every).awaitTermination()
     got = jobs.replica(base, root, chg.schema, ["k"], ["seq"])
     assert sorted(map(tuple, got.select("k", "v").collect())) == [(1, "a3"), (3, "c")]
 
