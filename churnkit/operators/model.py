@@ -44,8 +44,9 @@ def add_class_weight(train: DataFrame, label: str, scheme: str = "balanced", out
     return _weighted(train, label, _weights(train, label, scheme)[0], out)
 
 
-# Partitions that training rows are dealt into. Bagging draws by partition, so their number is part of the fit.
-FIT_PARTITIONS = 64
+# Partitions that training rows are dealt into; give more for a large table. Bagging draws by partition, so their number is
+# part of the fit.
+FIT_PARTITIONS = 8
 
 
 def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, learner, partitions: int) -> PipelineModel:

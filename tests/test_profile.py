@@ -84,12 +84,10 @@ def test_round_summary_counts_failed_batches(spark):
                    ("overall", None): (3, 2, 2 / 3, 4, 2)}
 
 
-def test_sample_n_both_ways(spark, monkeypatch):
+def test_sample_n_is_the_same_on_every_layout(spark):
     df = spark.range(300)
-    a = sorted(r.id for r in P.sample_n(df, ["id"], 40, 9).collect())
-    monkeypatch.setattr(P, "TOP_N_LIMIT", 0)
-    b = sorted(r.id for r in P.sample_n(df, ["id"], 40, 9).collect())
-    assert a == b and len(a) == 40
+    a, b = ([r.id for r in P.sample_n(x, ["id"], 40, 9).collect()] for x in (df, df.repartition(7)))
+    assert a == b and len(set(a)) == 40
     assert P.sample_n(df, ["id"], 1000, 9).count() == 300
 
 
@@ -112,3 +110,12 @@ def test_describe_covers_times_and_refuses_what_has_no_order(spark):
     assert got == {"t": (1, "2024-01-02 03:04:05", "2024-01-02 03:04:05"), "d": (2, "2023-01-01", "2024-01-01"), "b": (2, "false", "true")}
     with pytest.raises(ValueError):
         P.describe(df.select(F.array("b").alias("a")))
+
+
+def test_correlation_of_a_wide_table_takes_several_passes(spark):
+    names = [f"c{i}" for i in range(40)]
+    df = spark.range(50).select(*[F.hash("id", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)])
+    assert P.corr_matrix(df, names).count() == 40 * 40
+    small = {(r.col_a, r.col_b): r.corr for r in P.corr_matrix(df, names[:5], pairs_per_pass=4).collect()}
+    want = df.select(*names[:5]).toPandas().corr()
+    assert all(r == pytest.approx(want.loc[a, b]) for (a, b), r in small.items()) and len(small) == 25
