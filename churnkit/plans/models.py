@@ -30,9 +30,12 @@ class _Workspace:
         split = FT.stratified_split(self.features, ["customer_id"], "churned")
         self.train = split.filter(~F.col("is_test")).drop("is_test")
         self.test = split.filter("is_test").drop("is_test")
+        self._models = {}
 
     def model(self, kind):
-        return (M.fit_rf if kind == "forest" else M.fit_gbt)(self.train, NAMES, "churned")
+        if kind not in self._models:
+            self._models[kind] = (M.fit_rf if kind == "forest" else M.fit_gbt)(self.train, NAMES, "churned")
+        return self._models[kind]
 
     def scored(self, kind):
         """Held-out rows with probability and class."""
@@ -40,12 +43,35 @@ class _Workspace:
         return save(got.withColumn("model", F.lit(kind)), scratch_path(self.spark, "scored"))
 
 
+def _stamp(spark, d):
+    """Name, size and time of every file of the tables that features are made of."""
+    conf, hadoop = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs
+    found = []
+    for name in ("customer", "nation", "region", "orders", "lineitem", "events"):
+        path = hadoop.Path(f"{d}/{name}.parquet")
+        for s in path.getFileSystem(conf).listStatus(path):
+            found.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return tuple(found)
+
+
+_KEPT: dict[tuple, _Workspace] = {}
+
+
+def workspace(spark, d):
+    """The last workspace, as long as the session and the files of the tables are the same."""
+    key = (spark.sparkContext.applicationId, _stamp(spark, d))
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = _Workspace(spark, d)
+    return _KEPT[key]
+
+
 _SPLIT = f"""WITH {D.FEATS}, held AS (SELECT *, {D.u("42|split", "customer_id")} < 0.2::DOUBLE AS is_test FROM feats),
 n AS (SELECT count(*) FILTER (is_test) AS n, coalesce(sum(churned) FILTER (is_test), 0)::BIGINT AS positives FROM held)"""
 
 
 def _fit_facts(spark, d, kind):
-    w = _Workspace(spark, d)
+    w = workspace(spark, d)
     scored = w.scored(kind)
     board = E.leaderboard(scored, "model", "churned", "probability", "prediction").select("pr_auc", "roc_auc")
     facts = scored.agg(
@@ -78,7 +104,7 @@ def f7_fit_boosted_trees(spark, d):
 @query(_SPLIT + """SELECT customer_id, true AS in_range, true AS class_follows FROM held WHERE is_test""")
 def f8_score_batch(spark, d):
     """Every held-out customer, scored by key."""
-    w = _Workspace(spark, d)
+    w = workspace(spark, d)
     got = M.score_batch(w.model("forest"), w.test, w.features, NAMES)
     return got.select("customer_id", F.col("probability").between(0, 1).alias("in_range"),
                       ((F.col("probability") >= 0.5).cast("int") == F.col("prediction")).alias("class_follows"))
@@ -87,7 +113,7 @@ def f8_score_batch(spark, d):
 @query(_SPLIT + """SELECT count(*) AS customers, sum(churned)::BIGINT AS churned, true AS shares_add_up FROM held WHERE is_test""")
 def f9_probability(spark, d):
     """Held-out customers in ten bands of probability: the bands hold all of them, and both classes' shares add up to 1."""
-    w = _Workspace(spark, d)
+    w = workspace(spark, d)
     p = w.model("forest").transform(w.test.select("churned", *[F.col(f).cast("double").alias(f) for f in NAMES]))
     both = p.select("churned", M.proba().alias("p"), M.proba("probability", 0).alias("q"))
     bands = both.groupBy(F.least(F.floor(F.col("p") * 10), F.lit(9)).alias("band")).agg(
@@ -100,7 +126,7 @@ def f9_probability(spark, d):
        "true AS ranked FROM (SELECT count(*) FROM customer)")
 def f11_importances(spark, d):
     """Importances of all features: none negative, ranked, adding up to 1."""
-    rows = M.importances(_Workspace(spark, d).model("forest"), spark, NAMES)
+    rows = M.importances(workspace(spark, d).model("forest"), spark, NAMES)
     later = rows.select(F.col("rank") - 1, F.col("importance")).toDF("rank", "next")
     return rows.join(later, "rank", "left").agg(
         F.count_distinct("feature").alias("n_features"), F.max("rank").alias("last_rank"),
@@ -112,7 +138,7 @@ def f11_importances(spark, d):
 def f12_shapley_values(spark, d):
     """Contributions of each feature to every held-out customer's score: they add up to the score minus the mean score of
     the background rows that were drawn."""
-    w = _Workspace(spark, d)
+    w = workspace(spark, d)
     model = w.model("forest")
     values = M.shapley_values(model, w.test, w.train, NAMES, "customer_id")
     total = values.groupBy("customer_id").agg(F.count("*").alias("features"), F.sum("contribution").alias("total"))
