@@ -239,6 +239,18 @@ def windows_of(doc: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.where(mask, doc[np.minimum(place, len(doc) - 1)], 0), mask
 
 
+def _inputs_in_parts(words: list[bytes], part: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_inputs`` of many words, a part at a time, so that what is needed in between stays small."""
+    rows, grams, starts, at = [], [], [], 0
+    for k in range(0, len(words), part):
+        r, g, s = word_inputs(words[k:k + part])
+        rows.append(r.astype(np.int32))
+        grams.append(g.astype(np.int32))
+        starts.append(s + at)
+        at += len(g)
+    return np.concatenate(rows), np.concatenate(grams), np.concatenate(starts)
+
+
 def _telling(doc: np.ndarray, lean: np.ndarray, most: int) -> np.ndarray:
     """Starts of the windows to learn from: those whose words lean most, and as many spread over the document."""
     starts = window_starts(len(doc))
@@ -265,8 +277,8 @@ def train(texts: list[str], labels: list[int], base_rate: float | None = None, s
     model = Model.fresh(seed)
     w = model.weights
     number: dict[bytes, int] = {}
-    docs = [np.fromiter((number.setdefault(x, len(number)) for x in words_of(t)), np.int64) for t in texts]
-    rows, grams, starts = word_inputs(list(number))
+    docs = [np.fromiter((number.setdefault(x, len(number)) for x in words_of(t)), np.int32) for t in texts]
+    rows, grams, starts = _inputs_in_parts(list(number))
     counts = np.diff(np.append(starts, len(grams)))
     truths = np.array(labels, bool)
     w["word_lean"] = _lean([rows[np.unique(d)] for d in docs], truths, WORD_ROWS, 3.0)

@@ -11,7 +11,7 @@ from churnkit.llm.common import keep_rows, map_batches, text_of
 from churnkit.llm.gru import Model, train
 
 # At most so many labelled documents of either class are learned from, and none longer than this.
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 600, 2400, 100_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 600, 2400, 40_000
 FOLDS = 5
 THRESHOLD = 0.5
 
