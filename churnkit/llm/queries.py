@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import extraction, idfiles, learned_index, packing, repetition, secrets, simhash, toxicity, warc
+from churnkit.llm import extraction, idfiles, learned_index, packing, pieces, repetition, secrets, simhash, toxicity, warc
 from churnkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op1_token_id_files(spark: SparkSession, folder: str) -> DataFrame:
     return idfiles.corpus_ids(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query()
+def op4_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.piece_ids(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @query()
 def op6_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
