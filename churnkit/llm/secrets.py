@@ -19,7 +19,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_VALUE, MIN_ACCESS = 6, 20
-KINDS = ("assign", "access", "hex", "literal")
+KINDS = ("assign", "access", "hex", "literal", "piece")
 
 # Words of a target name and how much they say that its value is a secret.
 NAME_WEIGHT = {"password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "pass": 2, "pw": 2, "secret": 3, "secrets": 3, "token": 3,
@@ -35,8 +35,9 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|<.*>|\[.*\]|\{.*\}|\$\{?\w+\}?|
 THRESHOLD = 5
 MIN_LITERAL = 6
 
-_STEMS = (b"pass", b"pwd", b"secret", b"token", b"key", b"cred", b"auth", b"bearer", b"jwt", b"signing", b"webhook", b"pin",
-          b"salt", b"connection")
+# Every name that has a weight holds one of these: the weighted words, and the last word of each pair.
+_STEMS = tuple(sorted({w.encode() for w in (*NAME_WEIGHT, *(pair[-1] for pair in PAIR_WEIGHT))}))
+_STEMS = tuple(s for s in _STEMS if not any(o != s and o in s for o in _STEMS))
 _ASSIGN_STEMS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 _TOKEN = re.compile(r"""
@@ -163,7 +164,8 @@ def _place(span: tuple[int, int, str]) -> tuple[int, int]:
 
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """(base spans, all spans) of a text. The method adds each literal that a sensitive name gets, by itself or through
-    constants, unless a base span holds it."""
+    constants, unless a base span holds it. Only the joined value has to be long enough; its parts shorter than that are of
+    kind ``piece``."""
     base = base_spans(text)
     if ("=" not in text and ":" not in text) or not any(s in text.encode("utf-8", "surrogatepass").lower() for s in _STEMS):
         return base, base
@@ -171,8 +173,8 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, st
     for target, value in assignments(text):
         weight = name_score(target)
         if weight > 0 and weight + literal_score(value.text) >= THRESHOLD:
-            more |= {s for s in value.spans if s[1] - s[0] >= MIN_LITERAL}
-    extra = [(s, e, "literal") for s, e in more if not any(a <= s and e <= b for a, b, _ in base)]
+            more |= {s for s in value.spans if s[1] > s[0]}
+    extra = [(s, e, "literal" if e - s >= MIN_LITERAL else "piece") for s, e in more if not any(a <= s and e <= b for a, b, _ in base)]
     return base, sorted(base + extra, key=lambda s: (*_place(s), s[1]))
 
 

@@ -78,3 +78,24 @@ def test_masking(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in S.mask_secrets(df).collect()}
     assert got == {1: ('x [secret]" y', 13), 2: ("clean", 5), 3: (None, 0), 4: ("", 0)}
     assert S.mask_secrets(df).schema == df.schema
+
+
+@pytest.mark.parametrize("name", [*S.NAME_WEIGHT, *("_".join(p) for p in S.PAIR_WEIGHT), "db_pw", "dbPw"])
+def test_every_weighted_name_passes_alone(name):
+    secret = "X9$kLmQ2vR8t!wZ3"
+    text = f'{name} = "{secret}"'
+    found = [text[s:e] for s, e, k in S.scan(text)[1] if k == "literal"]
+    base = [text[s:e] for s, e, _ in S.base_spans(text)]
+    scored = S.name_score(name) + S.literal_score(secret) >= S.THRESHOLD
+    assert scored and (found == [secret] or any(secret in b for b in base))
+
+
+@pytest.mark.parametrize(("text", "found"), [
+    ('password = "aB3x9" + "Qz7Lm" + "8Kp2R"', ["aB3x9", "Qz7Lm", "8Kp2R"]),
+    ('a = "aB3x9"\nb = "Qz#"\ndb_pw = a + b + "" + "8Kp2R"', ["aB3x9", "Qz#", "8Kp2R"]),
+    ('password = "aB3x9"', []),
+    ('password = "aB" + "3"', []),
+])
+def test_short_pieces_of_a_joined_secret(text, found):
+    assert [text[s:e] for s, e, k in S.scan(text)[1] if k in ("literal", "piece")] == found
+    assert not any(f in S.mask(text) for f in found)
