@@ -205,13 +205,16 @@ def index_vectors(rows: DataFrame, router: Router) -> DataFrame:
 
 
 def _best(ids: np.ndarray, vectors: np.ndarray, squares: np.ndarray, query: int, point: np.ndarray, close: np.ndarray, k: int):
-    """The ``k`` nearest of a cell for one query, by exact distances, ties by id."""
+    """The ``k`` ids of a cell nearest to one query, by exact distances, ties by id. Equal ids stand next to each other."""
     other = np.flatnonzero(ids != query)
     if not len(other):
         return other, other
     far = close[other]
-    if len(other) > k:
-        bound = np.partition(far, k - 1)[k - 1]
+    firsts = np.flatnonzero(np.concatenate([[True], np.diff(ids[other]) != 0]))
+    if len(firsts) > k:
+        # each id counts once, at its nearest row
+        nearest = np.minimum.reduceat(far, firsts) if len(firsts) < len(other) else far
+        bound = np.partition(nearest, k - 1)[k - 1]
         # sums found by products may be off in their last digits: whatever may tie is measured again
         other = other[far <= bound + 1e-9 * (1 + squares.max() + point @ point)]
     exact = np.sqrt(((vectors[other] - point) ** 2).sum(1))
@@ -292,7 +295,7 @@ def nearest_neighbours(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS
     take part (see ``usable``) are neither queries nor candidates. Rows with one id count once, at their nearest; of query
     rows with one id the least vector asks. A table without rows that take part gives none; other columns are not read.
     """
-    rows = stored(usable(vectors, key, vector), "vectors")
+    rows = stored(usable(vectors, key, vector).distinct(), "vectors")
     sample = np.array([r.vector for r in rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()], np.float64)
     if not len(sample):
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))

@@ -48,6 +48,19 @@ def test_recall_and_scores(spark, kind, monkeypatch):
     assert all(got[q] == want[q] for q in copies)
 
 
+@pytest.mark.parametrize("kind", ["doubled", "one id 20 times", "20 vectors of one id"])
+def test_repeated_rows_cost_no_neighbours(spark, kind):
+    """A table too small for more than one cell, so the answer is exact."""
+    rng = np.random.default_rng(3)
+    ids, vectors = np.arange(60), rng.standard_normal((60, 4)).astype(np.float32)
+    vectors[1] = vectors[0] + np.float32(0.001)
+    want = brute(ids, vectors.astype(np.float64), [0], 10)
+    more = {"doubled": (ids, vectors), "one id 20 times": (np.full(20, 1), vectors[[1] * 20]),
+            "20 vectors of one id": (np.full(20, 1), vectors[0] + np.float32(0.002) * np.arange(1, 21, dtype=np.float32)[:, None])}[kind]
+    got = found_of(L.nearest_neighbours(frame(spark, np.concatenate([ids, more[0]]), np.concatenate([vectors, more[1]]))))
+    assert [v for _, v in got[0]] == [v for _, v in want[0]] and len(got[0]) == 10
+
+
 def test_given_embeddings(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = df.collect()
