@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import extraction, idfiles, learned_index, packing, pieces, repetition, secrets, simhash, toxicity, warc
+from churnkit.llm import debruijn, extraction, idfiles, learned_index, packing, pieces, repetition, secrets, simhash, toxicity, warc
 from churnkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,21 @@ FROM coded
 @query(_ARCHIVE_SQL)
 def op9_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(table(spark, folder, "pages")).drop("url")
+
+
+_REPEATS_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+at AS (SELECT doc_id, w, unnest(range(1, len(w) - {debruijn.WINDOW - 2})) AS i FROM d WHERE len(w) >= {debruijn.WINDOW}),
+edge AS (SELECT doc_id, i, md5(array_to_string(w[i:i + {debruijn.WINDOW - 1}], ' ')) AS g FROM at),
+source AS (SELECT g, min(doc_id) AS least FROM edge GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {debruijn.WINDOW})) AS pos FROM edge JOIN source USING (g) WHERE least < doc_id),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS t FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query(_REPEATS_SQL)
+def op11_de_bruijn_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return debruijn.remove_repeats(table(spark, folder, "documents")).drop("kept")
