@@ -132,8 +132,8 @@ def op9_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 _REPEATS_SQL = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-at AS (SELECT doc_id, w, unnest(range(1, len(w) - {debruijn.WINDOW - 2})) AS i FROM d WHERE len(w) >= {debruijn.WINDOW}),
-edge AS (SELECT doc_id, i, md5(array_to_string(w[i:i + {debruijn.WINDOW - 1}], ' ')) AS g FROM at),
+begins AS (SELECT doc_id, w, unnest(range(1, len(w) - {debruijn.WINDOW - 2})) AS i FROM d WHERE len(w) >= {debruijn.WINDOW}),
+edge AS (SELECT doc_id, i, md5(array_to_string(w[i:i + {debruijn.WINDOW - 1}], ' ')) AS g FROM begins),
 source AS (SELECT g, min(doc_id) AS least FROM edge GROUP BY g),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {debruijn.WINDOW})) AS pos FROM edge JOIN source USING (g) WHERE least < doc_id),
 word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
