@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import debruijn, extraction, idfiles, learned_index, packing, pieces, repetition, secrets, simhash, spans, toxicity, warc
+from churnkit.llm import debruijn, extraction, idfiles, learned_index, packing, pieces, repair, repetition, secrets, simhash, spans, toxicity, warc
 from churnkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,8 @@ def op11_de_bruijn_repeats(spark: SparkSession, folder: str) -> DataFrame:
 def op12_tokenizer_spans(spark: SparkSession, folder: str) -> DataFrame:
     a, b = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
     return spans.align_tokens(table(spark, folder, "documents"), a, b, keep_groups=False).drop("groups")
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.damaged_and_repaired(table(spark, folder, "conversations"))
