@@ -13,6 +13,7 @@ import os
 import re
 from functools import lru_cache
 from itertools import accumulate
+from struct import pack
 from typing import NamedTuple
 
 import numpy as np
@@ -26,24 +27,28 @@ from churnkit.llm.tokens import _byte_letters, separable
 
 SPACE = "▁"
 # New words after which a process starts a new store; words met again are taken over from the last one.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 # Words of the documents of one block. Its table of pairs is as large as its different words have, so it is bounded as well.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 _NORMAL, _BYTE = 1, 6
 
 
 class Aligned(NamedTuple):
     """Two rows of ids over the same bytes: their groups as text and how the ids meet. ``pairs`` has a << 32 | b for each
-    pair of tokens with a byte in common. Without tokens everything is empty."""
+    pair of tokens with a byte in common, as 64-bit integers. Without tokens everything is empty."""
 
     n_a: int
     n_b: int
     n_groups: int
     groups: str
-    pairs: tuple[int, ...]
+    pairs: bytes
 
+    @property
+    def n_links(self) -> int:
+        return len(self.pairs) // 8
 
-_NONE = Aligned(0, 0, 0, "", ())
+
+_NONE = Aligned(0, 0, 0, "", b"")
 
 
 def byte_ends(spans: list[tuple[int, int]], sizes: list[int], cuts: set[int]) -> list[int]:
@@ -64,15 +69,25 @@ def byte_ends(spans: list[tuple[int, int]], sizes: list[int], cuts: set[int]) ->
 
 def align(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> Aligned:
     """Groups between the places where both end, and the pairs of tokens that overlap; both rows end at the same byte."""
-    groups, pairs, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-    while i < len(a):
-        pairs.append(a[i] << 32 | b[j])
-        x, y = ends_a[i], ends_b[j]
-        i, j = i + (x <= y), j + (y <= x)
+    groups, pairs, i, j, x, y, mine, other = [], [], 0, 0, ends_a[0], ends_b[0], str(a[0]), str(b[0])
+    pairs.append(a[0] << 32 | b[0])
+    while True:
         if x == y:
-            groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-            from_a, from_b = i, j
-    return Aligned(len(a), len(b), len(groups), ";".join(groups), tuple(pairs))
+            groups.append(f"{mine}|{other}")
+            i, j = i + 1, j + 1
+            if i == len(a):
+                break
+            x, y, mine, other = ends_a[i], ends_b[j], str(a[i]), str(b[j])
+        elif x < y:
+            i += 1
+            x = ends_a[i]
+            mine = f"{mine},{a[i]}"
+        else:
+            j += 1
+            y = ends_b[j]
+            other = f"{other},{b[j]}"
+        pairs.append(a[i] << 32 | b[j])
+    return Aligned(len(a), len(b), len(groups), ";".join(groups), pack(f"<{len(pairs)}q", *pairs))
 
 
 class SpanAligner:
@@ -132,22 +147,23 @@ class SpanAligner:
     def _one(self, word: str, found_a, found_b) -> Aligned | None:
         """The alignment of a word; None if one side's bytes are not the word's."""
         raw = word.encode()
-        pieces = [(p.id, p.begin, p.end) for p in found_b]
-        if word[0] == " ":
-            # spans of B begin behind the space it has added
-            pieces = [(i, s + 1 if s or k else 0, e + 1) for k, (i, s, e) in enumerate(pieces)]
-        else:
-            pieces = pieces[1:]
-        a, b = found_a.ids, [p[0] for p in pieces]
+        # B was given the word without its space or, if it begins with a line end, has put one before it
+        shift = 1 if word[0] == " " else 0
+        pieces = found_b if shift else found_b[1:]
+        a, spans_a = found_a.ids, found_a.offsets
+        b, ends_b = [p.id for p in pieces], [p.end + shift for p in pieces]
         bytes_a, bytes_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
         if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
             return None
-        spans_a, spans_b = found_a.offsets, [(s, e) for _, s, e in pieces]
+        ends_a = [e for _, e in spans_a]
         if len(raw) != len(word):
             at = [0, *accumulate(len(c.encode()) for c in word)]
             spans_a = [(at[s], at[e]) for s, e in spans_a]
-        cuts = {e for _, e in spans_a} & {e for _, e in spans_b}
-        return align(a, b, byte_ends(spans_a, list(map(len, bytes_a)), cuts), byte_ends(spans_b, list(map(len, bytes_b)), cuts))
+            spans_b = [(p.begin + shift if p.begin or k else 0, e) for k, (p, e) in enumerate(zip(pieces, ends_b, strict=True))]
+            cuts = {e for _, e in spans_a} & set(ends_b)
+            ends_a, ends_b = byte_ends(spans_a, list(map(len, bytes_a)), cuts), byte_ends(spans_b, list(map(len, bytes_b)), cuts)
+        # characters of one byte: tokens share none, and spans are as fine as they get
+        return align(a, b, ends_a, ends_b)
 
     def align_text(self, text: str) -> Aligned:
         """The alignment of one whole text."""
@@ -159,7 +175,7 @@ class SpanAligner:
         if None in parts:
             return _NONE
         return Aligned(sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(p.n_groups for p in parts),
-                       ";".join(p.groups for p in parts), tuple(x for p in parts for x in p.pairs))
+                       ";".join(p.groups for p in parts), b"".join(p.pairs for p in parts))
 
 
 @lru_cache(maxsize=2)
@@ -200,7 +216,7 @@ class _Block:
     def rows(self, names: list[str], key_type: pa.DataType):
         """A row for each document, then one for the block."""
         found = self.found
-        sizes = np.array([(f.n_a, f.n_b, f.n_groups, len(f.pairs)) for f in found], np.int64).reshape(-1, 4)
+        sizes = np.array([(f.n_a, f.n_b, f.n_groups, f.n_links) for f in found], np.int64).reshape(-1, 4)
         n = len(self.keys)
         sums = np.array([sizes[d].sum(0) for d in self.docs]).reshape(-1, 4)
         none = [None] * n
@@ -208,7 +224,7 @@ class _Block:
             [pa.repeat(pa.scalar(self.number, pa.int64()), n), pa.array(self.keys, key_type), *[pa.array(sums[:, i].copy()) for i in range(4)],
              pa.array(self.shas), pa.array(self.groups, pa.string()), pa.array([d.tobytes() for d in self.docs]), pa.array(none, pa.list_(pa.int64())),
              pa.array(none, pa.list_(pa.int64())), pa.array(none, pa.binary()), pa.array(none, pa.binary())], names)
-        pairs, at = np.unique(np.fromiter((p for f in found for p in f.pairs), np.int64), return_inverse=True)
+        pairs, at = np.unique(np.frombuffer(b"".join([f.pairs for f in found]), np.int64), return_inverse=True)
         ids = np.concatenate([np.zeros(0, np.int32), *self.docs])
         often = np.bincount(ids, minlength=len(found))
         counts = np.bincount(at, np.repeat(often, sizes[:, 3]), len(pairs)).astype(np.int64)

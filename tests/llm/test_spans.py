@@ -78,7 +78,7 @@ def test_random_texts_and_blocks(spark, monkeypatch):
     tool.cut = None  # whole texts
     for t, w in zip(texts, plain(texts), strict=True):
         one = tool.align_text(t)
-        assert (one.n_a, one.n_b, one.n_groups, len(one.pairs)) == w[:4]
+        assert (one.n_a, one.n_b, one.n_groups, one.n_links) == w[:4]
         assert (hashlib.sha256(one.groups.encode()).hexdigest() if one.groups else "") == w[6]
 
 
@@ -115,7 +115,7 @@ def test_long_text_and_cache(spark, monkeypatch):
     text = " ".join(f"word{i % 700} é{i}" for i in range(20_000))
     one = tool.align_text(text)
     want = plain([text])[0]
-    assert (one.n_a, one.n_b, one.n_groups, len(one.pairs)) == want[:4]
+    assert (one.n_a, one.n_b, one.n_groups, one.n_links) == want[:4]
 
 
 @pytest.mark.parametrize("d", ["/root/testdata/sf0.001"])
