@@ -1,19 +1,19 @@
-"""Training, scoring and explaining classifiers with Spark ML."""
+"""Training, scoring and explaining classifiers: forests by Spark ML, boosted trees by ``boosting``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions.columns import hash_uniform
+from churnkit.operators.boosting import BoostedTrees, fit_boosted
 from churnkit.operators.features import class_weights, lookup
-from churnkit.session import shared_dir
 
 # Training settings.
 RF_TREES, RF_DEPTH = 200, 8
@@ -44,50 +44,49 @@ def add_class_weight(train: DataFrame, label: str, scheme: str = "balanced", out
     return _weighted(train, label, _weights(train, label, scheme)[0], out)
 
 
-# Partitions that training rows are dealt into; give more for a large table. Bagging draws by partition, so their number is
-# part of the fit.
-FIT_PARTITIONS = 8
+# Rows of one training partition. Bagging draws by partition, so their number, which follows from the rows, is part of the fit.
+ROWS_PER_PARTITION = 50_000
 
 
-def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, learner, partitions: int) -> PipelineModel:
+def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, learner, partitions: int | None) -> PipelineModel:
     """Rows are dealt by a hash of their values and ordered in each partition: the fit depends on the rows, the settings and
     ``partitions``, not on how the input was laid out or on the number of cores."""
-    weights, _ = _weights(train, label, scheme)
+    weights, n = _weights(train, label, scheme)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec", handleInvalid="keep")
     names = [*features, label]
     data = _weighted(train, label, weights, "class_weight").select(
         *[F.col(f).cast("double").alias(f) for f in names], "class_weight")
-    data = data.repartition(partitions, F.xxhash64(*names)).sortWithinPartitions(*names)
-    shared_dir(train.sparkSession)  # long boosting runs cut their lineage there
+    dealt = partitions or max(1, -(-n // ROWS_PER_PARTITION))
+    data = data.repartition(dealt, F.xxhash64(*names)).sortWithinPartitions(*names)
     return Pipeline(stages=[assembler, learner]).fit(data)
 
 
 def fit_rf(train: DataFrame, features: Sequence[str], label: str, trees: int = RF_TREES, depth: int = RF_DEPTH,
-           seed: int = 42, partitions: int = FIT_PARTITIONS) -> PipelineModel:
-    """Random forest with balanced class weights."""
+           seed: int = 42, partitions: int | None = None) -> PipelineModel:
+    """Random forest with balanced class weights, in as many partitions as the rows need."""
     return _fit(train, features, label, "balanced", RandomForestClassifier(
         featuresCol="features_vec", labelCol=label, weightCol="class_weight", numTrees=trees, maxDepth=depth,
         featureSubsetStrategy="sqrt", seed=seed), partitions)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str, rounds: int = GBT_ROUNDS, depth: int = GBT_DEPTH,
-            rate: float = GBT_RATE, rows: float = GBT_ROWS, columns: float = GBT_COLUMNS,
-            seed: int = 42, partitions: int = FIT_PARTITIONS) -> PipelineModel:
-    """Boosted trees with positives weighted up to the negatives."""
-    return _fit(train, features, label, "positive", GBTClassifier(
-        featuresCol="features_vec", labelCol=label, weightCol="class_weight", maxIter=rounds, maxDepth=depth,
-        stepSize=rate, subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed), partitions)
+            rate: float = GBT_RATE, rows: float = GBT_ROWS, columns: float = GBT_COLUMNS, seed: int = 42) -> BoostedTrees:
+    """Boosted trees with positives weighted up to the negatives; rows and columns are drawn once for each tree."""
+    weighted = add_class_weight(train, label, "positive")
+    return fit_boosted(weighted, features, label, "class_weight", rounds, depth, rate, rows, columns, seed=seed)
 
 
-def score(model: PipelineModel, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+def score(model: PipelineModel | BoostedTrees, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``keep`` columns plus features, probability of class 1 and the 0.5 class."""
     cast = df.select(*[c for c in keep if c not in features], *[F.col(f).cast("double").alias(f) for f in features])
     out = model.transform(cast)
+    if isinstance(model, BoostedTrees):
+        return out.withColumn("prediction", apply_threshold("probability"))
     return out.select(*cast.columns, proba().alias("probability"),
                       F.col("prediction").cast("int").alias("prediction"))
 
 
-def score_batch(model: PipelineModel, keys_df: DataFrame, features_df: DataFrame, features: Sequence[str],
+def score_batch(model: PipelineModel | BoostedTrees, keys_df: DataFrame, features_df: DataFrame, features: Sequence[str],
                 key: str = "customer_id") -> DataFrame:
     """Score by key: features are looked up, keys without features are dropped.
 
