@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions.columns import hash_uniform
-from churnkit.session import range_count
+from churnkit.session import kept_once, range_count
 
 
 def value_ranges(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
@@ -175,7 +175,13 @@ def _bracketed_quantiles(narrow: DataFrame, columns, ps, by, method, heads, rang
             F.transform(F.filter(F.col(f"_b{i}"), _bracket_test(c)), _bracket_cell(c)) for i, c in enumerate(columns)]))
         hits = src.select(F.explode(cells).alias("_x")).select("_x.*")
         picks = spark.createDataFrame(sorted(set(open_ranks.values())), "id int, rank long")
-        got = _values_at(hits, picks, ranges)
+        # rows of each bracket, as counted
+        sizes = []
+        for (gi, i, j) in brackets:
+            r, e = by_group[_same_group(groups[gi])], edges[gi][columns[i]]
+            upto = r[f"_lt{i}_{j}"] if j < len(e) else r[f"_n{i}"]
+            sizes.append(upto - (r[f"_lt{i}_{j - 1}"] if j else 0))
+        got = _values_at(hits, picks, max(sizes), ranges)
         values = {(r["id"], r["rank"]): r["v"] for r in got.collect()}
         known.update({key: values[at] for key, at in open_ranks.items()})
 
@@ -208,15 +214,23 @@ def _bracket_cell(c: str):
     return lambda b: F.struct(b["id"].alias("id"), F.col(c).alias("v"))
 
 
-def _values_at(hits: DataFrame, picks: DataFrame, ranges: int | None) -> DataFrame:
-    """Value at each ``rank`` (from 0) of each ``id`` in rows ``id, v``."""
+# Rows of a bracket that are put in order in one task; larger brackets are cut into ranges.
+BRACKET_ROWS = 2_000_000
+
+
+def _values_at(hits: DataFrame, picks: DataFrame, largest: int, ranges: int | None) -> DataFrame:
+    """Value at each ``rank`` (from 0) of each ``id`` in rows ``id, v``, of which an id has ``largest`` at most."""
     counts = hits.groupBy("id", "v").agg(F.count("*").alias("m"))
-    ranged = value_ranges(counts, ["v"], ranges).withColumnRenamed("_range_v", "rng")
-    inside = Window.partitionBy("id", "rng").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("id").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranged.groupBy("id", "rng").agg(F.sum("m").alias("n")).select(
-        "id", "rng", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    local = ranged.join(sizes, ["id", "rng"]).withColumn("upto", F.sum("m").over(inside) + F.col("before"))
+    if largest <= BRACKET_ROWS and ranges is None:
+        upto = F.sum("m").over(Window.partitionBy("id").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        local = counts.withColumn("upto", upto)
+    else:
+        ranged = value_ranges(kept_once(counts, "hits"), ["v"], ranges).withColumnRenamed("_range_v", "rng")
+        inside = Window.partitionBy("id", "rng").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        before = Window.partitionBy("id").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = ranged.groupBy("id", "rng").agg(F.sum("m").alias("n")).select(
+            "id", "rng", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+        local = ranged.join(sizes, ["id", "rng"]).withColumn("upto", F.sum("m").over(inside) + F.col("before"))
     # as many picks as wanted ranks: groups x columns x probabilities, with at most MAX_GROUPS groups
     found = local.join(F.broadcast(picks), "id").filter(
         (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("m")))
@@ -354,7 +368,8 @@ def running_counts(df: DataFrame, score: str, sums: dict[str, Column], by: Seque
     collapsed before anything is ordered, so a hot score costs one row.
     """
     by, names = list(by), list(sums)
-    counts = df.groupBy(*by, score).agg(*[e.alias(k) for k, e in sums.items()])
+    # read for the cut points, the totals and the ranges: stored, so that the input is read once
+    counts = kept_once(df.groupBy(*by, score).agg(*[e.alias(k) for k, e in sums.items()]), "scores")
     ranged = (value_ranges(counts, [score], ranges).withColumnRenamed(f"_range_{score}", "_rng")
               .withColumn("_by", _group_key(by)))
     totals = ranged.groupBy("_by", "_rng").agg(*[F.sum(k).alias(k) for k in names])

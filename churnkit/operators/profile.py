@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions.columns import hash_uniform
+from churnkit.operators.moments import correlations
 from churnkit.operators.order import quantile_columns
 
 
@@ -88,12 +89,27 @@ def null_counts(df: DataFrame) -> DataFrame:
     return _to_rows(wide, [F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in df.columns])
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows and surplus copies, in one pass over the data."""
-    return (df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-            .agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-                 F.count("*").alias("distinct_rows"),
-                 F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows")))
+def row_digest(df: DataFrame) -> Column:
+    """128 bits of a row's values: two hashes of 64 bits, with a mark for each null."""
+    values = [F.col(c) for c in df.columns]
+    nulls = F.concat(F.lit(""), *[F.when(v.isNull(), "1").otherwise("0") for v in values])
+    return F.struct(F.xxhash64(*values, nulls).alias("a"), F.xxhash64(F.lit(7), nulls, *values).alias("b"))
+
+
+def duplicate_count(df: DataFrame, digest: Column | None = None) -> DataFrame:
+    """Rows, distinct rows and surplus copies.
+
+    Rows are counted by their digests, 16 bytes each, merged map-side. Rows of a digest that occurs once are distinct; only those whose
+    digest repeats are compared themselves. ``digest`` replaces the digest of a row.
+    """
+    key = row_digest(df) if digest is None else digest
+    counts = df.select(key.alias("_d")).groupBy("_d").agg(F.count("*").alias("_n"))
+    again = counts.filter("_n > 1").select("_d")
+    own = df.withColumn("_d", key).join(again, "_d", "left_semi").groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    one = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), F.count_if(F.col("_n") == 1).alias("_once"))
+    more = own.agg(F.count("*").alias("_more"))
+    distinct = F.col("_once") + F.col("_more")
+    return one.join(more).select("total_rows", distinct.alias("distinct_rows"), (F.col("total_rows") - distinct).alias("duplicate_rows"))
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -123,26 +139,15 @@ def _corr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), spread)
 
 
-# Column pairs of one aggregation; more are found in several passes.
-PAIRS_PER_PASS = 256
-
-
-def corr_matrix(df: DataFrame, columns: Sequence[str], pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
+def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, long form, both triangles.
 
-    A constant column has no correlation: null. The number of pairs grows with
-    the square of the columns, so a wide table is read once for each
-    ``pairs_per_pass`` of them, and no plan holds more.
+    A constant column has no correlation: null. One scan, whatever the number of columns.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    found = []
-    for at in range(0, len(pairs), pairs_per_pass):
-        some = pairs[at:at + pairs_per_pass]
-        row = doubles.agg(*[_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(some)]).first()
-        for (a, b), r in zip(some, row, strict=True):
-            found += [(a, b, r)] if a == b else [(a, b, r), (b, a, r)]
-    return df.sparkSession.createDataFrame(found, "col_a string, col_b string, corr double")
+    if not columns:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    name = F.array(*[F.lit(c) for c in columns])
+    return correlations(df, columns).select(F.get(name, F.col("i")).alias("col_a"), F.get(name, F.col("j")).alias("col_b"), "corr")
 
 
 def _direction(c: Column) -> Column:

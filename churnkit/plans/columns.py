@@ -89,6 +89,14 @@ def g8_flag_members(spark, d):
     return A.flag_members(c, "c_custkey", hot, "is_affected")
 
 
+@query("""SELECT s_suppkey, o.day_offset, (DATE '2001-08-01' - o.day_offset)::DATE::VARCHAR AS day
+          FROM supplier, (SELECT range::INT AS day_offset FROM range(14)) o""")
+def g9_expand_days(spark, d):
+    """Every supplier once for each of the last fourteen days."""
+    s = table(spark, d, "supplier").select("s_suppkey")
+    return A.expand_days(s, F.lit("2001-08-01").cast("date"), 14).withColumn("day", F.col("day").cast("string"))
+
+
 @query(f"""WITH {D.FEATS} SELECT replace(customer_id, 'CUST-', 'CUST-D-') AS customer_id,
   total_outflow_60d_usd * 3.5::DOUBLE + -50000.0::DOUBLE AS total_outflow_60d_usd,
   total_balance_usd * 1.6::DOUBLE + 0.0::DOUBLE AS total_balance_usd, 1 AS has_maturing_cd,

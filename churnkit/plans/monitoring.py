@@ -9,7 +9,7 @@ from churnkit.operators import evaluate as E
 from churnkit.operators import monitor as M
 from churnkit.plans import data as D
 from churnkit.plans.registry import query, table
-from churnkit.session import scratch_path
+from churnkit.session import kept_once, scratch_path
 from churnkit.sources.tables import save
 
 BINS = 10
@@ -167,7 +167,7 @@ _GATE_ROW = """SELECT js >= 0.05 AS retrain_needed, drift_type, w::VARCHAR AS wi
 
 def gate_rows(spark, d):
     """Consecutive and baseline drift rows, as the monitor stores them."""
-    shares = dist(spark, d, ())
+    shares = kept_once(dist(spark, d, ()), "shares")
     return M.drift_consecutive(shares).unionByName(_baseline(spark, d, shares))
 
 

@@ -41,7 +41,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/churnkit/{name}-{uuid.uuid4().hex}"
 
 
-MIN_RANGES, ROWS_PER_RANGE = 256, 250_000
+def kept_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh path of the shared folder and read again, for a result that several steps read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+MIN_RANGES, ROWS_PER_RANGE = 16, 250_000
 
 
 def range_count(df: DataFrame) -> int:

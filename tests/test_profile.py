@@ -1,8 +1,11 @@
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from churnkit.operators import evaluate as E
 from churnkit.operators import profile as P
+from churnkit.operators.order import exact_quantiles
 
 
 @pytest.fixture(scope="module")
@@ -112,10 +115,80 @@ def test_describe_covers_times_and_refuses_what_has_no_order(spark):
         P.describe(df.select(F.array("b").alias("a")))
 
 
-def test_correlation_of_a_wide_table_takes_several_passes(spark):
-    names = [f"c{i}" for i in range(40)]
-    df = spark.range(50).select(*[F.hash("id", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)])
-    assert P.corr_matrix(df, names).count() == 40 * 40
-    small = {(r.col_a, r.col_b): r.corr for r in P.corr_matrix(df, names[:5], pairs_per_pass=4).collect()}
-    want = df.select(*names[:5]).toPandas().corr()
-    assert all(r == pytest.approx(want.loc[a, b]) for (a, b), r in small.items()) and len(small) == 25
+def _evaluations(spark, df, run):
+    """How often ``run`` reads its input, which comes in as many tasks as it has partitions."""
+    seen, parts = spark.sparkContext.accumulator(0), df.rdd.getNumPartitions()
+
+    def look(batches):
+        seen.add(1)
+        yield from batches
+
+    run(df.mapInArrow(look, df.schema))
+    return seen.value / parts
+
+
+def test_correlation_of_a_wide_table_takes_one_scan(spark):
+    """163 columns with missing values, large offsets and a constant one, against pandas; the input is read once."""
+    names = [f"c{i}" for i in range(163)]
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(size=(500, 163)) + rnd.normal(size=(500, 1)) + 1e6 * np.arange(163)
+    x[:, 5] = 7.0
+    pdf = pd.DataFrame(x, columns=names).mask(pd.DataFrame(rnd.random((500, 163)) < 0.1, columns=names))
+    df = spark.createDataFrame([tuple(None if v != v else v for v in r) for r in pdf.itertuples(index=False)], ", ".join(f"{n} double" for n in names)).repartition(6)
+    got = {}
+    assert _evaluations(spark, df, lambda d: got.update({(r.col_a, r.col_b): r["corr"] for r in P.corr_matrix(d, names).collect()})) == 1
+    assert len(got) == 163 * 163
+    want = pdf.corr(min_periods=2)
+    for a in names:
+        for b in names:
+            if "c5" in (a, b):
+                assert got[a, b] is None
+            else:
+                assert got[a, b] == pytest.approx(want.loc[a, b], abs=1e-7)  # means of 1e8 are known to 1e-8
+
+
+def test_correlation_of_odd_values(spark):
+    df = spark.createDataFrame([(1.0, 2.0, None), (2.0, float("nan"), 1.0), (3.0, 5.0, None), (5.0, 1.0, 2.0)], "a double, b double, c double")
+    got = {(r.col_a, r.col_b): r["corr"] for r in P.corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert got["a", "b"] != got["a", "b"] and got["a", "c"] == pytest.approx(1.0) and got["a", "a"] == pytest.approx(1.0)
+    assert P.corr_matrix(df, []).count() == 0 and P.corr_matrix(df.limit(0), ["a", "b"]).filter("corr IS NOT NULL").count() == 0
+
+
+def test_moments_merge_in_any_order():
+    from churnkit.operators.moments import batch_moments, merge
+    rnd = np.random.default_rng(3)
+    x, missing = rnd.normal(1e5, 1, (90, 4)), rnd.random((90, 4)) < 0.4
+    whole = batch_moments(x, missing)
+    parts = [batch_moments(x[a:b], missing[a:b]) for a, b in ((0, 1), (1, 40), (40, 90))]
+    for order in ((0, 1, 2), (2, 0, 1)):
+        got = merge(merge(parts[order[0]], parts[order[1]]), parts[order[2]])
+        for k in whole:
+            assert got[k] == pytest.approx(whole[k], rel=1e-9, abs=1e-7), k
+
+
+def test_duplicates_with_one_digest_for_all(spark):
+    """Every digest collides: the rows themselves decide. Null and empty are different."""
+    rows = [(1, None, 0.0), (1, "", 0.0), (None, "1", 0.0), (1, None, -0.0), (2, "x", float("nan")), (2, "x", float("nan")), (3, "y", 1.0)]
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    want = (7, 5, 2)
+    assert tuple(P.duplicate_count(df).first()) == want
+    assert tuple(P.duplicate_count(df, F.lit(1)).first()) == want
+    assert tuple(P.duplicate_count(df, F.col("a") % 2).first()) == want
+
+
+def test_digests_are_what_is_shuffled(spark):
+    df = spark.range(50).selectExpr("id", "repeat('long', 100) AS text", "id % 7 AS k")
+    plan = P.duplicate_count(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [_d" in plan
+
+
+def test_quantiles_read_their_input_three_times(spark):
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "pmod(xxhash64(id), 100000) / 7 AS v", "id * 1.0 AS w").repartition(4)
+    for by in ([], ["g"]):
+        assert _evaluations(spark, df, lambda d, by=by: exact_quantiles(d, ["v", "w"], [0.05, 0.25, 0.5, 0.9], by).collect()) == 3
+
+
+def test_curves_read_their_input_once(spark):
+    df = spark.range(5_000).selectExpr("id", "pmod(xxhash64(id), 997) / 997 AS p", "cast(id % 3 = 0 as int) AS y").repartition(4)
+    assert _evaluations(spark, df, lambda d: E.average_precision(d, "y", "p").collect()) == 1
+    assert _evaluations(spark, df, lambda d: E.roc_auc(d, "y", "p").collect()) == 1
