@@ -24,6 +24,22 @@ FILE_TOKENS = 4_000_000
 _CODED_IDS = 100_000
 
 
+# Bytes of ids counted at once: many more than there are ids, few enough to be held twice.
+_COUNTED_BYTES = 1 << 21
+
+
+def _stretches(parts: list[bytes], most: int):
+    """Consecutive parts of about ``most`` bytes together."""
+    at, held = 0, 0
+    for i, p in enumerate(parts):
+        held += len(p)
+        if held >= most:
+            yield parts[at:i + 1]
+            at, held = i + 1, 0
+    if at < len(parts):
+        yield parts[at:]
+
+
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, wide, ids): the ids of each whole text and ``end_id`` after them, as little-endian integers of 16
     bits where the ids of the tokenizer fit, of 32 if ``wide``. A null text is empty and has the end id alone.
@@ -42,8 +58,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, key:
         counts = np.zeros(0, np.int64)
         for b in batches:
             coded = [ids + end for ids in enc.encode(b["text"])]
-            for at in range(0, len(coded), 64):
-                seen = np.bincount(_numbers(b"".join(coded[at:at + 64]), not short))
+            for part in _stretches(coded, _COUNTED_BYTES):
+                seen = np.bincount(_numbers(b"".join(part), not short))
                 if len(seen) > len(counts):
                     counts = np.concatenate([counts, np.zeros(len(seen) - len(counts), np.int64)])
                 counts[:len(seen)] += seen

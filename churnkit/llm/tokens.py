@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
+import sys
+from array import array
 from functools import lru_cache
 
 # New words after which a process starts a new store; words met again are taken over from the last one, others are forgotten.
@@ -14,6 +15,9 @@ CACHE_WORDS = 350_000
 
 # White space as tokenizers see it: unlike Python they do not count the four separators among it.
 _PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+# The same for texts without these separators.
+_PLAIN_PIECE = re.compile(r"\s*\S+|\s+")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def _steps(part: dict | None, inner: str) -> list[dict]:
@@ -54,6 +58,14 @@ _LATIN = "\u0250"
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def _packed(kind: str, ids: list[int]) -> bytes:
+    """Little-endian unsigned integers."""
+    raw = array(kind, ids)
+    if sys.byteorder == "big":
+        raw.byteswap()
+    return raw.tobytes()
+
+
 class _Words(dict):
     """Ids of words with the white space before them, found once. A word of Latin letters is one piece of the pattern and
     goes to the merges directly, ASCII marks after it are another one; any other word goes through the whole tokenizer."""
@@ -68,8 +80,7 @@ class _Words(dict):
         self.fronts = {" ": (b"", _LETTERS[0x20] if spaced else ""), "\n": (self._piece(_LETTERS[0x0A]) if spaced else b"", "")}
 
     def _piece(self, letters: str) -> bytes:
-        ids = [t.id for t in self.merge(letters)]
-        return struct.pack(f"<{len(ids)}{self.kind}", *ids)
+        return _packed(self.kind, [t.id for t in self.merge(letters)])
 
     def age(self) -> None:
         """Begin a new store if this one is full."""
@@ -95,24 +106,25 @@ class _Words(dict):
                 before, lead = front or (b"", "")
                 ids = before + self._piece(lead + letters)
             else:
-                found = self.tokenizer.encode(word, add_special_tokens=False).ids
-                ids = struct.pack(f"<{len(found)}{self.kind}", *found)
+                ids = _packed(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
 
 class TextEncoder:
-    """Ids of whole texts as little-endian unsigned integers of 4 bytes, or of 2 if ``short``. Special tokens are neither added nor recognised: their
-    strings in a text are ordinary text."""
+    """Ids of whole texts as little-endian unsigned integers of 4 bytes, or of 2 if ``short``. No special tokens are added; where the string of an
+    added token stands in a text it is that token, as the library has it, and such a text goes through the library as a whole."""
 
     def __init__(self, path: str, short: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.by_words = separable(spec)
+        added = spec.get("added_tokens") or []
+        # tokens that are looked for after normalising, or only as whole words, would have to be looked for likewise here
+        self.by_words = separable(spec) and not any(t["normalized"] or t["single_word"] for t in added)
+        self.added = [t["content"] for t in added]
         self.kind = "H" if short else "I"
         lower = any(n["type"] == "Lowercase" for n in _steps(spec.get("normalizer"), "normalizers"))
         self.words = _Words(self.tokenizer, lower, len(_steps(spec.get("pre_tokenizer"), "pretokenizers")) == 1, self.kind)
@@ -123,10 +135,10 @@ class TextEncoder:
         return [self._one(t if t.isascii() else t.encode("utf-8", "replace").decode()) for t in texts]
 
     def _one(self, text: str) -> bytes:
-        if self.by_words:
-            return b"".join(map(self.words.__getitem__, _PIECE.findall(text)))
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}{self.kind}", *ids)
+        if self.by_words and not any(t in text for t in self.added):
+            cut = _PIECE if any(c in text for c in _SEPARATORS) else _PLAIN_PIECE
+            return b"".join(map(self.words.__getitem__, cut.findall(text)))
+        return _packed(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 @lru_cache(maxsize=4)

@@ -67,12 +67,11 @@ def test_coding_round_trip():
 def test_words_give_the_ids_of_the_text(path):
     rng = random.Random(2)
     parts = ["a", "The", " ", " ", " ", "  ", "\n", "\t", "12", ".", "'s", "'ll", "ß", "日本", "́", "Σ", "\x1c", "\x85",
-             "<|endoftext|>", "\r\n", "😀", "!?"]
+             "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endo", "\r\n", "😀", "!?"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
     mine = TextEncoder(path)
     assert mine.by_words
     theirs = Tokenizer.from_file(path)
-    theirs.encode_special_tokens = True
     want = [np.array(e.ids, "<u4").tobytes() for e in theirs.encode_batch(texts, add_special_tokens=False)]
     assert [ids for i in range(0, 3000, 50) for ids in mine.encode(texts[i:i + 50])] == want
     assert mine.encode(["lone \ud800 half"]) == mine.encode(["lone ? half"])
@@ -130,3 +129,9 @@ def test_ranges_depend_on_rows_alone(spark):
         mine = [k for k, f in zip(keys, found, strict=True) if f == i]
         assert 2 * len(mine) == total
         assert total <= 300 or len({k for k in mine if k is not None}) == 1 or None in mine
+
+
+@pytest.mark.parametrize("path,text,ids", [(BYTES, "a <|endoftext|> b", [64, 220, 50256, 275]), (WORDS, "a <|endoftext|> b", [320, 49407, 321])])
+def test_added_tokens_in_a_text(path, text, ids):
+    """As the library has it with its default settings."""
+    assert np.frombuffer(TextEncoder(path).encode([text])[0], "<u4").tolist() == ids
