@@ -83,6 +83,14 @@ def text_of(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so, in upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(df: DataFrame, text: str, verdict: Callable[[list], list[bool]]) -> DataFrame:
     """The rows whose ``text`` passes, every column unchanged. ``verdict`` gets a batch of texts (nulls included)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import pytest
 from churnkit.llm import repetition, secrets, toxicity
 from tokenizers import Tokenizer
 
-from tests.llm.test_simhash import plain_components, plain_fingerprint
+from tests.llm.test_jaccard import plain_stay
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +31,9 @@ def folder(spark, tmp_path_factory):
         labels.append((i, 1, int(bad)))
     rows += [(300 + i, rows[i][1]) for i in range(1, 30)] + [(400, None), (401, ""), (402, "too short"), (403, "same line\n" * 40),
              (1, rows[1][1]), (None, " ".join(words[:30])), (500, " ".join(words) + " tail" + "\n".join(words))]
+    # near copies: one word of a hundred differs, so nine in ten shingles are shared
+    near = [rng.choice(words) for _ in range(100)]
+    rows += [(599 + i, " ".join([*near[:20 * i + 5], f"other{i}", *near[20 * i + 6:]]) if i else " ".join(near)) for i in range(4)]
     df = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     df.write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
@@ -45,9 +48,9 @@ def test_stages_and_result(spark, folder):
     kept = [r for r, s in zip(rows, scores, strict=True) if s < 0.5]
     assert 20 < len(rows) - len(kept) < 150
     kept = [r for r in kept if repetition.measure(r[1] or "")["kept"]]
-    prints = [(r[0], plain_fingerprint(r[1])) for r in kept if r[0] is not None]
-    least = plain_components(prints)
-    thinned = {r[0]: r for r in sorted(kept, key=str) if r[0] is not None and least[r[0]] == r[0]}
+    stay = plain_stay([(k, t) for k, t in dict((r[0], r[1]) for r in sorted(kept, key=str, reverse=True) if r[0] is not None).items()])
+    assert not stay & {600, 601, 602} and stay & set(range(1, 30))
+    thinned = {r[0]: r for r in sorted(kept, key=str, reverse=True) if r[0] in stay}
     want = [*thinned.values(), *(r for r in kept if r[0] is None)]
     assert len(want) < len(kept)
     want = [(k, m := secrets.mask(t), a, b, n if m == t else len(m)) for k, t, a, b, n in want]
