@@ -7,6 +7,7 @@ that share a character have one span. There the bytes that tokens stand for say
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -27,7 +28,7 @@ from churnkit.llm.tokens import _byte_letters, separable
 
 SPACE = "▁"
 # New words after which a process starts a new store; words met again are taken over from the last one.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 200_000
 # Words of the documents of one block. Its table of pairs is as large as its different words have, so it is bounded as well.
 BLOCK_WORDS = 1 << 19
 _NORMAL, _BYTE = 1, 6
@@ -105,7 +106,10 @@ class SpanAligner:
         byte_of = {c: b for b, c in _byte_letters().items()}
         vocabulary = self.a.get_vocab(with_added_tokens=False)
         # an added token that is no word of the vocabulary is never met here
-        self.bytes_a = {i: bytes(byte_of[c] for c in t) for t, i in vocabulary.items() if all(c in byte_of for c in t)}
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            if all(c in byte_of for c in t):
+                self.bytes_a[i] = bytes(byte_of[c] for c in t)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         model = pb.ModelProto()
         with open(path_b, "rb") as file:
@@ -131,18 +135,18 @@ class SpanAligner:
         if len(self.known) > CACHE_WORDS:
             self.known, self.last = {}, self.known
         known, last = self.known, self.last
-        new = []
-        for word in dict.fromkeys(w for words in texts for w in words if w not in known):
-            if word in last:
-                known[word] = last[word]
-            else:
-                new.append(word)
+        met = set().union(*texts) - known.keys()
+        for word in met & last.keys():
+            known[word] = last[word]
+        new = list(met - last.keys())
         if new:
             found_a = self.a.encode_batch(new, add_special_tokens=False)
             # a word begins with the space that B adds itself, or with a line end and then goes without it
             found_b = self.b.encode([w[1:] if w[0] == " " else w for w in new], return_type="proto", num_threads=1)
             for word, x, y in zip(new, found_a, found_b, strict=True):
                 known[word] = self._one(word, x, y.pieces)
+            # the stores have no cycles; a collector that walks them again and again takes a fifth of the time
+            gc.freeze()
 
     def _one(self, word: str, found_a, found_b) -> Aligned | None:
         """The alignment of a word; None if one side's bytes are not the word's."""
@@ -152,17 +156,20 @@ class SpanAligner:
         pieces = found_b if shift else found_b[1:]
         a, spans_a = found_a.ids, found_a.offsets
         b, ends_b = [p.id for p in pieces], [p.end + shift for p in pieces]
-        bytes_a, bytes_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
+        bytes_a, bytes_b = list(map(self.bytes_a.__getitem__, a)), list(map(self.bytes_b.__getitem__, b))
         if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
             return None
         ends_a = [e for _, e in spans_a]
         if len(raw) != len(word):
-            at = [0, *accumulate(len(c.encode()) for c in word)]
-            spans_a = [(at[s], at[e]) for s, e in spans_a]
-            spans_b = [(p.begin + shift if p.begin or k else 0, e) for k, (p, e) in enumerate(zip(pieces, ends_b, strict=True))]
-            cuts = {e for _, e in spans_a} & set(ends_b)
-            ends_a, ends_b = byte_ends(spans_a, list(map(len, bytes_a)), cuts), byte_ends(spans_b, list(map(len, bytes_b)), cuts)
-        # characters of one byte: tokens share none, and spans are as fine as they get
+            at = [0, *accumulate(map(len, map(str.encode, word)))]
+            ends_a = [at[e] for e in ends_a]
+            sizes_a, sizes_b = list(map(len, bytes_a)), list(map(len, bytes_b))
+            if ends_a != list(accumulate(sizes_a)) or ends_b != list(accumulate(sizes_b)):
+                spans_a = [(at[s], e) for (s, _), e in zip(spans_a, ends_a, strict=True)]
+                spans_b = [(p.begin + shift if p.begin or k else 0, e) for k, (p, e) in enumerate(zip(pieces, ends_b, strict=True))]
+                cuts = set(ends_a) & set(ends_b)
+                ends_a, ends_b = byte_ends(spans_a, sizes_a, cuts), byte_ends(spans_b, sizes_b, cuts)
+        # where no token shares a character with another one, spans are as fine as bytes
         return align(a, b, ends_a, ends_b)
 
     def align_text(self, text: str) -> Aligned:
@@ -184,30 +191,40 @@ def aligner(path_a: str, path_b: str) -> SpanAligner:
     return SpanAligner(path_a, path_b)
 
 
+class _Places(dict):
+    """The number of each word of a block, given when it is first met."""
+
+    def __init__(self, known: dict[str, Aligned | None]):
+        super().__init__()
+        self.known, self.found, self.texts, self.bad = known, [], [], False
+
+    def __missing__(self, word: str) -> int:
+        one = self.known[word]
+        if one is None:
+            self.bad = True
+            return -1
+        at = self[word] = len(self.found)
+        self.found.append(one)
+        self.texts.append(one.groups)
+        return at
+
+
 class _Block:
     """Some documents of one task: each has the numbers of its words, and the block the words' alignments."""
 
     def __init__(self, number: int, keep_groups: bool = True):
         self.number, self.size, self.keep_groups = number, 0, keep_groups
         self.keys, self.docs, self.groups, self.shas = [], [], [], []
-        self.place: dict[str, int] = {}
-        self.found: list[Aligned] = []
+        self.place = _Places({})
 
     def add(self, key, words: list[str] | None, known: dict[str, Aligned | None]) -> None:
+        place = self.place
+        place.known, place.bad = known, False
+        ids = list(map(place.__getitem__, words or ()))
+        if place.bad:
+            ids = []
+        groups = ";".join(map(place.texts.__getitem__, ids))
         self.keys.append(key)
-        ids: list[int] = []
-        for w in words or ():
-            at = self.place.get(w)
-            if at is None:
-                one = known[w]
-                if one is None:
-                    ids = []
-                    break
-                at = self.place[w] = len(self.found)
-                self.found.append(one)
-            ids.append(at)
-        found = self.found
-        groups = ";".join([found[i].groups for i in ids])
         self.shas.append(hashlib.sha256(groups.encode()).hexdigest() if groups else "")
         self.groups.append(groups if self.keep_groups else None)
         self.docs.append(np.array(ids, np.int32))
@@ -215,7 +232,7 @@ class _Block:
 
     def rows(self, names: list[str], key_type: pa.DataType):
         """A row for each document, then one for the block."""
-        found = self.found
+        found = self.place.found
         sizes = np.array([(f.n_a, f.n_b, f.n_groups, f.n_links) for f in found], np.int64).reshape(-1, 4)
         n = len(self.keys)
         sums = np.array([sizes[d].sum(0) for d in self.docs]).reshape(-1, 4)
