@@ -143,10 +143,14 @@ class SpanAligner:
             found_a = self.a.encode_batch(new, add_special_tokens=False)
             # a word begins with the space that B adds itself, or with a line end and then goes without it
             found_b = self.b.encode([w[1:] if w[0] == " " else w for w in new], return_type="proto", num_threads=1)
-            for word, x, y in zip(new, found_a, found_b, strict=True):
-                known[word] = self._one(word, x, y.pieces)
-            # the stores have no cycles; a collector that walks them again and again takes a fifth of the time
-            gc.freeze()
+            # nothing made here has cycles; a collector that walks the growing stores takes a fifth of the time
+            gc.disable()
+            try:
+                for word, x, y in zip(new, found_a, found_b, strict=True):
+                    known[word] = self._one(word, x, y.pieces)
+                gc.freeze()
+            finally:
+                gc.enable()
 
     def _one(self, word: str, found_a, found_b) -> Aligned | None:
         """The alignment of a word; None if one side's bytes are not the word's."""
