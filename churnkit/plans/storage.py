@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 
 from churnkit.functions import columns as C
 from churnkit.plans import data as D
-from churnkit.plans.registry import query, table
+from churnkit.plans.registry import SQL, query, table
 from churnkit.session import scratch_path
-from churnkit.sources import sync, tables
+from churnkit.sources import sync, tables, versions
 
 
 @query("SELECT * FROM orders")
@@ -120,6 +120,28 @@ def s11_upsert(spark, d):
     return sync.upsert(old, sync.change_feed(old, new, ["c_custkey"]), ["c_custkey"])
 
 
+@query(SQL["s10_change_feed"])
+def s10_version_feed(spark, d):
+    """The same feed between two saved versions, from the buckets whose digests differ."""
+    old, new = _versions(spark, d)
+    paths = [scratch_path(spark, n) for n in ("older", "newer")]
+    for df, path in zip((old, new), paths, strict=True):
+        versions.save_version(df, ["c_custkey"], path, 64)
+    return versions.version_feed(spark, *paths, old.schema, ["c_custkey"])
+
+
+@query(SQL["s11_upsert"])
+def s11_bucketed_replica(spark, d):
+    """The older version brought up to date by two batches of changes, which are merged when it is read."""
+    old, new = _versions(spark, d)
+    replica = versions.Replica(spark, scratch_path(spark, "replica"), old.schema, ["c_custkey"], 16, 2)
+    replica.create(old)
+    feed = sync.change_feed(old, new, ["c_custkey"])
+    for number in (1, 2):
+        replica.apply(feed.filter(F.col("c_custkey") % 2 == number - 1), number)
+    return replica.read()
+
+
 @query("""SELECT c_custkey AS id, 'CUST-' || lpad(c_custkey::VARCHAR, 7, '0') AS customer_id, (c_custkey % 12)::BIGINT AS metro,
   coalesce(n, 0) AS n_orders FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
 def s12_int_range(spark, d):
