@@ -72,15 +72,12 @@ def numeric_edges(df: DataFrame, columns: Sequence[str], bins: int = 10, approx:
     return {c: bin_edges(df, c, bins, approx) for c in columns}
 
 
-def distributions(log: DataFrame, ts: str, edges: Mapping[str, Sequence[float]], categorical: Sequence[str] = (),
-                  version: str | None = None, slices: Sequence[str] = (), width: str = "1 day") -> DataFrame:
-    """Share of each bin per window: numeric bins on shared edges, categories by value.
+SERIES = ["model_version", "slice_key", "slice_value", "column_name"]
 
-    Rows: window_start, model_version, slice_key, slice_value, column_name,
-    bin, n, share. Values below or above the edges fall into the end bins;
-    nulls have their own bin. Empty bins have no row: the drift functions treat
-    a missing bin as share 0.
-    """
+
+def bin_cells(log: DataFrame, ts: str, edges: Mapping[str, Sequence[float]], categorical: Sequence[str] = (),
+              version: str | None = None, slices: Sequence[str] = (), width: str = "1 day") -> DataFrame:
+    """One row per log row, slice and column: window, model_version, slice_key, slice_value, column_name, bin."""
     def label(c):
         if c in categorical:
             return F.coalesce(F.col(c).cast("string"), F.lit("null"))
@@ -90,19 +87,28 @@ def distributions(log: DataFrame, ts: str, edges: Mapping[str, Sequence[float]],
         clipped = F.greatest(F.lit(e[0]), F.least(F.lit(e[-1]), F.col(c).cast("double")))
         return F.when(F.col(c).isNull(), "null").otherwise(bin_index(clipped, e).cast("string"))
 
-    columns = [*edges, *categorical]
     v = F.col(version).cast("string") if version else F.lit(ALL)
-    start = F.window(F.col(ts), width)["start"].alias("window_start")
-    long = _explode_cells(log, [start, v.alias("model_version")], slices, {c: label(c) for c in columns}, "bin")
-    group = ["window_start", "model_version", "slice_key", "slice_value", "column_name"]
+    return _explode_cells(log, [F.window(F.col(ts), width).alias("window"), v.alias("model_version")], slices,
+                          {c: label(c) for c in [*edges, *categorical]}, "bin")
+
+
+def distributions(log: DataFrame, ts: str, edges: Mapping[str, Sequence[float]], categorical: Sequence[str] = (),
+                  version: str | None = None, slices: Sequence[str] = (), width: str = "1 day") -> DataFrame:
+    """Share of each bin per window: numeric bins on shared edges, categories by value.
+
+    Rows: window_start, model_version, slice_key, slice_value, column_name,
+    bin, n, share. Values below or above the edges fall into the end bins;
+    nulls have their own bin. Empty bins have no row: the drift functions treat
+    a missing bin as share 0.
+    """
+    long = bin_cells(log, ts, edges, categorical, version, slices, width)
+    group = ["window_start", *SERIES]
+    long = long.withColumn("window_start", F.col("window.start"))
     counts = long.groupBy(*group, "bin").agg(F.count("*").alias("n"))
     totals = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
     return counts.join(totals, group).withColumn("share", F.col("n") / F.col("_total")).drop("_total")
 
 
-SERIES = ["model_version", "slice_key", "slice_value", "column_name"]
-
-
 def _js(pairs: DataFrame, group: Sequence[str]) -> DataFrame:
     """Distance from rows ``group, bin, p, q``: root of the Jensen-Shannon divergence, base 2."""
     shares = pairs.groupBy(*group, "bin").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnkit.functions import columns as C
+from churnkit.operators import curves as CU
 from churnkit.operators import evaluate as E
 from churnkit.operators import model as M
 from churnkit.operators.assemble import pair_with
@@ -59,6 +60,29 @@ def e4_roc_auc(spark, d):
     return _round(E.roc_auc(D.scored_orders(spark, d), "y", "score"), "roc_auc")
 
 
+_BINS = 512
+_HIST = f"""h AS (SELECT least({_BINS - 1}, floor(greatest(0, least(1, score)) * {_BINS}))::INT AS bin, sum(y)::DOUBLE AS p, count(*)::DOUBLE AS n
+  FROM scored GROUP BY 1),
+hb AS (SELECT *, n - p AS m, coalesce(sum(p) OVER w, 0) AS bp, coalesce(sum(n) OVER w, 0) AS bn FROM h
+  WINDOW w AS (ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ends AS (SELECT sum(p) AS p, sum(m) AS m, sum(p * (bn - bp)) AS lost, sum(p * m) AS tied,
+  sum(CASE WHEN p > 0 THEN p * ((bp + 1) / (bn + m + 1) + (bp + p) / (bn + m + p)) / 2 ELSE 0 END) AS least,
+  sum(CASE WHEN p > 0 THEN p * (bp + p) / (bn + p) ELSE 0 END) AS most FROM hb)"""
+
+
+@query(f"""WITH {D.SCORED}, {_HIST} SELECT round((least + most) / 2 / p, 6) AS pr_auc, round((most - least) / 2 / p, 6) AS pr_error,
+  round(1 - (lost + tied / 2) / (p * m), 6) AS roc_auc, round(tied / 2 / (p * m), 6) AS roc_error, true AS bound_holds FROM ends""")
+def e3_curve_sketch(spark, d):
+    """Both areas from the score histograms of parts of the table, and whether the exact areas lie within the stated errors."""
+    scored = D.scored_orders(spark, d)
+    parts = CU.score_histogram(scored.withColumn("part", F.pmod(F.xxhash64("score"), F.lit(4))), "y", "score", ["part"], _BINS)
+    got = CU.curve_areas(CU.add_histograms(parts))
+    exact = {"pr": E.average_precision(scored, "y", "score").scalar(), "roc": E.roc_auc(scored, "y", "score").scalar()}
+    slack = 1e-9
+    holds = (F.abs(F.col("pr") - F.col("pr_auc")) <= F.col("pr_error") + slack) & (F.abs(F.col("roc") - F.col("roc_auc")) <= F.col("roc_error") + slack)
+    return _round(got.withColumns(exact).withColumn("bound_holds", holds).drop("pr", "roc"), "pr_auc", "pr_error", "roc_auc", "roc_error")
+
+
 @query(f"{_SCM} SELECT round(({_F1P} + {_F1N}) / 2, 6) AS macro_f1 FROM cm")
 def e5_macro_f1(spark, d):
     return _round(E.macro_f1(D.scored_orders(spark, d), "y", "yhat"), "macro_f1")

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from churnkit.operators import evaluate as E
 from churnkit.operators import monitor as M
+from churnkit.operators import sketches as K
 from churnkit.plans import data as D
 from churnkit.plans.registry import query, table
 from churnkit.session import kept_once, scratch_path
@@ -88,6 +89,34 @@ def m2_profile_metrics(spark, d):
     return _start(out.drop("mean"))
 
 
+_GAMMA = "(1.01::DOUBLE / 0.99)"
+_BUCKET = f"CASE WHEN value = 0 THEN 0 ELSE sign(value) * (ceil(ln(abs(value)) / ln({_GAMMA})) + 1000000) END"
+
+
+def _rank_value(p):
+    at = f"list(b ORDER BY b)[greatest(1, ceil(count(b) * {p}))::BIGINT]"
+    return f"round(CASE WHEN {at} = 0 THEN 0 ELSE sign({at}) * pow({_GAMMA}, abs({at}) - 1000000) * 2 / ({_GAMMA} + 1) END, 6)"
+
+
+@query(f"""WITH {D.LOG}, long AS (SELECT date_trunc('week', ts) AS w, model_version, value, {_BUCKET} AS b FROM ilog)
+  SELECT w::VARCHAR AS window_start, model_version, count(*) AS count, count(*) FILTER (value IS NULL) AS nulls, min(value) AS min,
+    max(value) AS max, {_rank_value(0.25)} AS p25, {_rank_value(0.5)} AS p50, {_rank_value(0.95)} AS p95,
+    count(DISTINCT value) AS distinct_count, true AS distinct_near FROM long GROUP BY 1, 2""")
+def m2_sketch_roll_up(spark, d):
+    """Weeks from the stored sketches of days and event types. The distinct count is exact; the estimate from the sketches
+    lies within four standard errors of it."""
+    log = D.inference_log(spark, d)
+    days = kept_once(K.profile_sketches(log, ["value"], "ts", slices=["event_type"]), "sketches")
+    parts = days.filter("slice_key = 'event_type'")
+    week = F.date_trunc("week", "window_start")
+    weeks = K.roll_up(parts, {"window_start": week, "model_version": F.col("model_version")})
+    est = weeks.select("window_start", "model_version", "count", "nulls", "min", "max", K.distinct_estimate().alias("about"),
+                       *[F.round(K.quantile_estimate(p), 6).alias(n) for n, p in (("p25", 0.25), ("p50", 0.5), ("p95", 0.95))])
+    exact = log.groupBy(F.date_trunc("week", "ts").alias("window_start"), "model_version").agg(F.count_distinct("value").alias("distinct_count"))
+    near = F.abs(F.col("about") - F.col("distinct_count")) <= 4 * 0.023 * F.col("distinct_count") + 0.5
+    return _start(est.join(exact, ["window_start", "model_version"]).withColumn("distinct_near", near).drop("about"))
+
+
 @query(f"""WITH {_DIST} SELECT w::VARCHAR AS window_start, model_version, slice_key, slice_value, column_name, bin, n,
            round(share, 6) AS share FROM dist""")
 def m3_distributions(spark, d):

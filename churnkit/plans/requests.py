@@ -14,6 +14,14 @@ from churnkit.plans.registry import query, table
 SIZE = 25
 
 
+def retried_log(spark, d):
+    """The request log with about a third of the requests delivered again a second later, some of them twice."""
+    log = request_log(spark, d)
+    again = F.when(C.hash_uniform(11, "request_id") < 0.1, 3).when(C.hash_uniform(11, "request_id") < 0.33, 2).otherwise(1)
+    times = log.withColumn("_try", F.explode(F.sequence(F.lit(0), again - 1)))
+    return times.withColumn("timestamp_ms", F.col("timestamp_ms") + 1000 * F.col("_try")).drop("_try")
+
+
 def request_log(spark, d):
     """Requests of 25 customers each, with answers; about a tenth of them failed."""
     feats = D.features(spark, d)
@@ -70,6 +78,13 @@ def x3_unpack_payload(spark, d):
     return out.withColumn("inference_time", F.col("inference_timestamp").cast("string")).drop("inference_timestamp")
 
 
+@query(f"WITH {D.FEATS}, {_BATCHES} {_UNPACKED}")
+def x3_first_deliveries(spark, d):
+    """The same from a log in which requests were retried: each counts once, as first delivered."""
+    out = P.unpack_payload(P.first_deliveries(retried_log(spark, d)), FEATURES)
+    return out.withColumn("inference_time", F.col("inference_timestamp").cast("string")).drop("inference_timestamp")
+
+
 @query("""SELECT ts::DATE::VARCHAR AS day, count(*) AS n FROM events GROUP BY 1""")
 def x4_event_time(spark, d):
     """Event time from an epoch column, found by the schema."""

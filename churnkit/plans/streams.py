@@ -11,7 +11,7 @@ from churnkit.plans import storage as S
 from churnkit.plans.registry import SQL, query, table
 from churnkit.session import scratch_path
 from churnkit.sources.sync import change_feed
-from churnkit.streaming import jobs
+from churnkit.streaming import drift, jobs
 
 
 def _run(q):
@@ -71,3 +71,27 @@ def st4_gate_stream(spark, d):
     newest = got.filter(F.col("batch_id") == got.agg(F.max("batch_id").alias("b")).scalar())
     return newest.select("retrain_needed", "drift_type", F.col("window_start").cast("string").alias("window_start"),
                          F.round("js_distance", 6).alias("js_distance"), "reason")
+
+
+@query(f"""WITH {MO._CONSEC} {MO._ROW} consec WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+def st5_drift_stream(spark, d):
+    """Drift of each day against the day before in its series, as days close; the last, still open day is held back."""
+    events, root = table(spark, d, "events"), scratch_path(spark, "followed")
+    stream = jobs.stream_parquet(spark, d, events.schema, only="events.parquet").select(
+        F.col("ts").cast("timestamp").alias("ts"), "value", "event_type", (F.col("value") > 40).cast("int").alias("prediction"),
+        (F.col("user_id") % 2).cast("string").alias("model_version"))
+    drift.follow_drift(stream, "ts", MO.edges(spark, d), root, categorical=["prediction"], version="model_version", slices=["event_type"])
+    return MO._flat(spark.read.parquet(f"{root}/drift"))
+
+
+@query(SQL["x3_first_deliveries"])
+def st6_deliveries_stream(spark, d):
+    """A log with retried requests unpacked as it arrives, each request once."""
+    src, out = scratch_path(spark, "retried"), scratch_path(spark, "unpacked")
+    log = R.retried_log(spark, d).withColumn("arrived", F.timestamp_millis("timestamp_ms"))
+    log.write.parquet(src)
+    once = jobs.deliveries_stream(jobs.stream_parquet(spark, src, log.schema), "arrived", late="1 hour")
+    stream = jobs.unpack_stream(once.drop("arrived"), FEATURES)
+    _run(jobs.to_parquet(stream, out, scratch_path(spark, "ckpt")))
+    got = spark.read.schema(stream.schema).parquet(out)
+    return got.withColumn("inference_time", F.col("inference_timestamp").cast("string")).drop("inference_timestamp")

@@ -41,6 +41,17 @@ def unpack_stream(raw: DataFrame, features: Sequence[str], **options) -> DataFra
     return unpack_payload(raw, features, **options)
 
 
+def deliveries_stream(log: DataFrame, ts: str, key: str = "request_id", late: str = "1 hour") -> DataFrame:
+    """The first delivery of each request, as they arrive; retries that come while its key is kept are dropped.
+
+    A key is kept until the watermark is ``late`` past its first delivery, so state holds the keys of that span and no
+    more, and a retry up to ``late`` after it is always recognised. Keyed rows later than the watermark are dropped. Rows
+    without a key cannot be told to be retries and stay, as in ``first_deliveries``.
+    """
+    once = log.filter(F.col(key).isNotNull()).withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+    return once.unionByName(log.filter(F.col(key).isNull()))
+
+
 def profile_stream(log: DataFrame, columns: Sequence[str], ts: str, version: str = "model_version",
                    slices: Sequence[str] = (), width: str = "1 day", late: str = "1 hour") -> DataFrame:
     """Per closed window, version and slice: rows, and nulls, mean, deviation, ends, distinct values and median of each column.
