@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import json
 import zlib
-from dataclasses import dataclass, field
+from collections import OrderedDict
+from dataclasses import dataclass
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import map_batches
+from churnkit.llm.common import map_batches, stored
 from churnkit.llm.htmltree import blocks, dump, load, match, parse
-from churnkit.llm.ranges import plan_ranges
 
-# A wrapper is induced from so many pages of a host, or so much of their trees, at most; a host of more pages has several.
-GROUP_PAGES, GROUP_BYTES = 256, 8 << 20
-SHARD_BYTES = 16 << 20
+# Each layout of a host has so many reference pages. Tasks keep the references of so many layouts parsed; others are parsed again.
+REFERENCES, KEPT_LAYOUTS = 2, 64
 
 
 @dataclass(frozen=True)
@@ -34,53 +34,6 @@ class WrapperRules:
 DEFAULT = WrapperRules()
 
 
-@dataclass
-class Page:
-    """A parsed page. ``template`` has the places of the blocks found to be template."""
-
-    key: object
-    url: str | None
-    title: str
-    tree: list
-    template: set[int] = field(default_factory=set)
-
-
-def induce(pages: list[Page], rules: WrapperRules = DEFAULT) -> None:
-    """Find the template blocks of pages of one host, each held against a reference of its own layout.
-
-    Pages with the same nodes near the root form a layout, and its first page is the reference that all are aligned with.
-    A block of the reference is constant if pages of enough different titles have it, the same on nearly all: pages with
-    one title, such as copies of an article, count once. What varies from page to page is a slot, and what no block of the
-    reference is aligned with is one, too; slots hold the content.
-    """
-    layouts: dict[tuple, list[Page]] = {}
-    for p in pages:
-        layouts.setdefault(_layout(p.tree), []).append(p)
-    for members in layouts.values():
-        if len({p.title for p in members}) < rules.min_titles:
-            continue
-        reference = members[0].tree
-        inside = {id(b): r for b, r in blocks(reference)}
-        met: dict[int, set[str]] = {}
-        same: dict[int, set[str]] = {}
-        aligned = []
-        for p in members:
-            place = {id(b): i for i, (b, _) in enumerate(blocks(p.tree))}
-            pairs = [(id(r), place[id(b)], b[1] == r[1]) for r, b in match(reference, p.tree)]
-            aligned.append(pairs)
-            for r, _, equal in pairs:
-                met.setdefault(r, set()).add(p.title)
-                if equal:
-                    same.setdefault(r, set()).add(p.title)
-        constant = set()
-        for r, titles in met.items():
-            least, share = (rules.min_titles_inside, rules.share_inside) if inside[r] else (rules.min_titles, rules.share)
-            if len(titles) >= least and len(same.get(r, ())) >= share * len(titles):
-                constant.add(r)
-        for p, pairs in zip(members, aligned, strict=True):
-            p.template |= {i for r, i, equal in pairs if equal and r in constant}
-
-
 def _layout(tree: list) -> tuple:
     """The nodes of a tree that are not text, down to four levels, repeats of one kind as one."""
     out, level = [], [tree]
@@ -91,59 +44,139 @@ def _layout(tree: list) -> tuple:
     return tuple(out)
 
 
-def main_text(page: Page, rules: WrapperRules = DEFAULT) -> str:
+def aligned(reference: list, tree: list) -> list[tuple[int, int, bool]]:
+    """Places of the blocks of a reference and of a page that tree matching aligns, and whether their texts are equal."""
+    at = {id(b): i for i, (b, _) in enumerate(blocks(reference))}
+    place = {id(b): i for i, (b, _) in enumerate(blocks(tree))}
+    return [(at[id(r)], place[id(b)], b[1] == r[1]) for r, b in match(reference, tree)]
+
+
+def template_blocks(tree: list, references: list[list], constants: list[set[int]]) -> set[int]:
+    """The places of the blocks of a page that some reference shows to be template: aligned with a constant block and equal to it."""
+    mine = {b[1] for b, _ in blocks(tree)}
+    out: set[int] = set()
+    for reference, constant in zip(references, constants, strict=True):
+        found = blocks(reference)
+        # a page without the text of any constant block has none of them
+        if any(found[r][0][1] in mine for r in constant):
+            out |= {i for r, i, equal in aligned(reference, tree) if equal and r in constant}
+    return out
+
+
+def main_text(tree: list, template: set[int], rules: WrapperRules = DEFAULT) -> str:
     """The blocks of a page that are content, in order. If any text lies in elements marked as the article, no other does."""
-    found = blocks(page.tree)
+    found = blocks(tree)
     marked = any(r for _, r in found)
-    return "\n".join(b[1] for i, (b, r) in enumerate(found) if i not in page.template
+    return "\n".join(b[1] for i, (b, r) in enumerate(found) if i not in template
                      and (r if marked else b[2] <= rules.link_share * len(b[1])))
 
 
-def _packed(title: str, tree: list) -> bytes:
-    return zlib.compress(json.dumps([title, dump(tree)], separators=(",", ":")).encode(), 1)
+def _packed(tree: list) -> bytes:
+    return zlib.compress(json.dumps(dump(tree), separators=(",", ":")).encode(), 1)
+
+
+def _unpacked(raw: bytes) -> list:
+    return load(json.loads(zlib.decompress(raw)))
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+class _References:
+    """Parsed references of the layouts met last."""
+
+    def __init__(self) -> None:
+        self._kept: OrderedDict[tuple, list[list]] = OrderedDict()
+
+    def of(self, layout: tuple, raw: list[bytes]) -> list[list]:
+        if layout not in self._kept:
+            self._kept[layout] = [_unpacked(r) for r in raw]
+            if len(self._kept) > KEPT_LAYOUTS:
+                self._kept.popitem(last=False)
+        self._kept.move_to_end(layout)
+        return self._kept[layout]
+
+
+def induce(trees: DataFrame, rules: WrapperRules = DEFAULT) -> DataFrame:
+    """(host, layout, references, constants) for each layout of a host that has template blocks, over all its pages.
+
+    ``trees`` has host, layout, title and tree. Pages of one title, such as copies of an article, count once, through the one
+    whose tree is least by hash. Every such page is aligned with each reference of its layout, and how many have a block,
+    and have the same, is added up where pages are read; a group's counts are one row for each block and task. A block is
+    constant if pages of enough different titles have it, the same on nearly all. What varies is a slot, and what no block
+    of a reference is aligned with is one, too; slots hold the content.
+    """
+    group = ["host", "layout"]
+    own = stored(trees.where("host <> ''").groupBy(*group, "title").agg(F.min_by("tree", F.xxhash64("tree")).alias("tree")), "representatives")
+    chosen = [F.min_by("tree", F.xxhash64(F.lit(i), "tree")) for i in range(REFERENCES)]
+    references = stored(own.groupBy(*group).agg(F.count(F.lit(1)).alias("titles"), F.array_distinct(F.array(*chosen)).alias("references"))
+                        .where(F.col("titles") >= rules.min_titles).drop("titles"), "references")
+
+    def counted(batches):
+        known = _References()
+        for b in batches:
+            counts: dict[tuple, list[int]] = {}
+            for h, lay, raw, refs in zip(b["host"], b["layout"], b["tree"], b["references"], strict=True):
+                tree = _unpacked(raw)
+                for n, reference in enumerate(known.of((h, lay), refs)):
+                    for r, _, equal in aligned(reference, tree):
+                        c = counts.setdefault((h, lay, n, r), [0, 0])
+                        c[0] += 1
+                        c[1] += equal
+            yield {"host": [k[0] for k in counts], "layout": [k[1] for k in counts], "reference": [k[2] for k in counts],
+                   "at": [k[3] for k in counts], "met": [c[0] for c in counts.values()], "same": [c[1] for c in counts.values()]}
+
+    def inside(batches):
+        for b in batches:
+            marks = [[[r for _, r in blocks(_unpacked(raw))] for raw in refs] for refs in b["references"]]
+            yield {"host": b["host"], "layout": b["layout"], "inside": marks}
+
+    counts = (map_batches(own.drop("title").join(references, group), counted, "host string, layout long, reference int, at int, met long, same long")
+              .groupBy(*group, "reference", "at").agg(F.sum("met").alias("met"), F.sum("same").alias("same"))
+              .where((F.col("met") >= min(rules.min_titles, rules.min_titles_inside))
+                     & (F.col("same") >= F.col("met") * min(rules.share, rules.share_inside))))
+    marks = map_batches(references, inside, "host string, layout long, inside array<array<boolean>>")
+    within = F.col("inside")[F.col("reference")][F.col("at")]
+    enough = F.when(within, (F.col("met") >= rules.min_titles_inside) & (F.col("same") >= F.col("met") * rules.share_inside)).otherwise(
+        (F.col("met") >= rules.min_titles) & (F.col("same") >= F.col("met") * rules.share))
+    constant = counts.join(marks, group).where(enough).groupBy(*group).agg(F.collect_list(F.struct("reference", "at")).alias("constants"))
+    return stored(references.join(constant, group), "wrappers")
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules: WrapperRules = DEFAULT) -> DataFrame:
     """(key, url, text, n_chars) for every page: its main text, from the whole html, and the length of that in code points.
 
-    Pages are parsed where they are read; what may be content goes on, as a compressed tree, to tasks that hold ranges of
-    (hash of the host, hash of the key). Ranges have about the same number of bytes, so a host with a third of all pages is
-    dealt to many tasks, and do not depend on partitions. Along a range, runs of a host give groups of at most ``GROUP_PAGES``
-    pages, whose wrappers are induced one after another. A page without a url, or alone on its host, has no wrapper; its
-    markup decides. A null or empty html has an empty text. Null and repeated keys get a row each; an empty table none.
+    Pages are parsed where they are read, and what may be content is stored as compressed trees. Pages of a host with the
+    same nodes near the root are a layout, whose wrapper comes from all of them, however many there are (``induce``); it
+    does not depend on partitions or their order. Wrappers meet pages in a join that Spark plans by their size and, if it
+    shuffles, splits on a hot host; a page is then judged by itself, so no group is held anywhere. A page without a url, or of
+    a layout with few titles, has no wrapper; its markup decides. A null or empty html has an empty text. Null and repeated
+    keys get a row each; an empty table none.
     """
     kind = pages.schema[key].dataType.simpleString()
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
-    near = lambda *c: F.xxhash64(*c).bitwiseAND(F.lit(0x7FFFFFFF))
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"),
-                        host.alias("host")).withColumn("place", F.shiftleft(near("host"), 31) + near(F.col("key").cast("string"), F.coalesce("url", F.lit(""))))
-    ranges = plan_ranges(rows.select("place", (F.octet_length("html") + 256).alias("weight")), "place", "weight", SHARD_BYTES)
+                        host.alias("host"))
 
     def parsed(batches):
         for b in batches:
-            trees = [_packed(*parse(h)) for h in b["html"]]
-            yield {n: b[n] for n in ("key", "url", "host", "place")} | {"shard": ranges.find(b["place"]), "tree": trees}
-
-    def settled(group):
-        if len(group) > 1 and group[0][0]:
-            induce([p for _, p in group], rules)
-        texts = [main_text(p, rules) for _, p in group]
-        return {"key": [p.key for _, p in group], "url": [p.url for _, p in group], "text": texts, "n_chars": list(map(len, texts))}
+            found = [parse(h) for h in b["html"]]
+            yield {n: b[n] for n in ("key", "url", "host")} | {
+                "layout": [_hash(repr(_layout(t))) for _, t in found], "title": [_hash(t) for t, _ in found], "tree": [_packed(t) for _, t in found]}
 
-    def run(batches):
-        group, size = [], 0
+    def settled(batches):
+        known = _References()
         for b in batches:
-            for k, u, h, raw in zip(b["key"], b["url"], b["host"], b["tree"], strict=True):
-                if group and (h != group[0][0] or len(group) >= GROUP_PAGES or size >= GROUP_BYTES):
-                    yield settled(group)
-                    group, size = [], 0
-                tree = zlib.decompress(raw)
-                size += len(tree)
-                title, rows = json.loads(tree)
-                group.append((h, Page(k, u, title, load(rows))))
-        if group:
-            yield settled(group)
-
-    trees = map_batches(rows, parsed, f"key {kind}, url string, host string, place long, shard long, tree binary")
-    dealt = trees.repartition("shard").sortWithinPartitions("shard", "place", "host", "key", "url", "tree")
-    return map_batches(dealt, run, f"key {kind}, url string, text string, n_chars long").withColumnRenamed("key", key)
+            texts = []
+            for h, lay, raw, refs, marks in zip(b["host"], b["layout"], b["tree"], b["references"], b["constants"], strict=True):
+                tree, template = _unpacked(raw), set()
+                if refs:
+                    constants = [{m["at"] for m in marks if m["reference"] == n} for n in range(len(refs))]
+                    template = template_blocks(tree, known.of((h, lay), refs), constants)
+                texts.append(main_text(tree, template, rules))
+            yield {"key": b["key"], "url": b["url"], "text": texts, "n_chars": list(map(len, texts))}
+
+    trees = stored(map_batches(rows, parsed, f"key {kind}, url string, host string, layout long, title long, tree binary"), "trees")
+    met = trees.drop("title").join(induce(trees, rules), ["host", "layout"], "left")
+    return map_batches(met, settled, f"key {kind}, url string, text string, n_chars long").withColumnRenamed("key", key)

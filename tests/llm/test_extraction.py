@@ -6,6 +6,9 @@ from functools import lru_cache
 import pytest
 from churnkit.llm import extraction as X
 from churnkit.llm.htmltree import blocks, dump, load, match, parse
+from pyspark.sql import functions as F
+
+PAGES = "page_id long, url string, html string"
 
 PARTS = """<header><a href=/>Home</a> Site</header><nav><ul><li><a href=/a>A</a><li><a>B</a></ul></nav><div class="ad">Buy {n}</div>
 <div class="cookie-notice">We use {n}</div><aside>Other {n}</aside><form>Search <input> <button>Go</button></form>
@@ -95,11 +98,55 @@ def test_marked_articles_and_unmarked_ones(spark):
     assert sorted((str(r.page_id), r.text) for r in X.extract_pages(twice).collect()) == [("1", "x"), ("1", "x"), ("None", "y")]
 
 
-def test_copies_of_one_article_are_no_template():
+def test_copies_of_one_article_are_no_template(spark):
     page = "<title>Same</title><article><h1>Same</h1><p>All of it is the same</p></article>"
-    pages = [X.Page(i, "u", *parse(page)) for i in range(50)]
-    X.induce(pages)
-    assert {X.main_text(p) for p in pages} == {"Same\nAll of it is the same"}
+    df = spark.createDataFrame([(i, "http://a", page) for i in range(50)], PAGES)
+    assert {r.text for r in X.extract_pages(df).collect()} == {"Same\nAll of it is the same"}
+
+
+@pytest.mark.parametrize("n", [40, 257, 259, 520])
+def test_a_notice_goes_from_every_page_however_many_there_are(spark, n):
+    """No group of pages has a wrapper of its own: one host of any size, in any layout of the input."""
+    page = lambda i: (f"<title>t{i}</title><div><div>Read this notice first</div><h1>t{i}</h1><p>Words of page {i} and {i * i}</p></div>")
+    df = spark.createDataFrame([(i, "http://one.example/x", page(i)) for i in range(n)], PAGES)
+    want = {i: f"t{i}\nWords of page {i} and {i * i}" for i in range(n)}
+    for parts in (1, 7):
+        assert {r.page_id: r.text for r in X.extract_pages(df.repartition(parts)).collect()} == want
+
+
+def test_wrappers_equal_those_of_a_plain_count_over_all_pages(spark):
+    rng = random.Random(5)
+    rows, trees = [], {}
+    for i in range(120):
+        host, title = rng.choice("aab"), rng.randrange(60)
+        parts = [f"<p>Notice {k}</p>" for k in range(4) if rng.random() < (0.5, 0.75, 0.85, 1.0)[k]]
+        body = f"<h1>{title}</h1>" + "".join(f"<p>{rng.random()}</p>" for _ in range(rng.randint(1, 3)))
+        html = f"<title>{title}</title><div>{''.join(parts)}</div><div>{body}</div><div>{rng.choice(['Same', 'Same', 'Same', 'Other'])} end</div>"
+        rows.append((i, f"http://{host}/", html))
+        trees[i] = (host, title, parse(html)[1])
+    df = spark.createDataFrame(rows, PAGES)
+    got = {r.page_id: r.text for r in X.extract_pages(df).collect()}
+    hashed = lambda i, raw: spark.range(1).select(F.xxhash64(*([] if i is None else [F.lit(i)]), F.lit(raw))).first()[0]
+    for host in "ab":
+        layouts: dict = {}
+        for i, (h, t, tree) in trees.items():
+            if h == host:
+                layouts.setdefault(X._layout(tree), {}).setdefault(t, {})[i] = tree
+        for titles in layouts.values():
+            own = [min((hashed(None, bytearray(X._packed(t))), i) for i, t in pages.items())[1] for pages in titles.values()]
+            references = [] if len(own) < 4 else list(dict.fromkeys(
+                min((hashed(n, bytearray(X._packed(trees[i][2]))), i) for i in own)[1] for n in range(X.REFERENCES)))
+            constants = []
+            for ref in references:
+                met, same = {}, {}
+                for i in own:
+                    for r, _, equal in X.aligned(trees[ref][2], trees[i][2]):
+                        met[r] = met.get(r, 0) + 1
+                        same[r] = same.get(r, 0) + equal
+                constants.append({r for r in met if met[r] >= 4 and same[r] >= 0.8 * met[r]})
+            for pages in titles.values():
+                for i, tree in pages.items():
+                    assert got[i] == X.main_text(tree, X.template_blocks(tree, [trees[r][2] for r in references], constants))
 
 
 def test_given_pages_keep_their_whole_article(spark):
