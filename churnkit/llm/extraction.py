@@ -108,10 +108,11 @@ def induce(trees: DataFrame, rules: WrapperRules = DEFAULT) -> DataFrame:
     of a reference is aligned with is one, too; slots hold the content.
     """
     group = ["host", "layout"]
-    own = stored(trees.where("host <> ''").groupBy(*group, "title").agg(F.min_by("tree", F.xxhash64("tree")).alias("tree")), "representatives")
+    known = trees.where("host <> ''")
+    own = known.groupBy(*group, "title").agg(F.min_by("tree", F.xxhash64("tree")).alias("tree"))
+    titles = known.select(*group, "title").distinct().groupBy(*group).count().where(F.col("count") >= rules.min_titles).drop("count")
     chosen = [F.min_by("tree", F.xxhash64(F.lit(i), "tree")) for i in range(REFERENCES)]
-    references = stored(own.groupBy(*group).agg(F.count(F.lit(1)).alias("titles"), F.array_distinct(F.array(*chosen)).alias("references"))
-                        .where(F.col("titles") >= rules.min_titles).drop("titles"), "references")
+    references = stored(known.groupBy(*group).agg(F.array_distinct(F.array(*chosen)).alias("references")).join(titles, group), "references")
 
     def counted(batches):
         known = _References()

@@ -135,7 +135,7 @@ def test_wrappers_equal_those_of_a_plain_count_over_all_pages(spark):
         for titles in layouts.values():
             own = [min((hashed(None, bytearray(X._packed(t))), i) for i, t in pages.items())[1] for pages in titles.values()]
             references = [] if len(own) < 4 else list(dict.fromkeys(
-                min((hashed(n, bytearray(X._packed(trees[i][2]))), i) for i in own)[1] for n in range(X.REFERENCES)))
+                min((hashed(n, bytearray(X._packed(trees[i][2]))), i) for p in titles.values() for i in p)[1] for n in range(X.REFERENCES)))
             constants = []
             for ref in references:
                 met, same = {}, {}
