@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 from churnkit.llm import jaccard as J
+from churnkit.llm.simhash import fingerprint
 from pyspark.sql import functions as F
 
 
@@ -70,3 +72,19 @@ def test_clashing_column_names(spark):
     df = spark.createDataFrame([(1, "a b c d e f", 5, 6), (1, "a b c d e f", 5, 6), (2, "A B C D E F", 7, 8)], "doc_id long, text string, _row int, _ROW_ int")
     got = J.drop_duplicates(df)
     assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [(1, "a b c d e f", 5, 6)]
+
+
+def test_index_joins_without_bands(spark, monkeypatch):
+    # bands that no two texts share: what is joined is joined by the SimHash index
+    monkeypatch.setattr(J, "bands", lambda grams: grams[:1].repeat(24).view("int64") + np.arange(24) + len(grams) * 1000)
+    rng = random.Random(11)
+    rows = []
+    for i in range(20):
+        text = " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10 ** 6)}" for _ in range(80))
+        own = fingerprint(text, 5)
+        # the first beginning and ending that leave the fingerprint within two bits, a new least shingle or not
+        near = next(t for t in (f"s{k} {text} e{k}" for k in range(10000)) if ((own ^ fingerprint(t, 5)) & (1 << 64) - 1).bit_count() <= 2)
+        rows += [(2 * i, text), (2 * i + 1, near)]
+    rows += [(100, " ".join(["x"] * 30)), (101, " ".join(["x"] * 40))]  # one set of shingles, one fingerprint
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in J.drop_duplicates(df).collect()) == sorted(plain_stay(rows)) == [*range(0, 40, 2), 100]
