@@ -98,20 +98,33 @@ class _References:
         return self._kept[layout]
 
 
+def _numbered(trees: DataFrame) -> DataFrame:
+    """``trees`` with a number of each row, a hash of its tree, and one for each reference that orders the trees of a layout."""
+    return trees.select("*", F.monotonically_increasing_id().alias("row"), F.xxhash64("tree").alias("digest"),
+                        F.array(*[F.xxhash64(F.lit(i), "tree") for i in range(REFERENCES)]).alias("orders"))
+
+
 def induce(trees: DataFrame, rules: WrapperRules = DEFAULT) -> DataFrame:
     """(host, layout, references, constants) for each layout of a host that has template blocks, over all its pages.
 
-    ``trees`` has host, layout, title and tree. Pages of one title, such as copies of an article, count once, through the one
-    whose tree is least by hash. Every such page is aligned with each reference of its layout, and how many have a block,
+    ``trees`` has host, layout, title, tree, a number of each row and hashes of the tree (``_numbered``). Pages of one title,
+    such as copies of an article, count once, through the one whose tree is least by hash; they are chosen by numbers and
+    hashes and not stored again; trees move only if Spark finds the tables of numbers or references too large to broadcast.
+    Every such page is aligned with each reference of its layout, and how many have a block,
     and have the same, is added up where pages are read; a group's counts are one row for each block and task. A block is
     constant if pages of enough different titles have it, the same on nearly all. What varies is a slot, and what no block
     of a reference is aligned with is one, too; slots hold the content.
     """
     group = ["host", "layout"]
-    own = stored(trees.where("host <> ''").groupBy(*group, "title").agg(F.min_by("tree", F.xxhash64("tree")).alias("tree")), "representatives")
-    chosen = [F.min_by("tree", F.xxhash64(F.lit(i), "tree")) for i in range(REFERENCES)]
-    references = stored(own.groupBy(*group).agg(F.count(F.lit(1)).alias("titles"), F.array_distinct(F.array(*chosen)).alias("references"))
-                        .where(F.col("titles") >= rules.min_titles).drop("titles"), "references")
+    own = stored(trees.where("host <> ''").groupBy(*group, "title").agg(F.min(F.struct("digest", "row", "orders")).alias("least"))
+                 .select(*group, "least.row", "least.orders"), "representatives")
+    first = [F.min_by("row", F.col("orders")[i]) for i in range(REFERENCES)]
+    # stored, so that Spark knows how small they are before it plans to move trees
+    numbers = stored(own.select("row"), "numbers")
+    chosen = stored(own.groupBy(*group).agg(F.count(F.lit(1)).alias("titles"), F.array(*first).alias("rows")).where(F.col("titles") >= rules.min_titles)
+              .select(F.posexplode("rows").alias("n", "row")), "chosen")
+    references = stored(trees.select("row", *group, "tree").join(chosen, "row").groupBy(*group)
+                        .agg(F.array_distinct(F.sort_array(F.collect_list(F.struct("n", "tree")))["tree"]).alias("references")), "references")
 
     def counted(batches):
         known = _References()
@@ -132,7 +145,8 @@ def induce(trees: DataFrame, rules: WrapperRules = DEFAULT) -> DataFrame:
             marks = [[[r for _, r in blocks(_unpacked(raw))] for raw in refs] for refs in b["references"]]
             yield {"host": b["host"], "layout": b["layout"], "inside": marks}
 
-    counts = (map_batches(own.drop("title").join(references, group), counted, "host string, layout long, reference int, at int, met long, same long")
+    counts = (map_batches(
+        trees.select(*group, "row", "tree").join(numbers, "row", "left_semi").drop("row").join(references, group), counted, "host string, layout long, reference int, at int, met long, same long")
               .groupBy(*group, "reference", "at").agg(F.sum("met").alias("met"), F.sum("same").alias("same"))
               .where((F.col("met") >= min(rules.min_titles, rules.min_titles_inside))
                      & (F.col("same") >= F.col("met") * min(rules.share, rules.share_inside))))
@@ -177,6 +191,6 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html
                 texts.append(main_text(tree, template, rules))
             yield {"key": b["key"], "url": b["url"], "text": texts, "n_chars": list(map(len, texts))}
 
-    trees = stored(map_batches(rows, parsed, f"key {kind}, url string, host string, layout long, title long, tree binary"), "trees")
-    met = trees.drop("title").join(induce(trees, rules), ["host", "layout"], "left")
+    trees = stored(_numbered(map_batches(rows, parsed, f"key {kind}, url string, host string, layout long, title long, tree binary")), "trees")
+    met = trees.drop("title", "row", "digest", "orders").join(induce(trees, rules), ["host", "layout"], "left")
     return map_batches(met, settled, f"key {kind}, url string, text string, n_chars long").withColumnRenamed("key", key)

@@ -197,6 +197,12 @@ def blocks(tree: list) -> list[tuple[list, bool]]:
     return out
 
 
+def _known_size(node: list) -> int:
+    """How many nodes match in two nodes of one label and this kind: a text block, or a node around one and nothing else.
+    0 for any other node."""
+    return 1 if node[0] is None else 2 if len(node[2]) == 1 and node[2][0][0] is None else 0
+
+
 def match(a: list, b: list) -> list[tuple[list, list]]:
     """Pairs of text blocks of two trees that simple tree matching aligns.
 
@@ -217,18 +223,23 @@ def match(a: list, b: list) -> list[tuple[list, list]]:
         if x[0] is None:
             weight[key] = 1
             continue
+        xs, ys = x[2], y[2]
         if not ready:
             todo.append((x, y, True))
-            todo += [(c, d, False) for c in x[2] for d in y[2] if c[0] == d[0] and (id(c), id(d)) not in weight]
+            sizes = [_known_size(d) for d in ys]
+            for c in xs:
+                label, size = c[0], _known_size(c)
+                todo += [(c, d, False) for d, n in zip(ys, sizes, strict=True)
+                         if d[0] == label and not (size and size == n) and (id(c), id(d)) not in weight]
             continue
-        xs, ys = x[2], y[2]
         before = [0] * (len(ys) + 1)
         grid = [before]
+        inner = [(id(d), d[0], _known_size(d)) for d in ys]
         for c in xs:
-            row, left, label, mine = [0], 0, c[0], id(c)
-            for j, d in enumerate(ys):
+            row, left, label, mine, size = [0], 0, c[0], id(c), _known_size(c)
+            for j, (other, name, n) in enumerate(inner):
                 best = before[j + 1] if before[j + 1] > left else left
-                if d[0] == label and (w := before[j] + weight[mine, id(d)]) > best:
+                if name == label and (w := before[j] + (size if size and size == n else weight[mine, other])) > best:
                     best = w
                 row.append(best)
                 left = best
@@ -242,6 +253,10 @@ def match(a: list, b: list) -> list[tuple[list, list]]:
         if x[0] is None:
             pairs.append((x, y))
             continue
+        if (id(x), id(y)) not in grids:
+            # each has one text block and nothing else
+            pairs.append((x[2][0], y[2][0]))
+            continue
         grid, i, j = grids[id(x), id(y)], len(x[2]), len(y[2])
         while i and j:
             if grid[i][j] == grid[i - 1][j]:

@@ -159,3 +159,13 @@ def test_given_pages_keep_their_whole_article(spark):
         parts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", x))).strip() for x in re.split(r"</?p>|</?h1>", inner)]
         want[r.page_id] = "\n".join(p for p in parts if p)
     assert {r.page_id: r.text for r in X.extract_pages(rows).collect()} == want
+
+
+def test_representatives_are_chosen_without_their_trees(spark, monkeypatch):
+    kept, store = {}, X.stored
+    monkeypatch.setattr(X, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
+    pages = [(i, "http://h.x/a", f"<title>t{i}</title><body><div>always here</div><p>story {i} has words</p></body>") for i in range(6)]
+    got = X.extract_pages(spark.createDataFrame([*pages, (9, *pages[0][1:])], "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"story {i % 9} has words" for i in (*range(6), 9)}
+    assert "tree" in kept["trees"].columns and kept["representatives"].count() == 6
+    assert not any(t in ("binary", "string") for _, t in kept["representatives"].drop("host").dtypes)
