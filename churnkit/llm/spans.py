@@ -14,7 +14,6 @@ import os
 import re
 from functools import lru_cache
 from itertools import accumulate
-from struct import pack
 from typing import NamedTuple
 
 import numpy as np
@@ -24,14 +23,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.llm.common import stored
-from churnkit.llm.tokens import _byte_letters, separable
+from churnkit.llm.tokens import _byte_letters, _steps, separable
 
 SPACE = "▁"
 # New words after which a process starts a new store; words met again are taken over from the last one.
 CACHE_WORDS = 200_000
 # Words of the documents of one block. Its table of pairs is as large as its different words have, so it is bounded as well.
 BLOCK_WORDS = 1 << 19
+# New words that are encoded as one text.
+JOINED_WORDS = 256
 _NORMAL, _BYTE = 1, 6
+# Letters that have been letters in every version of Unicode, and digits.
+_LETTER = "[0-9" + "".join(c for c in map(chr, range(0x250)) if c.isalpha()) + "]"
+_MARK = re.escape("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+
+
+def _word_pattern(spaces: str, marks: bool) -> re.Pattern:
+    """Words with the white space before them. Between two words white space begins with one of ``spaces``, or, if ``marks``, none is
+    there and a letter or digit is followed by a mark. White space at the end of a text belongs to the word before it."""
+    part = rf"(?:[{_MARK}]++[^\s{_MARK}]*+|[^\s{_MARK}]++)(?:(?<!{_LETTER})[{_MARK}]++[^\s{_MARK}]*+)*+" if marks else r"\S++"
+    return re.compile(rf"\s*+{part}(?:(?![{spaces}])\s++{part})*+(?:\s++\Z)?+|\s+")
 
 
 class Aligned(NamedTuple):
@@ -52,11 +63,11 @@ class Aligned(NamedTuple):
 _NONE = Aligned(0, 0, 0, "", b"")
 
 
-def byte_ends(spans: list[tuple[int, int]], sizes: list[int], cuts: set[int]) -> list[int]:
-    """Where each token ends. Between two cuts the spans say so if they follow one another without a gap or an overlap, each
-    of as many bytes as its token; else the sizes of the tokens do."""
+def byte_ends(spans: list[tuple[int, int]], sizes: list[int], cuts: set[int], start: int = 0) -> list[int]:
+    """Where each token ends; the first begins at ``start``. Between two cuts the spans say so if they follow one another without a
+    gap or an overlap, each of as many bytes as its token; else the sizes of the tokens do."""
     ends: list[int] = []
-    start, first = 0, 0
+    first = 0
     for i, (_, end) in enumerate(spans):
         if i + 1 < len(spans) and (end not in cuts or spans[i + 1][0] != end):
             continue
@@ -68,31 +79,9 @@ def byte_ends(spans: list[tuple[int, int]], sizes: list[int], cuts: set[int]) ->
     return ends
 
 
-def align(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> Aligned:
-    """Groups between the places where both end, and the pairs of tokens that overlap; both rows end at the same byte."""
-    groups, pairs, i, j, x, y, mine, other = [], [], 0, 0, ends_a[0], ends_b[0], str(a[0]), str(b[0])
-    pairs.append(a[0] << 32 | b[0])
-    while True:
-        if x == y:
-            groups.append(f"{mine}|{other}")
-            i, j = i + 1, j + 1
-            if i == len(a):
-                break
-            x, y, mine, other = ends_a[i], ends_b[j], str(a[i]), str(b[j])
-        elif x < y:
-            i += 1
-            x = ends_a[i]
-            mine = f"{mine},{a[i]}"
-        else:
-            j += 1
-            y = ends_b[j]
-            other = f"{other},{b[j]}"
-        pairs.append(a[i] << 32 | b[j])
-    return Aligned(len(a), len(b), len(groups), ";".join(groups), pack(f"<{len(pairs)}q", *pairs))
-
-
 class SpanAligner:
-    """Aligned ids of texts, found once for each word (with the white space before it) where both tokenizers cut there."""
+    """Aligned ids of texts, found once for each word (with the white space before it) where both tokenizers cut there. Signs after
+    a letter or digit are words of their own if both cut there too."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -117,21 +106,28 @@ class SpanAligner:
         if not model.normalizer_spec.add_dummy_prefix:
             raise ValueError("a model that puts no space before a text")
         self.bytes_b = [bytes([int(p.piece[3:5], 16)]) if p.type == _BYTE else p.piece.replace(SPACE, " ").encode() for p in model.pieces]
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
         normal = [p.piece for p in model.pieces if p.type == _NORMAL]
         plain = (not model.normalizer_spec.precompiled_charsmap and not model.normalizer_spec.remove_extra_whitespaces
                  and separable(spec) and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in normal))
         lines = plain and model.trainer_spec.byte_fallback and not any("\n" in p for p in normal)
-        self.cut = re.compile(r"(?<=\S)(?=[ \n]\s*\S)" if lines else r"(?<=\S)(?= \s*\S)") if plain else None
+        # the pattern of byte-level tokenizers never goes from a letter or digit to one of these signs
+        marks = (lines and len(_steps(spec["pre_tokenizer"], "pretokenizers")) == 1
+                 and not any(re.search(f"{_LETTER}[{_MARK}]", p) for p in normal))
+        self.cut = _word_pattern(" \n" if lines else " ", marks) if plain else None
+        # ids as they are written in groups: followed by another one of their side, last of A, last of B
+        n = max(len(self.bytes_a), len(self.bytes_b))
+        self.written, self.last_a, self.last_b = [f"{i}{sign}" for sign in ",|;" for i in range(n)], n, 2 * n
         self.known: dict[str, Aligned | None] = {}
         self.last: dict[str, Aligned | None] = {}
 
     def words(self, text: str) -> list[str]:
         """A space and the text, cut where no token of either reaches over."""
         text = " " + text
-        return self.cut.split(text) if self.cut else [text]
+        return self.cut.findall(text) if self.cut else [text]
 
     def learn(self, texts: list[list[str]]) -> None:
-        """Align the words that were not met before, in one call of each library."""
+        """Align the words that were not met before, many in one text of each library."""
         if len(self.known) > CACHE_WORDS:
             self.known, self.last = {}, self.known
         known, last = self.known, self.last
@@ -140,41 +136,91 @@ class SpanAligner:
             known[word] = last[word]
         new = list(met - last.keys())
         if new:
-            found_a = self.a.encode_batch(new, add_special_tokens=False)
-            # a word begins with the space that B adds itself, or with a line end and then goes without it
-            found_b = self.b.encode([w[1:] if w[0] == " " else w for w in new], return_type="proto", num_threads=1)
             # nothing made here has cycles; a collector that walks the growing stores takes a fifth of the time
             gc.disable()
             try:
-                for word, x, y in zip(new, found_a, found_b, strict=True):
-                    known[word] = self._one(word, x, y.pieces)
+                self._learn_joined(new)
                 gc.freeze()
             finally:
                 gc.enable()
 
-    def _one(self, word: str, found_a, found_b) -> Aligned | None:
-        """The alignment of a word; None if one side's bytes are not the word's."""
-        raw = word.encode()
-        # B was given the word without its space or, if it begins with a line end, has put one before it
-        shift = 1 if word[0] == " " else 0
-        pieces = found_b if shift else found_b[1:]
+    def _learn_joined(self, new: list[str]) -> None:
+        # a word with white space at its end was the end of its text, and the marker sign is a space to B: nothing may follow
+        alone = [w for w in new if self.cut is None or w[-1].isspace() or SPACE in w]
+        if alone:
+            apart = set(alone)
+            new = [w for w in new if w not in apart]
+        joined = [new[i:i + JOINED_WORDS] for i in range(0, len(new), JOINED_WORDS)] + [[w] for w in alone]
+        failed: list[list[str]] = []
+        for words, found in zip(joined, self._encoded(joined), strict=True):
+            if found is None and len(words) > 1:
+                failed += [[w] for w in words]
+            else:
+                self.known.update(zip(words, found or [None], strict=True))
+        for words, found in zip(failed, self._encoded(failed), strict=True):
+            self.known.update(zip(words, found or [None], strict=True))
+
+    def _encoded(self, joined: list[list[str]]):
+        """The alignments of each list of words, encoded as one text; None where one side's bytes are not the text's."""
+        # a word that begins with neither a space nor a line end followed a letter: a line end, a token of its own, keeps it off
+        texts = ["".join([w if w[0] in " \n" else "\n" + w for w in words]) for words in joined]
+        found_a = self.a.encode_batch(texts, add_special_tokens=False)
+        # a text begins with the space that B adds itself, or with a line end and then goes without it
+        found_b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], return_type="offset_mapping", num_threads=1)
+        return map(self._aligned, joined, texts, found_a, found_b)
+
+    def _aligned(self, words: list[str], text: str, found_a, found_b) -> list[Aligned] | None:
+        raw = text.encode()
+        # B was given the text without its space or, if it begins with a line end, has put one before it
+        shift = 1 if text[0] == " " else 0
         a, spans_a = found_a.ids, found_a.offsets
-        b, ends_b = [p.id for p in pieces], [p.end + shift for p in pieces]
-        bytes_a, bytes_b = list(map(self.bytes_a.__getitem__, a)), list(map(self.bytes_b.__getitem__, b))
-        if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
+        b, spans_b = (found_b["ids"], found_b["offsets"]) if shift else (found_b["ids"][1:], found_b["offsets"][1:])
+        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        to = np.cumsum([len(w) + (w[0] not in " \n") for w in words])
+        since = to - np.array(list(map(len, words)))
+        ends_a, ends_b = np.array([e for _, e in spans_a]), np.array([e for _, e in spans_b]) + shift
+        at = None
+        if len(raw) != len(text):
+            # the byte at which each character begins
+            at = np.append(np.flatnonzero(np.frombuffer(raw, np.int8) >= -64), len(raw))
+            ends_a, ends_b, since, to = at[ends_a], at[ends_b], at[since], at[to]
+        sums_a, sums_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        from_a, from_b = np.searchsorted(sums_a, since, "right"), np.searchsorted(sums_b, since, "right")
+        to_a, to_b = np.searchsorted(sums_a, to, "right"), np.searchsorted(sums_b, to, "right")
+        if not all((s[t - 1] == to).all() and (s[f - 1] == since)[since > 0].all()
+                   for s, f, t in ((sums_a, from_a, to_a), (sums_b, from_b, to_b))):
             return None
-        ends_a = [e for _, e in spans_a]
-        if len(raw) != len(word):
-            at = [0, *accumulate(map(len, map(str.encode, word)))]
-            ends_a = [at[e] for e in ends_a]
-            sizes_a, sizes_b = list(map(len, bytes_a)), list(map(len, bytes_b))
-            if ends_a != list(accumulate(sizes_a)) or ends_b != list(accumulate(sizes_b)):
-                spans_a = [(at[s], e) for (s, _), e in zip(spans_a, ends_a, strict=True)]
-                spans_b = [(p.begin + shift if p.begin or k else 0, e) for k, (p, e) in enumerate(zip(pieces, ends_b, strict=True))]
-                cuts = set(ends_a) & set(ends_b)
-                ends_a, ends_b = byte_ends(spans_a, sizes_a, cuts), byte_ends(spans_b, sizes_b, cuts)
-        # where no token shares a character with another one, spans are as fine as bytes
-        return align(a, b, ends_a, ends_b)
+        coarse = {*np.searchsorted(to, sums_a[ends_a != sums_a]).tolist(), *np.searchsorted(to, sums_b[ends_b != sums_b]).tolist()}
+        if coarse:
+            # tokens that share a character with another one
+            starts_a, starts_b = np.array([s for s, _ in spans_a]), np.array([s + shift if s else 0 for s, _ in spans_b])
+            near_a, near_b = (list(zip((starts if at is None else at[starts]).tolist(), ends.tolist(), strict=True))
+                              for starts, ends in ((starts_a, ends_a), (starts_b, ends_b)))
+            sizes_a, sizes_b = self.sizes_a[a].tolist(), self.sizes_b[b].tolist()
+            for k in coarse:
+                x, y, start = slice(from_a[k], to_a[k]), slice(from_b[k], to_b[k]), int(since[k])
+                cuts = {e for _, e in near_a[x]} & {e for _, e in near_b[y]}
+                ends_a[x], ends_b[y] = byte_ends(near_a[x], sizes_a[x], cuts, start), byte_ends(near_b[y], sizes_b[y], cuts, start)
+        # Each stretch up to the next end of either is one pair of tokens with bytes in common; a group goes up to an end of both.
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        ends = ends[np.append(True, ends[1:] != ends[:-1])]
+        i, j = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        pairs = (a[i] << 32 | b[j]).astype("<i8").tobytes()
+        both = ends[(ends_a[i] == ends) & (ends_b[j] == ends)]
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        last_a, last_b = both[group_a] == ends_a, both[group_b] == ends_b
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.append(0, np.flatnonzero(last_b) + 1)[group_a]] = a + last_a * self.last_a
+        order[np.arange(len(b)) + (np.flatnonzero(last_a) + 1)[group_b]] = b + last_b * self.last_b
+        written = list(map(self.written.__getitem__, order.tolist()))
+        n_groups = np.searchsorted(both, to, "right") - np.searchsorted(both, since, "right")
+        froms, tos = (from_a + from_b).tolist(), (to_a + to_b).tolist()
+        first, end = (8 * np.searchsorted(ends, since, "right")).tolist(), (8 * np.searchsorted(ends, to, "right")).tolist()
+        return list(map(Aligned, (to_a - from_a).tolist(), (to_b - from_b).tolist(), n_groups.tolist(),
+                        ["".join(written[f:t])[:-1] for f, t in zip(froms, tos, strict=True)],
+                        [pairs[f:t] for f, t in zip(first, end, strict=True)]))
 
     def align_text(self, text: str) -> Aligned:
         """The alignment of one whole text."""

@@ -94,6 +94,59 @@ def test_small_blocks_give_the_same():
     assert sum(own["counts"][0].as_py()) == sum(docs["n_links"].to_pylist())
 
 
+def figures(one):
+    return one.n_a, one.n_b, one.n_groups, one.n_links, hashlib.sha256(one.groups.encode()).hexdigest() if one.groups else ""
+
+
+def test_signs_after_letters_are_words_of_their_own():
+    tool = spans.SpanAligner(A, B)
+    assert tool.words("Stop, stop. 12% (don't)!") == [" Stop", ",", " stop", ".", " 12", "%", " (don", "'t", ")!"]
+    assert tool.words("²! \u0301. x\t.y \n") == [" ²!", " \u0301.", " x\t.y \n"]
+    assert tool.words(" \n ") == ["  \n "]
+    for t in TEXTS:
+        assert "".join(tool.words(t)) == " " + t
+
+
+def test_cuts_next_to_signs():
+    pick = random.Random(8)
+    signs = ["don", "l", "é", "ß", "ª", "²", "½", "٣", "7", "'", "'re", "'S", "’", "”", ".", ",", "...", "…", "-", "_", "|", "<", "\\", "×", "µ", "\u0301", " ", "\n", "\t"]
+    texts = ["".join(pick.choice(signs) for _ in range(pick.randint(1, 40))) for _ in range(600)]
+    tool = spans.SpanAligner(A, B)
+    for t, w in zip(texts, plain(texts), strict=True):
+        assert figures(tool.align_text(t)) == (*w[:4], w[6]), t
+
+
+def test_new_words_share_a_text_of_each_library():
+    """Every word as a text of its own costs twice the time."""
+    class Counted:
+        def __init__(self, tool):
+            self.tool, self.texts = tool, 0
+
+        def encode_batch(self, texts, **options):
+            self.texts += len(texts)
+            return self.tool.encode_batch(texts, **options)
+
+    tool = spans.SpanAligner(A, B)
+    tool.a = Counted(tool.a)
+    texts = [f"word{i}é" + sign for i in range(2000) for sign in ("", ".", ",", "!?")]
+    tool.learn([tool.words(" ".join(texts))])
+    assert len(tool.known) == 2000 + 3
+    assert tool.a.texts <= 1 + 2003 // spans.JOINED_WORDS
+
+
+def test_words_are_told_apart_in_a_joined_text(monkeypatch):
+    texts = [*TEXTS, "ends in white space \n", "a marker▁", "▁", "after it", "你好. 你好, é. é,"]
+    want = [(*w[:4], w[6]) for w in plain(texts)]
+    joined = spans.SpanAligner(A, B)
+    joined.learn([joined.words(t) for t in texts])
+    assert [figures(joined.align_text(t)) for t in texts] == want
+    # a joined text that either library does not give back is taken apart
+    single, aligned = spans.SpanAligner(A, B), spans.SpanAligner._aligned
+    monkeypatch.setattr(spans.SpanAligner, "_aligned", lambda self, words, *found: aligned(self, words, *found) if len(words) == 1 else None)
+    single.learn([single.words(t) for t in texts])
+    assert single.known == joined.known
+
+
 def test_refined_spans():
     assert spans.byte_ends([(0, 3), (0, 3), (3, 4)], [1, 2, 1], {3, 4}) == [1, 3, 4]
     assert spans.byte_ends([(0, 0), (0, 3), (3, 4)], [2, 1, 1], {4}) == [2, 3, 4]
