@@ -30,8 +30,9 @@ SPACE = "▁"
 CACHE_WORDS = 200_000
 # Words of the documents of one block. Its table of pairs is as large as its different words have, so it is bounded as well.
 BLOCK_WORDS = 1 << 19
-# New words that are encoded as one text.
+# New words that are encoded as one text, and texts whose tokens are held at once.
 JOINED_WORDS = 256
+JOINED_TEXTS = 16
 _NORMAL, _BYTE = 1, 6
 # Letters that have been letters in every version of Unicode, and digits.
 _LETTER = "[0-9" + "".join(c for c in map(chr, range(0x250)) if c.isalpha()) + "]"
@@ -162,6 +163,10 @@ class SpanAligner:
 
     def _encoded(self, joined: list[list[str]]):
         """The alignments of each list of words, encoded as one text; None where one side's bytes are not the text's."""
+        for i in range(0, len(joined), JOINED_TEXTS):
+            yield from self._encoded_together(joined[i:i + JOINED_TEXTS])
+
+    def _encoded_together(self, joined: list[list[str]]):
         # a word that begins with neither a space nor a line end followed a letter: a line end, a token of its own, keeps it off
         texts = ["".join([w if w[0] in " \n" else "\n" + w for w in words]) for words in joined]
         found_a = self.a.encode_batch(texts, add_special_tokens=False)
