@@ -88,3 +88,52 @@ def test_index_joins_without_bands(spark, monkeypatch):
     rows += [(100, " ".join(["x"] * 30)), (101, " ".join(["x"] * 40))]  # one set of shingles, one fingerprint
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in J.drop_duplicates(df).collect()) == sorted(plain_stay(rows)) == [*range(0, 40, 2), 100]
+
+
+def alike(rng, count, pairs, copies=0, start=0):
+    """Texts of one template that are not similar themselves, so that their buckets are large, and pairs of them that are, if
+    only just; ``copies`` near copies of one of them."""
+    base = [f"b{rng.random()}" for _ in range(170)]
+    texts = [[f"u{rng.random()}" for _ in range(30)] for _ in range(count)]
+    for i in range(pairs):
+        texts[2 * i + 1][:9] = texts[2 * i][:9]
+    for _ in range(copies):
+        texts.append([*texts[-1][:-1], f"u{rng.random()}"])
+    order = rng.sample(range(len(texts)), len(texts))
+    return [(start + k, " ".join([*base, *texts[i]])) for k, i in enumerate(order)]
+
+
+def test_pairs_in_large_buckets(spark):
+    rng = random.Random(21)
+    rows = alike(rng, 160, 70)
+    links = plain_links([plain_set(t) for _, t in rows])
+    assert len(links) == 70
+    got = sorted(r.doc_id for r in J.drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(plain_stay(rows)) and len(got) == 90
+
+
+def test_blocks_of_large_buckets(spark, monkeypatch):
+    # blocks of 20 texts, some under the most frequent label, and of few characters; texts of other lengths, so marks of two lengths
+    rng = random.Random(22)
+    rows = alike(rng, 100, 40, 60) + alike(rng, 60, 30, start=500)
+    rows += [(1000 + k, t + " " + " ".join(t.split()[:40])) for k, t in rows[:30]] + [(2000 + k, " ".join([t, *(f"v{rng.random()}" for _ in range(70))])) for k, t in rows[:20]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(plain_stay(rows))
+    for block, chars in ((20, 1 << 23), (1024, 30000)):
+        monkeypatch.setattr(J, "BLOCK", block)
+        monkeypatch.setattr(J, "BLOCK_CHARS", chars)
+        assert sorted(r.doc_id for r in J.drop_duplicates(df).collect()) == want
+
+
+def test_marks_bound_what_differs():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 100, 129, 260, 3000):
+        a = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        for share in (0.5, 0.8, 0.95, 1.0):
+            b = np.unique(np.concatenate([a[:int(share * len(a))], rng.integers(0, 1 << 63, n // 4, np.uint64)]))
+            x, y = (np.frombuffer(J.marks(s), np.uint64) for s in (a, b))
+            while len(x) != len(y):
+                x, y = (m if len(m) == min(len(x), len(y)) else m[:len(m) // 2] ^ m[len(m) // 2:] for m in (x, y))
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+            if J.similar(a, b):
+                assert 9 * len(np.setxor1d(a, b)) <= len(a) + len(b)
