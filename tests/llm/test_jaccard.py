@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from churnkit.llm import jaccard as J
 from churnkit.llm.simhash import fingerprint
 from pyspark.sql import functions as F
@@ -137,3 +138,38 @@ def test_marks_bound_what_differs():
             assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
             if J.similar(a, b):
                 assert 9 * len(np.setxor1d(a, b)) <= len(a) + len(b)
+
+
+def test_cells_against_all_pairs():
+    rng = np.random.default_rng(9)
+
+    def cell(sets, block, j):
+        n = len(sets)
+        return pa.table({"band": [0] * n, "value": [0] * n, "i": [0] * n, "j": [j] * n, "block": block, "cls": list(range(n)), "label": [k // 2 if k < 20 else k for k in range(n)],
+                         "size": [len(s) for s in sets], "marks": [J.marks(s) for s in sets], "grams": [s.tobytes() for s in sets]})
+
+    base = rng.integers(0, 1 << 63, 900, np.uint64)
+    for least, most, j in ((1, 30, 0), (100, 160, 1), (100, 160, 0), (300, 900, 1), (0, 1, 0)):
+        sets = []
+        for _ in range(120):
+            n = rng.integers(least, most)
+            sets.append(np.unique(np.concatenate([base[:n * 17 // 20], rng.choice(base, n // 12), rng.integers(0, 1 << 63, n // 20, np.uint64)])))
+        block = [int(k) for k in rng.integers(0, j + 1, len(sets))]
+        full = cell(sets, block, j)
+        label = full["label"].to_pylist()
+        links = [(x, y) for x in range(len(sets)) for y in range(x) if block[x] + block[y] == j and label[x] != label[y] and J.similar(sets[x], sets[y])]
+        assert links
+        close = set(J._close(full)["cls"].to_pylist())
+        assert {k for ends in links for k in ends} <= close
+        found = J._joined(full.take(sorted(close))).to_pylist()
+        assert len(found) < len(sets)
+
+        def groups(pairs):
+            top = {k: k for k in label}
+            for a, b in pairs:
+                top = {k: top[a] if t == top[b] else t for k, t in top.items()}
+            return {frozenset(k for k in top if top[k] == t) for t in top.values()}
+
+        assert groups((label[x], label[y]) for x, y in links) == groups((r["a"], r["b"]) for r in found)
+    far = [np.sort(rng.integers(0, 1 << 63, 200, np.uint64)) for _ in range(40)]
+    assert J._close(cell(far, [0] * 40, 0)).num_rows == 0 == J._joined(cell(far, [0] * 40, 0)).num_rows
